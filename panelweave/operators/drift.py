@@ -72,11 +72,12 @@ def _with_sizes(counts: DataFrame, slots: list[str]) -> DataFrame:
     return counts.join(F.broadcast(sizes), "column")
 
 
-def _per_batch(wide: DataFrame, batches: list, by: str, shared: list[str], fields: list[str]) -> DataFrame:
+def _per_batch(wide: DataFrame, batches: list, by: tuple, shared: list[str], fields: list[str]) -> DataFrame:
     """One row per (batch, column) from one row per column with ``<field>_<i>`` for each batch."""
+    by, kind = by
     rows = F.array(
         *[
-            F.struct(F.lit(b).alias(by), *[F.col(f"{f}_{i}").alias(f) for f in fields])
+            F.struct(F.lit(b).cast(kind).alias(by), *[F.col(f"{f}_{i}").alias(f) for f in fields])
             for i, b in enumerate(batches)
         ]
     )
@@ -119,8 +120,8 @@ def numeric_drift(
         slots = ["r", *[f"c{i}" for i in range(len(some))]]
         walked = running_totals(
             counts, ["column"], ["value"], {f"up_{s}": s for s in slots}, {"next": "value"},
-            group_rows=group_rows,
-        )
+            group_rows=group_rows, at_most=at_most,
+        )
         sizes = counts.groupBy("column").agg(*[F.sum(s).alias(f"n_{s}") for s in slots])
         shares = walked.join(F.broadcast(sizes), "column")
         gap = F.coalesce(F.col("next") - F.col("value"), F.lit(0.0))
@@ -134,7 +135,7 @@ def numeric_drift(
                 F.max(f"n_c{i}").alias(f"n_cur_{i}"),
             ]
         wide = shares.groupBy("column").agg(F.max("n_r").alias("n_ref"), *measures)
-        results.append(_per_batch(wide, some, by, ["n_ref"], ["n_cur", "wasserstein", "ks"]))
+        results.append(_per_batch(wide, some, (by, cur.schema[by].dataType), ["n_ref"], ["n_cur", "wasserstein", "ks"]))
     found = reduce(DataFrame.unionByName, results).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     scored = found.join(F.broadcast(stds), "column")
     score = F.col("wasserstein") / F.greatest(F.col("std"), F.lit(STD_FLOOR))
@@ -206,7 +207,7 @@ def categorical_drift(
             ]
         wide = counts.groupBy("column").agg(F.max("n_r").alias("n_ref"), *measures)
         fields = ["js", "chi2", "n_values", "n_cur", "top_cur", "top_ref"]
-        results.append(_per_batch(wide, some, by, ["n_ref"], fields))
+        results.append(_per_batch(wide, some, (by, cur.schema[by].dataType), ["n_ref"], fields))
     found = reduce(DataFrame.unionByName, results).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     n, m = F.col("n_ref"), F.col("n_cur")
     pooled = (F.col("top_ref") + F.col("top_cur")) / (n + m)
@@ -275,9 +276,11 @@ def z_p_value(z: Column) -> Column:
 def column_kinds(ref: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """``numeric`` or ``categorical`` per column: text and columns with few values are categorical.
 
-    The distinct estimate is exact in effect for the handful of values that matters here.
+    The sketch keeps the hashes themselves while they are few, so it is exact in effect for the handful of
+    values that matters here.
     """
-    one = ref.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]).first()
+    sketch = [F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"))).alias(c) for c in columns]
+    one = ref.agg(*sketch).first()
     text = {name for name, kind in ref.dtypes if kind in ("string", "boolean")}
     return {c: "categorical" if c in text or one[c] <= FEW_VALUES else "numeric" for c in columns}
 
@@ -437,7 +440,7 @@ def column_summary(
     at_most = df.count()
     if at_most > rows_per_group(df, at_most, group_rows):
         counts = materialise(counts, "value-counts")
-    walked = running_totals(counts, [by, "column"], ["value"], {"upto": "n"}, group_rows=group_rows)
+    walked = running_totals(counts, [by, "column"], ["value"], {"upto": "n"}, group_rows=group_rows, at_most=at_most)
     sizes = counts.groupBy(by, "column").agg(
         F.sum("n").alias("size"),
         F.count(F.lit(1)).alias("n_unique"),

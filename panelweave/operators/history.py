@@ -49,12 +49,14 @@ def ffill(
     """Replace nulls by the last earlier non-null value of the entity; leading nulls stay."""
     columns = list(columns or spec.features)
     cut = cut_hot_groups(df, [spec.entity], spec.order, group_rows)
-    if cut is None:
-        upto = (
-            Window.partitionBy(spec.entity).orderBy(*spec.order).rowsBetween(Window.unboundedPreceding, 0)
-        )
-        return df.select(*_filled(df.columns, columns, upto))
+    if cut is not None:
+        return _ffill_segments(cut, spec, columns).select(*df.columns)
+    upto = Window.partitionBy(spec.entity).orderBy(*spec.order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.select(*_filled(df.columns, columns, upto))
+
 
+def _ffill_segments(cut: DataFrame, spec: PanelSpec, columns: Sequence[str]) -> DataFrame:
+    """Fill inside each segment, then fill what is left from the segments before it."""
     w = Window.partitionBy(spec.entity, SEGMENT).orderBy(*spec.order)
     filled = cut.select(
         *_filled(cut.columns, columns, w.rowsBetween(Window.unboundedPreceding, 0)),
@@ -72,7 +74,7 @@ def ffill(
     return joined.select(
         *[
             F.coalesce(F.col(c), F.col(f"__carry_{c}")).alias(c) if c in columns else F.col(c)
-            for c in df.columns
+            for c in cut.columns
         ]
     )
 
@@ -125,7 +127,7 @@ def ffill_trim(
     """
     cut = cut_hot_groups(df, [spec.entity], spec.order, group_rows)
     if cut is not None:
-        return trim_tail(ffill(df, spec, group_rows=group_rows), spec, drop, keep)
+        return trim_tail(_ffill_segments(cut, spec, spec.features).select(*df.columns), spec, drop, keep)
     w = Window.partitionBy(spec.entity).orderBy(*spec.order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -142,11 +144,17 @@ def ffill_trim(
 
 
 def row_numbers(
-    df: DataFrame, order: Sequence[str], name: str = "row_no", group_rows: int | None = None
+    df: DataFrame,
+    order: Sequence[str],
+    name: str = "row_no",
+    group_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
-    """Number all rows of the table from 0 in a total order, without sorting the table in one task."""
-    counted = running_totals(df.withColumn("__one", F.lit(1).cast("bigint")), [], order, {name: "__one"},
-                             group_rows=group_rows)
+    """Number all rows of the table from 0 in a total order, without sorting a large table in one task."""
+    counted = running_totals(
+        df.withColumn("__one", F.lit(1).cast("bigint")), [], order, {name: "__one"},
+        group_rows=group_rows, at_most=at_most,
+    )
     return counted.withColumn(name, F.col(name) - 1).drop("__one")
 
 
@@ -156,21 +164,18 @@ def row_batches(
     size: int = 100,
     max_batches: int | None = 5,
     group_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Consecutive batches of ``size`` rows in a total order, numbered from 0 in column ``batch``.
 
-    ``max_batches=None`` numbers the whole table.
+    The first ``max_batches`` batches are kept; ``max_batches=None`` numbers the whole table.
     """
     if max_batches is not None:
         wanted = size * max_batches
         if wanted <= rows_per_group(df, wanted, group_rows):
-            df = df.orderBy(*order).limit(wanted)
-            numbered = df.withColumn(
-                "__row", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) - 1
-            )
-            return numbered.withColumn("batch", F.floor(F.col("__row") / size).cast("bigint")).drop("__row")
-    numbered = row_numbers(df, order, "__row", group_rows)
-    out = numbered.withColumn("batch", F.floor(F.col("__row") / size).cast("bigint")).drop("__row")
+            df, at_most = df.orderBy(*order).limit(wanted), wanted
+    numbered = row_numbers(df, order, "__row", group_rows, at_most)
+    out = numbered.withColumn("batch", F.expr(f"__row div {int(size)}")).drop("__row")
     return out if max_batches is None else out.where(F.col("batch") < max_batches)
 
 
@@ -178,8 +183,9 @@ def equal_batches(
     df: DataFrame, order: Sequence[str], batches: int = 5, group_rows: int | None = None
 ) -> DataFrame:
     """The whole table in ``batches`` consecutive batches of equal size."""
-    size = max(1, -(-df.count() // batches))
-    return row_batches(df, order, size, None, group_rows)
+    total = df.count()
+    size = max(1, -(-total // batches))
+    return row_batches(df, order, size, None, group_rows, at_most=total)
 
 
 def union_panels(*frames: DataFrame) -> DataFrame:

@@ -62,7 +62,11 @@ def rows_per_group(df: DataFrame, total: int, group_rows: int | None) -> int:
 
 
 def cut_hot_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], group_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    group_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame | None:
     """Add a segment number to every row, or return None when every group fits one task.
 
@@ -70,8 +74,11 @@ def cut_hot_groups(
     ``order``: all of them are cut at common quantiles of the order columns, so no segment of any
     group exceeds about ``group_rows`` rows. Only row counts, the keys of oversized groups and
     the cut points reach the driver; each is bounded by the number of rows per group.
+    ``at_most`` is a known bound on the rows of any group; a small one saves the counting.
     """
     keys, order = list(keys), list(order)
+    if at_most is not None and at_most <= rows_per_group(df, at_most, group_rows):
+        return None
     narrow = df.select(*keys, *order)
     total = narrow.count()
     limit = rows_per_group(df, total, group_rows)
@@ -129,6 +136,7 @@ def running_totals(
     totals: dict[str, str],
     following: dict[str, str] | None = None,
     group_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Running sums (inclusive) per group, in order, plus the next row's value of some columns.
 
@@ -138,7 +146,7 @@ def running_totals(
     keys, order = list(keys), list(order)
     following = following or {}
     partition = keys or [F.lit(0)]
-    cut = cut_hot_groups(df, keys, order, group_rows)
+    cut = cut_hot_groups(df, keys, order, group_rows, at_most)
     if cut is None:
         w = Window.partitionBy(*partition).orderBy(*order)
         upto = w.rowsBetween(Window.unboundedPreceding, 0)

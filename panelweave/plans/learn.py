@@ -14,19 +14,22 @@ from pyspark.sql import types as T
 
 from panelweave.operators.skew import cut_hot_groups, rows_per_group, running_totals
 from panelweave.spec import PanelSpec
+from panelweave.workspace import materialise
 
 
 def feature_importance(
     train: DataFrame, spec: PanelSpec, trees: int = 100, depth: int = 5, seed: int = 42
 ) -> DataFrame:
     """(feature, importance) of a random forest fitted on the training rows, most important first."""
-    assembled = VectorAssembler(inputCols=list(spec.features), outputCol="__x").transform(
-        train.select(*spec.features, F.col(spec.label).cast("double").alias("__y"))
+    rows = materialise(
+        train.select(*spec.features, F.col(spec.label).cast("double").alias("__y")), "forest-rows"
     )
+    assembled = VectorAssembler(inputCols=list(spec.features), outputCol="__x").transform(rows)
     forest = RandomForestClassifier(
         featuresCol="__x", labelCol="__y", numTrees=trees, maxDepth=depth, seed=seed
     )
-    importances = forest.fit(assembled.select("__x", "__y")).featureImportances
+    # Fitting passes over its input several times; the rows are prepared once and written.
+    importances = forest.fit(assembled).featureImportances
     rows = [(c, float(importances[i])) for i, c in enumerate(spec.features)]
     schema = "feature string, importance double"
     return train.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("importance"), "feature")
@@ -96,8 +99,9 @@ def causal_features(
 def train_step_classifier(
     train: DataFrame, features: list[str], label: str, algo: str = "gbt", **params
 ) -> PipelineModel:
-    """Fit a per-step binary classifier on prepared rows."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="__x", handleInvalid="keep")
+    """Fit a per-step binary classifier on prepared rows; a null feature (such as the change in the first row
+    of a history) counts as 0, in training and in scoring."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="__x")
     common = {"featuresCol": "__x", "labelCol": "__y"}
     if algo == "gbt":
         model = GBTClassifier(**common, **{"maxIter": 20, "maxDepth": 4, "seed": 42, **params})
@@ -105,8 +109,12 @@ def train_step_classifier(
         model = LogisticRegression(**common, **{"maxIter": 50, "regParam": 1e-4, **params})
     else:
         raise ValueError(f"unknown classifier {algo!r}")
-    rows = train.select(*features, F.col(label).cast("double").alias("__y")).na.drop()
-    return Pipeline(stages=[assembler, model]).fit(rows)
+    rows = train.select(
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
+        F.col(label).cast("double").alias("__y"),
+    )
+    # Fitting passes over its input several times; the rows are prepared once and written.
+    return Pipeline(stages=[assembler, model]).fit(materialise(rows, "training-rows"))
 
 
 def score(panel: DataFrame, model: PipelineModel, output: str = "score") -> DataFrame:

@@ -19,6 +19,14 @@ from panelweave.spec import PanelSpec
 _STATE = T.StructType([T.StructField("history", T.StringType())])
 
 
+def _after(rows: pd.DataFrame, order: Sequence[str], position: Sequence[int]) -> pd.Series:
+    """Which rows come strictly after a position."""
+    later = pd.Series(False, index=rows.index)
+    for c, at in reversed(list(zip(order, position))):
+        later = (rows[c] > at) | ((rows[c] == at) & later)
+    return later
+
+
 def _known(value) -> float | None:
     return None if pd.isna(value) else float(value)
 
@@ -38,54 +46,60 @@ def fill_and_delay(
     of an entity goes away once the watermark is that far past its newest row; put the watermark on the
     stream first.
     """
-    clock, *ties = spec.order
-    features = list(spec.features)
+    clock = spec.order[0]
+    order, features = list(spec.order), list(spec.features)
     entity_type = stream.schema[spec.entity].dataType
     output = T.StructType(
         [T.StructField(spec.entity, entity_type)]
-        + [T.StructField(c, stream.schema[c].dataType) for c in spec.order]
+        + [T.StructField(c, stream.schema[c].dataType) for c in order]
         + [T.StructField(c, T.DoubleType()) for c in features]
         + [T.StructField("late_rows", T.LongType())]
     )
-    names = output.fieldNames()
     expires = event_time is not None and expire_after_ms is not None
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
+        rows = pd.concat(list(chunks), ignore_index=True)[order + features]
+        rows[clock] = pd.to_datetime(rows[clock]).astype("datetime64[us]").astype("int64")
+        rows = rows.sort_values(order)
+        arrived, late, held = len(rows), 0, None
+        if state.exists:
+            saved = json.loads(state.get[0])
+            held = pd.DataFrame(saved["held"], columns=order + features)
+            held = held.astype({c: "float64" for c in features})
+            rows, late = rows[_after(rows, order, saved["newest"])], saved["late"]
+        rows = rows.drop_duplicates(order)
+        late += arrived - len(rows)
+        filled = rows[features].astype("float64").ffill()
         if state.exists:
-            history = json.loads(state.get[0])
+            filled = filled.fillna({c: v for c, v in zip(features, saved["last"]) if v is not None})
+        rows = pd.concat([rows[order], filled], axis=1)
+        if len(rows):
+            newest = [int(v) for v in rows[order].iloc[-1]]
+            last = [_known(v) for v in rows[features].iloc[-1]]
         else:
-            history = {"last": [None] * len(features), "newest": None, "held": [], "late": 0}
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values(list(spec.order))
-        micros = pd.to_datetime(rows[clock]).astype("datetime64[us]").astype("int64")
-        positions = list(zip(micros, *[rows[c].astype("int64") for c in ties]))
-        newest = tuple(history["newest"]) if history["newest"] else None
-        last, held, out = history["last"], history["held"], []
-        for at, values in zip(positions, rows[features].itertuples(index=False, name=None)):
-            if newest is not None and at <= newest:
-                history["late"] += 1
-                continue
-            newest = at
-            fresh = [_known(v) for v in values]
-            last = [old if new is None else new for old, new in zip(last, fresh)]
-            held.append([[int(p) for p in at], last])
-            if len(held) > delay:
-                out.append(held.pop(0))
-        history.update(last=last, held=held, newest=[int(p) for p in newest])
-        state.update((json.dumps(history),))
+            newest, last = saved["newest"], saved["last"]
+        both = [part for part in (held, rows) if part is not None and len(part)]
+        waiting = pd.concat(both) if both else rows
+        ready = waiting.iloc[: max(len(waiting) - delay, 0)]
+        waiting = waiting.iloc[len(ready) :]
+        kept = [
+            [int(v) for v in at] + [_known(v) for v in values]
+            for at, values in zip(
+                waiting[order].itertuples(index=False), waiting[features].itertuples(index=False)
+            )
+        ]
+        state.update((json.dumps({"held": kept, "newest": newest, "last": last, "late": late}),))
         if expires:
-            state.setTimeoutTimestamp(int(newest[0] // 1000) + expire_after_ms)
-        if out:
-            made = {spec.entity: [key[0]] * len(out)}
-            made[clock] = pd.to_datetime([at[0] for at, _ in out], unit="us")
-            for i, c in enumerate(ties, start=1):
-                made[c] = [at[i] for at, _ in out]
-            for i, c in enumerate(features):
-                made[c] = pd.Series([v[i] for _, v in out], dtype="float64")
-            made["late_rows"] = history["late"]
-            yield pd.DataFrame(made)[names]
+            state.setTimeoutTimestamp(newest[0] // 1000 + expire_after_ms)
+        if len(ready):
+            out = ready.reset_index(drop=True).astype({c: "float64" for c in features})
+            out[clock] = pd.to_datetime(out[clock].astype("int64"), unit="us")
+            out.insert(0, spec.entity, key[0])
+            out["late_rows"] = late
+            yield out[output.fieldNames()]
 
     timeout = GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout
     wanted = stream.select(*spec.keys, *[F.col(c).cast("double").alias(c) for c in features])

@@ -558,7 +558,7 @@ def _report(spark, sf_dir):
 @query
 def drift_by_batch(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    found = drift.drift_by_batch(ref, cur, [*NUMERIC, *CATEGORICAL])
+    found = drift.drift_by_batch(ref, cur, [*NUMERIC, *CATEGORICAL], small=False)
     return found.select("batch", "column", "stattest", *r6("score"), "drifted")
 
 

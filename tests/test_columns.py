@@ -1,0 +1,117 @@
+import pytest
+from pyspark.sql import functions as F
+
+from panelweave import PanelSpec
+from panelweave.operators import encode, split, stats
+from panelweave.plans import prepare
+
+
+def frame(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_one_hot_uses_training_categories(spark):
+    train = frame(spark, [(1, 0, 9), (2, 1, 9)], "id long, Gender int, z int")
+    test = frame(spark, [(3, None, 9), (4, 2, 9), (5, 1, 9)], "id long, Gender int, z int")
+    categories = encode.fit_categories(train, "Gender")
+    assert categories == [0, 1]
+    got = encode.one_hot(test, "Gender", categories)
+    assert got.columns == ["id", "Gender_0", "Gender_1", "z"]
+    assert [tuple(r)[1:3] for r in got.orderBy("id").collect()] == [(0, 0), (0, 0), (0, 1)]
+    end = encode.one_hot(test, "Gender", categories, position="end", prefix="column_36")
+    assert end.columns == ["id", "z", "column_36_0", "column_36_1"]
+
+
+def test_too_many_categories(spark):
+    with pytest.raises(ValueError):
+        encode.fit_categories(spark.range(20), "id", max_categories=10)
+
+
+def test_drop_unknown_column(spark):
+    with pytest.raises(ValueError):
+        encode.drop_columns(spark.range(1), ["nope"])
+
+
+def test_sparse_columns_follow_train(spark):
+    schema = "id long, a double, b double, c double"
+    train = frame(spark, [(1, None, None, 1.0), (2, None, 2.0, 1.0)], schema)
+    test = frame(spark, [(3, 5.0, None, None)], schema)
+    kept_train, kept_test = encode.drop_sparse_columns(train, [test], ["a", "b", "c"])
+    assert kept_train.columns == kept_test.columns == ["id", "b", "c"]
+    assert encode.sparse_columns(train, ["a", "b", "c"], 0.5) == ["a", "b"]
+
+
+def test_impute_and_scale_edges(spark):
+    schema = "id long, a double, const double, none double"
+    train = frame(spark, [(1, 0.0, 4.0, None), (2, 10.0, 4.0, None), (3, None, 4.0, None)], schema)
+    test = frame(spark, [(4, 20.0, 6.0, 1.0), (5, None, None, None)], schema)
+    names = ["a", "const", "none"]
+    fitted = stats.fit_stats(train, names)
+    got = {r.id: tuple(r)[1:] for r in stats.impute_and_scale(train, names, fitted).collect()}
+    assert got == {1: (0.0, 0.0, 0.0), 2: (1.0, 0.0, 0.0), 3: (0.5, 0.0, 0.0)}
+    got = {r.id: tuple(r)[1:] for r in stats.impute_and_scale(test, names, fitted).collect()}
+    assert got == {4: (2.0, 2.0, 1.0), 5: (0.5, 0.0, 0.0)}
+    same = stats.impute_and_scale(test, names, stats.stats_values(fitted))
+    assert {r.id: tuple(r)[1:] for r in same.collect()} == got
+
+
+def test_zero_filled_bounds(spark):
+    train = frame(spark, [(1, 5.0), (2, None), (3, 10.0)], "id long, a double")
+    fitted = stats.fit_stats(train, ["a"])
+    got = stats.impute_and_scale(train, ["a"], fitted, how="zero").orderBy("id").collect()
+    assert [r.a for r in got] == [0.5, 0.0, 1.0]
+
+
+def test_mean_of_equal_values_stays_inside_the_bounds(spark):
+    df = spark.range(1000).select(F.lit(0.1).alias("a"))
+    row = stats.fit_stats(df, ["a"]).first()
+    assert row["a__mean"] == row["a__min"] == row["a__max"] == 0.1
+
+
+def test_fit_sees_training_rows_only(spark):
+    df = frame(spark, [(1, 1.0), (2, 3.0), (3, None), (4, 100.0)], "id long, a double")
+    row = stats.fit_stats(df, ["a"], F.col("id") <= 3).first()
+    assert (row["a__mean"], row["a__min"], row["a__max"], row["a__nulls"]) == (2.0, 1.0, 3.0, 1)
+
+
+def test_mean_impute_needs_stats(spark):
+    with pytest.raises(ValueError):
+        stats.impute(spark.range(1), ["id"])
+
+
+def test_entities_never_cross_splits(spark):
+    df = spark.range(1000).select((F.col("id") % 50).alias("id"), F.col("id").alias("k"))
+    parts = split.hash_split(df, "id", {"train": 60, "test": 20, "valid": 20})
+    per_entity = parts.groupBy("id").agg(F.count_distinct("split").alias("n"))
+    assert per_entity.where("n > 1").count() == 0
+    by_row = split.hash_split(df, "k", {"train": 67, "test": 33}, seed=42)
+    share = by_row.where("split = 'train'").count() / 1000
+    assert 0.6 < share < 0.74
+
+
+def test_id_ranges(spark):
+    got = split.split_by_id_range(spark.range(1, 7), "id", [2, 4], ["train", "test"]).collect()
+    assert {(r.id, r.split) for r in got} == {(1, "train"), (2, "train"), (3, "test"), (4, "test")}
+
+
+def test_spec_rejects_clashes_and_missing_order():
+    with pytest.raises(ValueError):
+        PanelSpec("id", (), ("a",))
+    with pytest.raises(ValueError):
+        PanelSpec("id", ("t",), ("a", "id"))
+
+
+def test_variants_differ_where_their_order_differs(spark):
+    spec = PanelSpec("id", ("t",), ("a",), "y")
+    rows = [(i, t, float(i + t) if t % 7 == 0 else None, 0) for i in range(4) for t in range(20 + i)]
+    rows += [(9, t, 1.0, 0) for t in range(4)]
+    df = frame(spark, rows, "id long, t long, a double, y int")
+    train = F.col("id") != 0
+    v1 = prepare.prepare_v1(df, spec, train)
+    v2 = prepare.prepare_v2(df, spec, train)
+    v3, _ = prepare.prepare_v3(df, spec, train)
+    v4, _ = prepare.prepare_v4(df, spec, train)
+    assert v1.count() == v2.count() == 15 + 16 + 17 + 18
+    assert v3.count() == v4.count() == 20 + 21 + 22 + 23
+    sums = [round(d.agg(F.sum("a")).first()[0], 6) for d in (v1, v2, v3, v4)]
+    assert len(set(sums)) == 4
