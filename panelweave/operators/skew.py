@@ -88,12 +88,15 @@ def cut_hot_groups(
     if keys:
         sizes = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         found = sizes.where(F.col("__n") > limit)
-        n_hot, hot_rows = found.agg(F.count(F.lit(1)), F.sum("__n")).first()
-        if not n_hot:
+        listed = found.limit(HOT_KEYS_SENT + 1).collect()
+        if not listed:
             return None
-        hot = found.select(*keys)
-        if n_hot <= HOT_KEYS_SENT:
-            hot = F.broadcast(df.sparkSession.createDataFrame(hot.collect(), hot.schema))
+        if len(listed) <= HOT_KEYS_SENT:
+            hot_rows = sum(row["__n"] for row in listed)
+            hot = F.broadcast(df.sparkSession.createDataFrame(listed, found.schema).select(*keys))
+        else:
+            hot_rows = found.agg(F.sum("__n")).first()[0]
+            hot = found.select(*keys)
         marked = df.join(hot.withColumn("__hot", F.lit(True)), keys, "left")
     else:
         hot_rows = total

@@ -32,13 +32,17 @@ def column_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def fit_stats(df: DataFrame, columns: Sequence[str], where: Column | None = None) -> DataFrame:
+def fit_stats(
+    df: DataFrame, columns: Sequence[str], where: Column | None = None, share_scan: bool = False
+) -> DataFrame:
     """One row with ``<column>__mean``, ``__min``, ``__max`` and ``__nulls`` for each column.
 
     ``where`` marks the training rows. It is applied inside the aggregates, not as a filter below them, so
     that the plan under the fit stays the plan under the transform and Spark can reuse its shuffle.
     A mean lies between the bounds, so filling nulls with it leaves them unchanged and one pass is enough;
-    it is clamped because a sum of many equal doubles may round past them.
+    it is clamped because a sum of many equal doubles may round past them. With ``share_scan`` the fit also
+    reads the columns it has no use for: a transform of the same plan then finds the very same shuffle,
+    columns included, and Spark runs it once.
     """
     chosen = F.lit(True) if where is None else where
     out = []
@@ -53,6 +57,9 @@ def fit_stats(df: DataFrame, columns: Sequence[str], where: Column | None = None
             high.alias(f"{c}__max"),
             F.count_if(chosen & F.col(c).isNull()).alias(f"{c}__nulls"),
         ]
+    others = [c for c in df.columns if c not in columns]
+    if share_scan and others:
+        out.append(F.count_if(F.xxhash64(*others) == 0).alias("__unused"))
     return df.agg(*out)
 
 

@@ -24,7 +24,7 @@ def encode(
 
 
 def _fit(df: DataFrame, spec: PanelSpec, train: Column | None, stats: DataFrame | dict | None):
-    return fit_stats(df, spec.features, train) if stats is None else stats
+    return fit_stats(df, spec.features, train, share_scan=True) if stats is None else stats
 
 
 def prepare_v1(
@@ -70,7 +70,7 @@ def prepare_v3(
     rows, kept = drop_sparse_columns(panel.where(train), [panel], spec.features)
     spec = spec.with_features(*[c for c in spec.features if c in rows.columns])
     filled = history.ffill(_long_enough(kept, spec, train, min_rows), spec, group_rows=group_rows)
-    return impute(filled, spec.features, fit_stats(filled, spec.features, train)), spec
+    return impute(filled, spec.features, fit_stats(filled, spec.features, train, share_scan=True)), spec
 
 
 def prepare_v4(
@@ -85,5 +85,5 @@ def prepare_v4(
     spec = spec.without(*drop_features)
     lean = panel.drop(*drop_features)
     filled = history.ffill(_long_enough(lean, spec, train, min_rows), spec, group_rows=group_rows)
-    stats = fit_stats(filled, spec.features, train)
+    stats = fit_stats(filled, spec.features, train, share_scan=True)
     return impute_and_scale(filled, spec.features, stats, how="zero"), spec
