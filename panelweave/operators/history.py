@@ -48,7 +48,7 @@ def ffill(
 ) -> DataFrame:
     """Replace nulls by the last earlier non-null value of the entity; leading nulls stay."""
     columns = list(columns or spec.features)
-    cut = cut_hot_groups(df, [spec.entity], spec.order, group_rows)
+    cut = cut_hot_groups(df, [spec.entity], spec.order, group_rows, spec.max_history)
     if cut is not None:
         return _ffill_segments(cut, spec, columns).select(*df.columns)
     upto = Window.partitionBy(spec.entity).orderBy(*spec.order).rowsBetween(Window.unboundedPreceding, 0)
@@ -125,7 +125,7 @@ def ffill_trim(
 
     Values of rows that are cut off the front are carried into the rows that stay.
     """
-    cut = cut_hot_groups(df, [spec.entity], spec.order, group_rows)
+    cut = cut_hot_groups(df, [spec.entity], spec.order, group_rows, spec.max_history)
     if cut is not None:
         return trim_tail(_ffill_segments(cut, spec, spec.features).select(*df.columns), spec, drop, keep)
     w = Window.partitionBy(spec.entity).orderBy(*spec.order)

@@ -140,16 +140,19 @@ def running_totals(
     following: dict[str, str] | None = None,
     group_rows: int | None = None,
     at_most: int | None = None,
+    cut: DataFrame | None = None,
 ) -> DataFrame:
     """Running sums (inclusive) per group, in order, plus the next row's value of some columns.
 
     ``totals`` maps an output column to the column it sums; ``following`` maps an output column to
-    the column whose value in the next row it takes (null in the last row of the group).
+    the column whose value in the next row it takes (null in the last row of the group). ``cut`` is the
+    result of ``cut_hot_groups`` if the caller already has it.
     """
     keys, order = list(keys), list(order)
     following = following or {}
     partition = keys or [F.lit(0)]
-    cut = cut_hot_groups(df, keys, order, group_rows, at_most)
+    if cut is None:
+        cut = cut_hot_groups(df, keys, order, group_rows, at_most)
     if cut is None:
         w = Window.partitionBy(*partition).orderBy(*order)
         upto = w.rowsBetween(Window.unboundedPreceding, 0)

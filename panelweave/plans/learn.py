@@ -75,15 +75,17 @@ def causal_features(
         return out
 
     names = [*df.columns, *causal_feature_names(spec, rows)[len(spec.features) :]]
-    if cut_hot_groups(df, [spec.entity], spec.order, group_rows) is None:
+    cut = cut_hot_groups(df, [spec.entity], spec.order, group_rows, spec.max_history)
+    if cut is None:
         w = Window.partitionBy(spec.entity).orderBy(*spec.order)
         return df.select("*", *made(w, w.rowsBetween(1 - rows, 0)))
 
     size = max(rows, rows_per_group(df, df.count(), group_rows))
+    one = F.lit(1).cast("bigint")
     numbered = running_totals(
-        df.withColumn("__one", F.lit(1).cast("bigint")), [spec.entity], spec.order, {"__at": "__one"},
-        group_rows=group_rows,
-    )
+        df.withColumn("__one", one), [spec.entity], spec.order, {"__at": "__one"},
+        cut=cut.withColumn("__one", one),
+    )
     home = F.floor((F.col("__at") - 1) / size).cast("bigint")
     needed_next = (F.col("__at") - 1) % size >= size - max(rows - 1, 1)
     copies = F.when(needed_next, F.array(home, home + 1)).otherwise(F.array(home))

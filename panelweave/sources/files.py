@@ -35,7 +35,7 @@ def read_panel_dir(
 ) -> DataFrame:
     """Scan folders of per-entity text files into one panel, entity column first.
 
-    Hidden files and other suffixes are skipped. A file whose header differs from ``schema`` fails the job,
+    Hidden files, other suffixes and plain subfolders are skipped. A file whose header differs from ``schema`` fails the job,
     where Spark's default would read its columns by position.
     """
     scan = (
@@ -46,7 +46,6 @@ def read_panel_dir(
         .option("nullValue", MISSING)
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
         .csv(path)
     )
     return scan.select(entity_from_file(id_pattern).alias(entity), *schema.fieldNames())

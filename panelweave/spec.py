@@ -10,13 +10,15 @@ class PanelSpec:
     """Names the columns of a panel; operators never address columns by position.
 
     ``order`` must be a total, non-null order of the rows inside one entity, so its last
-    column is usually a unique tie-breaker.
+    column is usually a unique tie-breaker. ``max_history`` is an upper bound on the rows of any
+    entity, if one is known; it saves looking for entities too long for one task.
     """
 
     entity: str
     order: tuple[str, ...]
     features: tuple[str, ...]
     label: str | None = None
+    max_history: int | None = None
 
     def __post_init__(self):
         if not self.order:

@@ -72,6 +72,13 @@ def test_no_segments_when_groups_fit(spark):
     assert cut_hot_groups(df, ["id"], ["t"], group_rows=10) is None
 
 
+def test_known_bound_saves_the_count(spark):
+    spec = PanelSpec("id", ("t",), ("a", "b"), "y", max_history=10)
+    df = panel(spark, {1: 10})
+    assert cut_hot_groups(df, ["id"], ["t"], 10, spec.max_history) is None
+    assert history.ffill_trim(df, spec, 1, 3).count() == 3
+
+
 def test_running_totals_split_equals_plain(spark):
     rows = [(g, v, v % 5) for g in range(3) for v in range(200 * (g + 1))]
     df = spark.createDataFrame(rows, "g int, v long, n long")

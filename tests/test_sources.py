@@ -26,6 +26,8 @@ def test_scan_of_entity_files(spark, tmp_path):
     write(tmp_path, "p100003.psv", "HR|Gender|y\n70|NaN|0\n")
     for name in (".p1.psv", "p2.PSV", "p3.txt"):
         write(tmp_path, name, "HR|Gender|y\n1|1|1\n")
+    os.mkdir(tmp_path / "older")
+    write(tmp_path / "older", "p4.psv", "HR|Gender|y\n1|1|1\n")
     df = files.read_panel_dir(spark, str(tmp_path), SMALL)
     assert df.columns == ["id", "HR", "Gender", "y"]
     rows = {tuple(r) for r in df.collect()}
