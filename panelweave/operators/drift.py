@@ -21,6 +21,9 @@ SMALL_REFERENCE = 1000
 FEW_VALUES = 5
 STD_FLOOR = 0.001
 
+# Groups of a summary whose sizes are sent to every task.
+GROUPS_SENT = 100_000
+
 # Batches compared in one pass over the sorted values; more batches take more passes.
 BATCHES_PER_PASS = 64
 
@@ -96,15 +99,16 @@ def numeric_drift(
     columns: Sequence[str],
     by: str = "batch",
     group_rows: int | None = None,
+    batches: Sequence | None = None,
 ) -> DataFrame:
     """Distances between the distributions of numeric columns, per batch and column.
 
     Gives (by, column, n_ref, n_cur, wasserstein, drift_score, ks, ks_p_value). The values of both samples
     are counted, sorted once per column, and walked with running counts; columns with too many distinct
-    values for one task are walked in segments.
+    values for one task are walked in segments. ``batches`` lists the batches if they are known.
     """
     columns = list(columns)
-    batches = _batches(cur, by)
+    batches = list(batches) if batches is not None else _batches(cur, by)
     spread = ref.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns])
     stds = spread.select(
         F.explode(
@@ -145,16 +149,16 @@ def numeric_drift(
     )
 
 
-def wasserstein(ref, cur, columns, by="batch", group_rows=None) -> DataFrame:
+def wasserstein(ref, cur, columns, by="batch", group_rows=None, batches=None) -> DataFrame:
     """(by, column, wasserstein, drift_score): the distance, and the distance over the reference spread."""
-    return numeric_drift(ref, cur, columns, by, group_rows).select(by, "column", "wasserstein", "drift_score")
+    found = numeric_drift(ref, cur, columns, by, group_rows, batches)
+    return found.select(by, "column", "wasserstein", "drift_score")
 
 
-def ks_statistic(ref, cur, columns, by="batch", group_rows=None) -> DataFrame:
+def ks_statistic(ref, cur, columns, by="batch", group_rows=None, batches=None) -> DataFrame:
     """(by, column, n_ref, n_cur, ks, ks_p_value): the two-sample statistic and its asymptotic p-value."""
-    return numeric_drift(ref, cur, columns, by, group_rows).select(
-        by, "column", "n_ref", "n_cur", "ks", "ks_p_value"
-    )
+    found = numeric_drift(ref, cur, columns, by, group_rows, batches)
+    return found.select(by, "column", "n_ref", "n_cur", "ks", "ks_p_value")
 
 
 def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
@@ -170,7 +174,11 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
 
 
 def categorical_drift(
-    ref: DataFrame, cur: DataFrame, columns: Sequence[str], by: str = "batch"
+    ref: DataFrame,
+    cur: DataFrame,
+    columns: Sequence[str],
+    by: str = "batch",
+    batches: Sequence | None = None,
 ) -> DataFrame:
     """Distances between the distributions of categorical columns, per batch and column.
 
@@ -178,7 +186,7 @@ def categorical_drift(
     scaled to the size of the batch; ``z`` compares the share of the greatest value and is null unless the
     column has two values.
     """
-    batches = _batches(cur, by)
+    batches = list(batches) if batches is not None else _batches(cur, by)
     results = []
     for some in _passes(batches):
         slots = ["r", *[f"c{i}" for i in range(len(some))]]
@@ -216,22 +224,22 @@ def categorical_drift(
     return found.select(by, "column", "n_ref", "n_cur", "n_values", "js", "chi2", z.alias("z"))
 
 
-def js_distance(ref, cur, columns, by="batch") -> DataFrame:
+def js_distance(ref, cur, columns, by="batch", batches=None) -> DataFrame:
     """(by, column, js): Jensen-Shannon distance, natural logarithm."""
-    return categorical_drift(ref, cur, columns, by).select(by, "column", "js")
+    return categorical_drift(ref, cur, columns, by, batches).select(by, "column", "js")
 
 
-def chi2_statistic(ref, cur, columns, by="batch") -> DataFrame:
+def chi2_statistic(ref, cur, columns, by="batch", batches=None) -> DataFrame:
     """(by, column, n_values, chi2, p_value)."""
-    found = categorical_drift(ref, cur, columns, by)
+    found = categorical_drift(ref, cur, columns, by, batches)
     return found.select(
         by, "column", "n_values", "chi2", chi2_p_value(F.col("chi2"), F.col("n_values") - 1).alias("p_value")
     )
 
 
-def z_statistic(ref, cur, columns, by="batch") -> DataFrame:
+def z_statistic(ref, cur, columns, by="batch", batches=None) -> DataFrame:
     """(by, column, z, p_value) for columns with two values."""
-    found = categorical_drift(ref, cur, columns, by).where(F.col("n_values") == 2)
+    found = categorical_drift(ref, cur, columns, by, batches).where(F.col("n_values") == 2)
     return found.select(by, "column", "z", z_p_value(F.col("z")).alias("p_value"))
 
 
@@ -293,6 +301,7 @@ def drift_by_batch(
     kinds: dict[str, str] | None = None,
     small: bool | None = None,
     group_rows: int | None = None,
+    batches: Sequence | None = None,
 ) -> DataFrame:
     """Drift of every column in every batch: (by, column, stattest, score, threshold, drifted).
 
@@ -300,17 +309,18 @@ def drift_by_batch(
     (Kolmogorov-Smirnov, chi-squared, z for two values). All batches are compared in one job.
     """
     kinds = kinds or column_kinds(ref, columns)
+    batches = list(batches) if batches is not None else _batches(cur, by)
     if small is None:
         small = ref.limit(SMALL_REFERENCE + 1).count() <= SMALL_REFERENCE
     numeric = [c for c in columns if kinds[c] == "numeric"]
     categorical = [c for c in columns if kinds[c] == "categorical"]
     parts = []
     if numeric:
-        found = numeric_drift(ref, cur, numeric, by, group_rows)
+        found = numeric_drift(ref, cur, numeric, by, group_rows, batches)
         name, value = ("ks", "ks_p_value") if small else ("wasserstein", "drift_score")
         parts.append(found.select(by, "column", F.lit(name).alias("stattest"), F.col(value).alias("score")))
     if categorical:
-        found = categorical_drift(ref, cur, categorical, by)
+        found = categorical_drift(ref, cur, categorical, by, batches)
         if small:
             two = F.col("n_values") <= 2
             name = F.when(two, "z").otherwise("chi2")
@@ -340,18 +350,21 @@ def dataset_drift(report: DataFrame, by: str = "batch", share: float = DATASET_S
 
 def drift_tests(report: DataFrame, by: str = "batch", share: float = DATASET_SHARE) -> DataFrame:
     """Pass or fail per column, and one test on the share of drifted columns: (by, test, column, value, passed)."""
-    columns = report.select(
-        by, F.lit("column_drift").alias("test"), "column", F.col("score").alias("value"),
+    row = F.struct(
+        F.lit("column_drift").alias("test"), "column", F.col("score").alias("value"),
         (~F.col("drifted")).alias("passed"),
     )
-    whole = dataset_drift(report, by, share).select(
-        by,
+    # One pass over the report: the rows of a batch are one per column.
+    batches = report.groupBy(by).agg(
+        F.collect_list(row).alias("tests"), (F.count_if("drifted") / F.count(F.lit(1))).alias("part")
+    )
+    whole = F.struct(
         F.lit("share_of_drifted_columns").alias("test"),
         F.lit("*").alias("column"),
-        F.col("share_drifted").alias("value"),
-        (F.col("share_drifted") < share).alias("passed"),
+        F.col("part").alias("value"),
+        (F.col("part") < share).alias("passed"),
     )
-    return columns.unionByName(whole)
+    return batches.select(by, F.explode(F.concat("tests", F.array(whole))).alias("t")).select(by, "t.*")
 
 
 def missing_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("batch",)) -> DataFrame:
@@ -446,6 +459,9 @@ def column_summary(
         F.count(F.lit(1)).alias("n_unique"),
         F.max_by("value", F.struct("n", -F.col("value"))).alias("most_common"),
     )
+    # One row per group: few groups are sent to all tasks; many are written, so that AQE can split a large one.
+    n_groups = wide.count() * len(columns)
+    sizes = F.broadcast(sizes) if n_groups <= GROUPS_SENT else materialise(sizes, "group-sizes")
     placed = walked.join(sizes, [by, "column"])
     picks = []
     for name, q in QUARTILES.items():

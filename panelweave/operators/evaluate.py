@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.operators.skew import running_totals
+
 # The thresholds tried when tuning the alarm.
 SWEEP_THRESHOLDS = (0.0001, 0.001, 0.005, 0.01, 0.05, 0.1, 0.2, 0.3, 0.4)
 
@@ -72,6 +74,16 @@ def binary_metrics(counts: DataFrame, epsilon: float = 0.0) -> DataFrame:
     )
 
 
+def running_metrics(
+    counts: DataFrame, order: Sequence[str], epsilon: float = 0.0, by: Sequence[str] = ()
+) -> DataFrame:
+    """Metrics over all batches so far, from one row of confusion counts per batch, in order."""
+    so_far = {f"__{c}": c for c in ("tn", "fp", "fn", "tp")}
+    walked = running_totals(counts, by, order, so_far)
+    keep = [c for c in counts.columns if c not in so_far.values()]
+    return binary_metrics(walked.select(*keep, *[F.col(t).alias(c) for t, c in so_far.items()]), epsilon)
+
+
 def threshold_sweep(
     df: DataFrame,
     thresholds: Sequence[float] = SWEEP_THRESHOLDS,

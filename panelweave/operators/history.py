@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelweave.operators.skew import SEGMENT, cut_hot_groups, rows_per_group, running_totals
 from panelweave.spec import PanelSpec
+from panelweave.workspace import materialise
 
 
 def _newest_first(spec: PanelSpec):
@@ -34,13 +35,19 @@ def limit_entities(df: DataFrame, spec: PanelSpec, n: int) -> DataFrame:
 
 
 def min_history(df: DataFrame, spec: PanelSpec, n: int = 15) -> DataFrame:
-    """Rows of entities with at least ``n`` rows.
+    """Rows of entities with at least ``n`` rows."""
+    enough = entity_lengths(df, spec).where(F.col("n_rows") >= n).select(spec.entity)
+    return df.join(entity_list(enough), spec.entity, "left_semi")
+
 
-    Counts are combined before the shuffle and the panel is semi-joined to them, so Spark can broadcast
-    a small id list or split an oversized entity over tasks; a counting window could do neither.
+def entity_list(chosen: DataFrame) -> DataFrame:
+    """Chosen entities as a written table, to filter a panel by.
+
+    Spark then knows the size of the list before it plans the join: a short list is broadcast and the panel is
+    not shuffled at all. For a long one both sides of the join are plain shuffles, which is what AQE needs to
+    split the tasks of an oversized entity; an aggregate in between would prevent that.
     """
-    enough = entity_lengths(df, spec).where(F.col("n_rows") >= n).select(spec.entity)
-    return df.join(enough, spec.entity, "left_semi")
+    return materialise(chosen, "entities")
 
 
 def ffill(

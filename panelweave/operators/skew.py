@@ -37,7 +37,17 @@ def order_position(df: DataFrame, column: str) -> Column:
         return F.unix_date(c).cast("double")
     if isinstance(kind, (T.TimestampType, T.NumericType)):
         return c.cast("double")
-    raise TypeError(f"cannot segment by {column}: {kind.simpleString()} has no numeric position")
+    if isinstance(kind, T.StringType):
+        prefix = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(prefix, 16, 10).cast("double")
+    raise TypeError(f"cannot segment by {column}: {kind.simpleString()} has no position")
+
+
+def _is_exact(kind: T.DataType, position: float) -> bool:
+    """Whether rows at this position all have the same value, rather than values that round to it."""
+    if isinstance(kind, T.LongType):
+        return abs(position) < 2**53
+    return not isinstance(kind, (T.DecimalType, T.StringType))
 
 
 def _bucket(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> DataFrame:
@@ -108,7 +118,8 @@ def cut_hot_groups(
     )
     only_hot = placed.where(F.col("__hot"))
     cuts = _quantiles(only_hot, "__at", parts)
-    repeated = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+    lead = df.schema[order[0]].dataType
+    repeated = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and _is_exact(lead, a)})
 
     if repeated and len(order) > 1:
         # Single values of the first order column hold more rows than a segment may: give each its own

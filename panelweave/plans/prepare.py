@@ -60,7 +60,8 @@ def prepare_v2(
 def _long_enough(panel: DataFrame, spec: PanelSpec, train: Column, n: int) -> DataFrame:
     """Drop training entities with fewer than ``n`` rows; an entity lies wholly inside or outside of train."""
     lengths = panel.where(train).groupBy(spec.entity).agg(F.count(F.lit(1)).alias("__n"))
-    return panel.join(lengths.where(F.col("__n") < n).select(spec.entity), spec.entity, "left_anti")
+    short = history.entity_list(lengths.where(F.col("__n") < n).select(spec.entity))
+    return panel.join(short, spec.entity, "left_anti")
 
 
 def prepare_v3(

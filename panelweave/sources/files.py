@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelweave.operators.skew import SEGMENT, cut_hot_groups
 from panelweave.spec import PanelSpec
 
 # An entity file is one letter, the entity number and this suffix; NaN marks a missing value.
 ENTITY_FILE = r"/[^/](\d+)\.psv$"
 ENTITY_FOLDER = r"/file=[^/](\d+)/[^/]*\.psv$"
 MISSING = "NaN"
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 # Settings worth having in a session that scans folders of tiny files: Spark then puts many into one task.
 SMALL_FILE_SETTINGS = {"spark.sql.files.openCostInBytes": "32768"}
@@ -51,22 +53,27 @@ def read_panel_dir(
     return scan.select(entity_from_file(id_pattern).alias(entity), *schema.fieldNames())
 
 
-def write_panel_dir(df: DataFrame, spec: PanelSpec, path: str, sep: str = "|") -> None:
+def write_panel_dir(
+    df: DataFrame, spec: PanelSpec, path: str, sep: str = "|", group_rows: int | None = None
+) -> None:
     """Write one folder ``file=p<entity>`` of text files per entity, readable with ``ENTITY_FOLDER``.
 
-    The rebalance hint lets Spark merge small entities into one task and split an oversized one.
+    Entities are spread over all shuffle partitions, as opening files is what takes the time; the segments of
+    an oversized entity go to different tasks and become several files in its folder.
     """
     named = df.withColumn("file", F.concat(F.lit("p"), F.col(spec.entity).cast("string")))
+    cut = cut_hot_groups(named, [spec.entity], spec.order, group_rows, spec.max_history)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = named.repartition(tasks, "file") if cut is None else cut.repartition(tasks, "file", SEGMENT)
     (
-        named.drop(spec.entity)
-        .hint("rebalance", F.col("file"))
+        spread.drop(spec.entity, SEGMENT)
         .write.partitionBy("file")
         .option("sep", sep)
         .option("header", True)
         .option("nullValue", MISSING)
         .option("extension", "psv")
-        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        .option("timestampNTZFormat", ISO_MICROS)
+        .option("timestampFormat", ISO_MICROS)
         .csv(path)
     )
 
@@ -93,21 +100,33 @@ def write_panel(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
         writer = writer.option("header", True).option("nullValue", MISSING)
-        writer.option("timestampNTZFormat", iso).option("timestampFormat", iso).csv(path)
+        writer.option("timestampNTZFormat", ISO_MICROS).option("timestampFormat", ISO_MICROS).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """Turn NaN into null in all floating-point columns; Spark's aggregates skip nulls but not NaN."""
+    floating = {c for c, kind in df.dtypes if kind in ("double", "float")}
+    return df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in floating else F.col(c) for c in df.columns])
+
+
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    """Read a panel, or packed sequences, written as parquet."""
+    """Read a panel written as parquet, by us or by others."""
+    return nan_as_null(spark.read.parquet(path))
+
+
+def read_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """Read packed sequences."""
     return spark.read.parquet(path)
 
 
-read_sequences = read_panel
+def write_predictions(predictions: DataFrame, path: str, column: str = "prediction") -> None:
+    """Write JSON predictions as lines of text, one object per line, in as many files as there are tasks."""
+    predictions.select(column).write.text(path)
 
 
 def write_sequences(sequences: DataFrame, path: str) -> None:

@@ -267,6 +267,13 @@ ORACLE["run_log"] = ctes(*STEPPED, f"c AS (SELECT split, {counts()} FROM sc GROU
     f"SELECT run_id, threshold, sensitivity, f1 FROM "
     f"(SELECT split AS run_id, '{ALARM}' AS threshold, {METRICS} FROM c)"
 )
+ORACLE["running_metrics"] = ctes(
+    *STEPPED,
+    f"c AS (SELECT id // 16 AS batch, {counts()} FROM sc GROUP BY 1)",
+    "u AS (SELECT batch, "
+    + each(f"CAST(sum({{c}}) OVER (ORDER BY batch {SO_FAR}) AS BIGINT) AS {{c}}", ("tn", "fp", "fn", "tp"))
+    + " FROM c)",
+) + f"SELECT batch, tn, fp, fn, tp, {METRICS} FROM u"
 TRIED = ", ".join(f"({t}::DOUBLE)" for t in SWEEP_THRESHOLDS)
 ORACLE["threshold_sweep"] = ctes(
     *STEPPED,

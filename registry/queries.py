@@ -19,6 +19,7 @@ from registry.panels import (
 
 NUMERIC = ("value", "v_view", "v_click", "v_error", "v_purchase", "v_signup")
 CATEGORICAL = ("event_type", "grp")
+BATCHES = 5
 QUERIES: dict = {}
 
 
@@ -73,7 +74,7 @@ def micro(matrix: str) -> Column:
 
 def batched(spark: SparkSession, sf_dir: str):
     ref, cur = drift_samples(spark, sf_dir)
-    return ref, history.equal_batches(cur, EVENTS.order, 5)
+    return ref, history.equal_batches(cur, EVENTS.order, BATCHES)
 
 
 # ---- sources and sinks
@@ -223,7 +224,7 @@ def ffill(spark, sf_dir):
 @query
 def ffill_split(spark, sf_dir):
     """Forward-fill with every entity cut into segments, as an oversized entity is."""
-    return history.ffill(events_panel(spark, sf_dir), EVENTS, group_rows=16).drop("ts", "split")
+    return history.ffill(events_panel(spark, sf_dir), EVENTS, group_rows=40).drop("ts", "split")
 
 
 @query
@@ -408,6 +409,15 @@ def binary_metrics(spark, sf_dir):
     return evaluate.binary_metrics(counts).select("split", *r6("sensitivity", "precision", "f1"))
 
 
+@query
+def running_metrics(spark, sf_dir):
+    found = scored_steps(spark, sf_dir).withColumn("batch", F.expr("id div 16"))
+    counts = evaluate.confusion(found, ALARM, by=["batch"])
+    return evaluate.running_metrics(counts, ["batch"]).select(
+        "batch", "tn", "fp", "fn", "tp", *r6("sensitivity", "precision", "f1")
+    )
+
+
 @query
 def threshold_sweep(spark, sf_dir):
     found = evaluate.threshold_sweep(scored_steps(spark, sf_dir))
@@ -432,7 +442,7 @@ def causal_features_split(spark, sf_dir):
     """The same over blocks of each history, as an oversized entity is handled."""
     panel = history.ffill(events_panel(spark, sf_dir), EVENTS)
     few = EVENTS.with_features("v_view", "v_click", "v_error")
-    out = learn.causal_features(panel, few, group_rows=16)
+    out = learn.causal_features(panel, few, group_rows=40)
     return out.select("id", "event_id", *r6(*learn.causal_feature_names(few)))
 
 
@@ -509,7 +519,7 @@ def column_summary(spark, sf_dir):
 @query
 def wasserstein(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.wasserstein(ref, cur, NUMERIC).select(
+    return drift.wasserstein(ref, cur, NUMERIC, batches=range(BATCHES)).select(
         "batch", "column", *r6("wasserstein", "drift_score")
     )
 
@@ -518,7 +528,7 @@ def wasserstein(spark, sf_dir):
 def wasserstein_split(spark, sf_dir):
     """The distances with the sorted values of every column cut into segments."""
     ref, cur = batched(spark, sf_dir)
-    return drift.wasserstein(ref, cur, NUMERIC, group_rows=500).select(
+    return drift.wasserstein(ref, cur, NUMERIC, group_rows=500, batches=range(BATCHES)).select(
         "batch", "column", *r6("wasserstein", "drift_score")
     )
 
@@ -526,7 +536,7 @@ def wasserstein_split(spark, sf_dir):
 @query
 def ks_statistic(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.ks_statistic(ref, cur, NUMERIC).select(
+    return drift.ks_statistic(ref, cur, NUMERIC, batches=range(BATCHES)).select(
         "batch", "column", "n_ref", "n_cur", *r6("ks", "ks_p_value")
     )
 
@@ -534,25 +544,26 @@ def ks_statistic(spark, sf_dir):
 @query
 def js_distance(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.js_distance(ref, cur, CATEGORICAL).select("batch", "column", *r6("js"))
+    return drift.js_distance(ref, cur, CATEGORICAL, batches=range(BATCHES)).select("batch", "column", *r6("js"))
 
 
 @query
 def chi2_statistic(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.chi2_statistic(ref, cur, CATEGORICAL).select("batch", "column", "n_values", *r6("chi2"))
+    return drift.chi2_statistic(ref, cur, CATEGORICAL, batches=range(BATCHES)).select("batch", "column", "n_values", *r6("chi2"))
 
 
 @query
 def z_statistic(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.z_statistic(ref, cur, CATEGORICAL).select("batch", "column", *r6("z"))
+    return drift.z_statistic(ref, cur, CATEGORICAL, batches=range(BATCHES)).select("batch", "column", *r6("z"))
 
 
 def _report(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
     kinds = {c: "numeric" for c in NUMERIC} | {c: "categorical" for c in CATEGORICAL}
-    return drift.drift_by_batch(ref, cur, [*NUMERIC, *CATEGORICAL], kinds=kinds, small=False)
+    columns = [*NUMERIC, *CATEGORICAL]
+    return drift.drift_by_batch(ref, cur, columns, kinds=kinds, small=False, batches=range(BATCHES))
 
 
 @query

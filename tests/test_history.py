@@ -66,6 +66,24 @@ def test_segments_bound_every_group_and_follow_the_order(spark):
     assert hot.groupby(SEGMENT).size().max() <= 400
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz", "decimal(20,2)", "double", "long"])
+def test_segments_follow_every_kind_of_order(spark, kind):
+    k = F.col("id")
+    value = {
+        "string": F.concat(F.lit("q"), F.conv(k * 7919 % 5000, 10, 36)),
+        "date": F.date_add(F.lit("1999-12-01").cast("date"), (k % 400).cast("int")),
+        "timestamp": F.timestamp_micros(1_700_000_000_000_000 + k * 7919 % 5000),
+        "timestamp_ntz": F.timestamp_micros(1_700_000_000_000_000 + k * 7919 % 5000).cast("timestamp_ntz"),
+        "long": F.lit(2**60) + k % 50,
+    }.get(kind, (k * 7919 % 5000).cast(kind))
+    df = spark.range(3000).select(F.lit(1).alias("id"), value.alias("t"), k.alias("k"), k.cast("double").alias("a"))
+    cut = cut_hot_groups(df, ["id"], ["t", "k"], group_rows=150)
+    spans = cut.groupBy(SEGMENT).agg(F.min(F.struct("t", "k")).alias("lo"), F.max(F.struct("t", "k")).alias("hi"))
+    ordered = [(r.lo, r.hi) for r in spans.orderBy(SEGMENT).collect()]
+    assert all(a[1] < b[0] for a, b in zip(ordered, ordered[1:]))
+    assert kind == "long" or len(ordered) > 10
+
+
 def test_no_segments_when_groups_fit(spark):
     df = panel(spark, {1: 10, 2: 10})
     assert cut_hot_groups(df, ["id"], ["t"]) is None

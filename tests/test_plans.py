@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from panelweave import PanelSpec
 from panelweave.operators import evaluate, history, sequences, stats
 from panelweave.plans import prepare
 from registry.panels import EVENTS, events_panel, orders_panel, ORDERS
@@ -84,3 +85,30 @@ def test_sweep_counts_once(spark):
     text = plan(evaluate.threshold_sweep(rows))
     assert nodes(text, "Window") == 0 and text.count("Range (") == 1
     assert "Generate explode" in text.split("HashAggregate")[1] + text.split("HashAggregate")[2]
+
+
+def test_oversized_entity_is_split_by_the_join(spark):
+    """A third of the rows in one entity, and a list of entities too long to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        k = F.col("id")
+        df = spark.range(0, 200_000, 1, 16).select(
+            F.when(k % 3 == 0, 7).otherwise(100 + k % 5000).alias("id"), k.alias("t"), F.rand(1).alias("a")
+        )
+        spec = PanelSpec("id", ("t",), ("a",))
+        kept = history.min_history(df, spec, 15)
+        assert kept.count() == 200_000
+        rows = kept.collect()
+        assert len(rows) == 200_000 and "skew=true" in plan(kept)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -51,12 +51,15 @@ def test_hourly_schema_has_the_public_columns(spark, tmp_path):
     assert (row.id, row.HR, row.ICULOS, row[LABEL]) == (7, None, 3, 1)
 
 
-def test_entity_folders_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([(5, 1.5, None, 0), (5, None, 1, 1), (6, 2.0, 0, 0)], "id long, HR double, Gender int, y int")
-    spec = PanelSpec("id", ("y",), ("HR",))
-    files.write_panel_dir(df, spec, str(tmp_path / "out"))
-    back = files.read_panel_dir(spark, str(tmp_path / "out"), SMALL, id_pattern=files.ENTITY_FOLDER)
+@pytest.mark.parametrize("group_rows", [None, 10])
+def test_entity_folders_round_trip(spark, tmp_path, group_rows):
+    rows = [(5, 1.5 * t if t % 3 else None, None, t) for t in range(40)] + [(6, 2.0, 0, 0)]
+    df = spark.createDataFrame(rows, "id long, HR double, Gender int, y int")
+    out = str(tmp_path / "out")
+    files.write_panel_dir(df, PanelSpec("id", ("y",), ("HR",)), out, group_rows=group_rows)
+    back = files.read_panel_dir(spark, out, SMALL, id_pattern=files.ENTITY_FOLDER)
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+    assert (len(os.listdir(os.path.join(out, "file=p5"))) > 2) == (group_rows is not None)
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -92,3 +95,18 @@ def test_shared_dir_comes_from_the_session(spark):
     assert workspace.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     one = workspace.materialise(spark.range(5), "numbers")
     assert one.count() == 5 and workspace.fresh_path(spark, "x") != workspace.fresh_path(spark, "x")
+
+
+def test_nan_in_parquet_becomes_null(spark, tmp_path):
+    df = spark.createDataFrame([(1, float("nan")), (2, 3.0), (3, None)], "id long, a double")
+    df.write.parquet(str(tmp_path / "p"))
+    back = files.read_panel(spark, str(tmp_path / "p"))
+    assert {tuple(r) for r in back.collect()} == {(1, None), (2, 3.0), (3, None)}
+    assert stats.fit_stats(back, ["a"]).first()["a__mean"] == 3.0
+
+
+def test_predictions_are_lines_of_json(spark, tmp_path):
+    df = spark.createDataFrame([(1, '{"id":1,"result":[0]}'), (2, '{"id":2,"result":[1]}')], "id long, prediction string")
+    files.write_predictions(df, str(tmp_path / "out"))
+    back = spark.read.schema("id long, result array<int>").json(str(tmp_path / "out"))
+    assert {(r.id, r.result[0]) for r in back.collect()} == {(1, 0), (2, 1)}
