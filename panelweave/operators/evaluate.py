@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.skew import running_totals
+from panelweave.workspace import materialise
 
 # The thresholds tried when tuning the alarm.
 SWEEP_THRESHOLDS = (0.0001, 0.001, 0.005, 0.01, 0.05, 0.1, 0.2, 0.3, 0.4)
@@ -79,6 +80,8 @@ def running_metrics(
 ) -> DataFrame:
     """Metrics over all batches so far, from one row of confusion counts per batch, in order."""
     so_far = {f"__{c}": c for c in ("tn", "fp", "fn", "tp")}
+    # One row per batch, but costly to make; it is read more than once.
+    counts = materialise(counts, "batch-counts")
     walked = running_totals(counts, by, order, so_far)
     keep = [c for c in counts.columns if c not in so_far.values()]
     return binary_metrics(walked.select(*keep, *[F.col(t).alias(c) for t, c in so_far.items()]), epsilon)

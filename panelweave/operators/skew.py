@@ -112,7 +112,8 @@ def cut_hot_groups(
         hot_rows = total
         marked = df.withColumn("__hot", F.lit(True))
 
-    parts = math.ceil(hot_rows / limit) + 1
+    # Segments of half the limit, so that two of them may meet in one task.
+    parts = 2 * math.ceil(hot_rows / limit)
     placed = marked.withColumn(
         "__at", F.when(F.col("__hot"), order_position(df, order[0])).otherwise(F.lit(0.0))
     )

@@ -17,6 +17,7 @@ from panelweave.plans.prepare import prepare_v1
 from panelweave.sources.files import read_panel_dir, save_stats
 from panelweave.sources.schema import HOUR, HOURLY_SCHEMA, LABEL, STATICS, UNUSED, VITALS_AND_LABS
 from panelweave.spec import PanelSpec
+from panelweave.workspace import materialise
 
 # Every column but the entity and the label is a feature, the hour included; a copy of the hour keeps the
 # order, so scaling does not touch it.
@@ -40,12 +41,13 @@ def prepare_hourly(
     the fitted statistics are saved there first and read back, for scoring later.
     """
     both = union_panels(train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test")))
-    spec = HOURLY.without(*UNUSED)
-    categories = fit_categories(train, "Gender")
-    names = indicator_names("Gender", categories)
-    panel = one_hot(drop_columns(both, UNUSED), "Gender", categories)
-    spec = spec.encoded("Gender", names)
     is_train = F.col("split") == "train"
+    # The text is parsed once; what follows reads only the columns it needs from the written table.
+    landed = materialise(drop_columns(both, UNUSED), "hourly")
+    categories = fit_categories(landed.where(is_train), "Gender")
+    names = indicator_names("Gender", categories)
+    panel = one_hot(landed, "Gender", categories)
+    spec = HOURLY.without(*UNUSED).encoded("Gender", names)
     if stats_path is None:
         return prepare_v1(panel, spec, is_train), spec
     trimmed = ffill_trim(panel, spec)

@@ -38,6 +38,10 @@ class PanelSpec:
     def with_features(self, *names: str) -> "PanelSpec":
         return replace(self, features=tuple(names))
 
+    def bounded(self, rows: int) -> "PanelSpec":
+        """The spec of a panel whose entities are known to have at most ``rows`` rows, as after a trim."""
+        return replace(self, max_history=rows)
+
     def encoded(self, column: str, indicators: list[str], position: str = "in_place") -> "PanelSpec":
         """The spec after ``column`` was replaced by its indicator columns."""
         if position == "end" or column not in self.features:

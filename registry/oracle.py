@@ -296,6 +296,9 @@ def causal(names, source: str) -> str:
 ORACLE["causal_features"] = ctes(*V1) + causal(KEPT[:3], "v")
 ORACLE["causal_features_split"] = ctes(EVENTS_SQL, FILLED) + causal(KEPT[:3], "f")
 
+# The loaded model scores as the saved one did, on every prepared row.
+ORACLE["model_versions"] = ctes(*V1) + "SELECT id, event_id, true AS same FROM v"
+
 # ---- drift and data quality
 
 BATCHED = (

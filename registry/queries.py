@@ -432,7 +432,7 @@ def threshold_sweep(spark, sf_dir):
 @query
 def causal_features(spark, sf_dir):
     panel, spec = prepared(spark, sf_dir)
-    few = spec.with_features("v_view", "v_click", "v_error")
+    few = spec.with_features("v_view", "v_click", "v_error").bounded(50)
     out = learn.causal_features(panel, few)
     return out.select("id", "event_id", *r6(*learn.causal_feature_names(few)))
 
@@ -455,7 +455,7 @@ def rf_importance(spark, sf_dir):
 @query
 def step_classifier(spark, sf_dir):
     panel, spec = prepared(spark, sf_dir)
-    few = spec.with_features("v_view", "v_click", "v_error", "v_purchase", "v_signup")
+    few = spec.with_features("v_view", "v_click", "v_error", "v_purchase", "v_signup").bounded(50)
     wide = learn.causal_features(panel, few)
     model = learn.train_step_classifier(wide.where(is_train()), learn.causal_feature_names(few), "label", maxIter=10)
     return learn.score(wide, model).select("id", "event_id", "label", "split", *r6("score"))
@@ -467,8 +467,10 @@ def model_versions(spark, sf_dir):
     model = learn.train_step_classifier(panel.where(is_train()), list(spec.features), "label", "logreg", maxIter=10)
     base = fresh_path(spark, "models")
     learn.save_model_version(spark, model, base)
-    out = learn.score(panel, learn.load_latest_model(spark, base))
-    return out.select("id", "event_id", *r6("score"))
+    fresh = learn.score(panel, model).select("id", "event_id", "score")
+    loaded = learn.score(panel, learn.load_latest_model(spark, base)).select("id", "event_id", "score")
+    both = evaluate.join_scores(fresh.withColumnRenamed("score", "fresh"), loaded, ["id", "event_id"])
+    return both.select("id", "event_id", (F.abs(F.col("fresh") - F.col("score")) < 1e-12).alias("same"))
 
 
 @query

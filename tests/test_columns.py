@@ -115,3 +115,27 @@ def test_variants_differ_where_their_order_differs(spark):
     assert v3.count() == v4.count() == 20 + 21 + 22 + 23
     sums = [round(d.agg(F.sum("a")).first()[0], 6) for d in (v1, v2, v3, v4)]
     assert len(set(sums)) == 4
+
+
+@pytest.mark.parametrize("variant", ["v1", "v3", "v4"])
+def test_segments_do_not_change_the_preparation(spark, variant):
+    """One entity holds most rows; cutting it gives what the plain windows give."""
+    spec = PanelSpec("id", ("t", "k"), ("a", "b"), "y")
+    k = F.col("id")
+    df = spark.range(1500).select(
+        F.when(k % 3 > 0, F.lit(1)).otherwise(2 + k % 20).alias("id"), (k % 400).alias("t"), k.alias("k"),
+        F.when(k % 7 == 0, F.rand(1)).alias("a"), F.when(k % 301 == 5, F.rand(2)).alias("b"), F.lit(0).alias("y"),
+    )
+    train = F.col("id") % 4 != 0
+    made = []
+    for group_rows in (None, 90):
+        if variant == "v1":
+            out = prepare.prepare_v1(df, spec, train, group_rows=group_rows)
+        elif variant == "v3":
+            out, _ = prepare.prepare_v3(df, spec, train, group_rows=group_rows)
+        else:
+            out, _ = prepare.prepare_v4(df, spec, train, group_rows=group_rows)
+        made.append(out.select("id", "k", F.round("a", 9).alias("a"), F.round("b", 9).alias("b")))
+    plain, cut = made
+    assert plain.count() == cut.count() > 0
+    assert plain.exceptAll(cut).count() == 0
