@@ -109,13 +109,10 @@ def numeric_drift(
     """
     columns = list(columns)
     batches = list(batches) if batches is not None else _batches(cur, by)
-    spread = ref.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns])
-    stds = spread.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("std")) for c in columns])
-        ).alias("s")
-    ).select("s.*")
-    at_most = ref.count() + cur.count()
+    spread = ref.agg(
+        F.count(F.lit(1)).alias("__n"), *[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns]
+    ).first()
+    at_most = spread["__n"] + cur.count()
     results = []
     for some in _passes(batches):
         counts = _counts(ref, cur, columns, by, some, "double")
@@ -141,9 +138,10 @@ def numeric_drift(
         wide = shares.groupBy("column").agg(F.max("n_r").alias("n_ref"), *measures)
         results.append(_per_batch(wide, some, (by, cur.schema[by].dataType), ["n_ref"], ["n_cur", "wasserstein", "ks"]))
     found = reduce(DataFrame.unionByName, results).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    scored = found.join(F.broadcast(stds), "column")
-    score = F.col("wasserstein") / F.greatest(F.col("std"), F.lit(STD_FLOOR))
-    return scored.select(
+    # One number per compared column.
+    spans = F.create_map(*[F.lit(x) for c in columns for x in (c, max(spread[c] or 0.0, STD_FLOOR))])
+    score = F.col("wasserstein") / spans[F.col("column")]
+    return found.select(
         by, "column", "n_ref", "n_cur", "wasserstein", score.alias("drift_score"), "ks",
         ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_value"),
     )
@@ -451,7 +449,8 @@ def column_summary(
     cells = _long(df, columns, "double", by)
     counts = cells.groupBy(by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     at_most = df.count()
-    if at_most > rows_per_group(df, at_most, group_rows):
+    large = at_most > rows_per_group(df, at_most, group_rows)
+    if large:
         counts = materialise(counts, "value-counts")
     walked = running_totals(counts, [by, "column"], ["value"], {"upto": "n"}, group_rows=group_rows, at_most=at_most)
     sizes = counts.groupBy(by, "column").agg(
@@ -460,8 +459,8 @@ def column_summary(
         F.max_by("value", F.struct("n", -F.col("value"))).alias("most_common"),
     )
     # One row per group: few groups are sent to all tasks; many are written, so that AQE can split a large one.
-    n_groups = wide.count() * len(columns)
-    sizes = F.broadcast(sizes) if n_groups <= GROUPS_SENT else materialise(sizes, "group-sizes")
+    few = not large or sizes.count() <= GROUPS_SENT
+    sizes = F.broadcast(sizes) if few else materialise(sizes, "group-sizes")
     placed = walked.join(sizes, [by, "column"])
     picks = []
     for name, q in QUARTILES.items():

@@ -26,6 +26,10 @@ GROUP_ROWS = 1_000_000
 HOT_KEYS_SENT = 100_000
 
 
+# Cut points come to the driver; more segments than this would not make tasks noticeably smaller.
+MOST_SEGMENTS = 50_000
+
+
 def order_position(df: DataFrame, column: str) -> Column:
     """``column`` as a double that never decreases where the column increases."""
     kind = df.schema[column].dataType
@@ -90,7 +94,7 @@ def cut_hot_groups(
     if at_most is not None and at_most <= rows_per_group(df, at_most, group_rows):
         return None
     narrow = df.select(*keys, *order)
-    total = narrow.count()
+    total = at_most if at_most is not None and not keys else narrow.count()
     limit = rows_per_group(df, total, group_rows)
     if total <= limit:
         return None
@@ -113,7 +117,7 @@ def cut_hot_groups(
         marked = df.withColumn("__hot", F.lit(True))
 
     # Segments of half the limit, so that two of them may meet in one task.
-    parts = 2 * math.ceil(hot_rows / limit)
+    parts = min(2 * math.ceil(hot_rows / limit), MOST_SEGMENTS)
     placed = marked.withColumn(
         "__at", F.when(F.col("__hot"), order_position(df, order[0])).otherwise(F.lit(0.0))
     )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from panelweave.operators.evaluate import SWEEP_THRESHOLDS
 from registry.panels import (
-    ALARM, BIAS, CHANNELS, ENCODED, EVENT_FEATURES, EVENTS_SQL, ORDERS_SQL, SPLIT_SQL, WEIGHTS,
+    ALARM, BIAS, CHANNELS, ENCODED, EVENT_FEATURES, EVENTS_SQL, ORDERS_SQL, SPLIT_SQL,
+    TYPES_SQL, WEIGHTS,
 )
 from registry.queries import CATEGORICAL, NUMERIC
 
@@ -157,7 +158,14 @@ ORACLE["entity_alarm"] = ctes(*STEPPED) + (
 ORACLE["ffill"] = ctes(EVENTS_SQL) + "SELECT id, event_id, grp, label, " + each(
     f"last_value({{c}} IGNORE NULLS) OVER ({BY_TIME} {SO_FAR}) AS {{c}}", KEPT
 ) + " FROM p"
-ORACLE["ffill_split"] = ORACLE["ffill"]
+WIDE = ("w_some", "w_rare", "w_all")
+TYPES_FILLED = "f AS (SELECT id, ts, event_id, label, " + each(
+    f"last_value({{c}} IGNORE NULLS) OVER ({BY_TIME} {SO_FAR}) AS {{c}}", WIDE
+) + f", count(*) OVER (PARTITION BY id) - row_number() OVER ({BY_TIME}) AS after FROM p)"
+ORACLE["ffill_split"] = ctes(TYPES_SQL, TYPES_FILLED) + (
+    "SELECT id, event_id, w_some, w_rare, w_all, label FROM f"
+)
+ORACLE["ffill_trim_split"] = ORACLE["ffill_split"] + " WHERE after >= 5 AND after < 55"
 PLACED = (
     ORDERS_SQL,
     f"q AS (SELECT *, count(*) OVER (PARTITION BY id) - row_number() OVER ({BY_DATE}) AS after FROM o)",
@@ -294,7 +302,7 @@ def causal(names, source: str) -> str:
 
 
 ORACLE["causal_features"] = ctes(*V1) + causal(KEPT[:3], "v")
-ORACLE["causal_features_split"] = ctes(EVENTS_SQL, FILLED) + causal(KEPT[:3], "f")
+ORACLE["causal_features_split"] = ctes(TYPES_SQL) + causal(WIDE, "p")
 
 # The loaded model scores as the saved one did, on every prepared row.
 ORACLE["model_versions"] = ctes(*V1) + "SELECT id, event_id, true AS same FROM v"

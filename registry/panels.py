@@ -61,6 +61,24 @@ def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_split(panel, "id", SHARES)
 
 
+TYPES = PanelSpec("id", ("ts", "event_id"), ("w_some", "w_rare", "w_all"), "label")
+
+
+def types_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Few entities that each hold a large share of all rows, and the rows one task may take of an entity."""
+    value = F.col("value")
+    panel = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("id"),
+        "ts",
+        "event_id",
+        F.when(F.col("user_id") % 7 == 0, value).alias("w_some"),
+        F.when(F.col("user_id") % 97 == 3, value).alias("w_rare"),
+        value.alias("w_all"),
+        F.when(value > 80, 1).otherwise(0).alias("label"),
+    )
+    return panel, -(-panel.count() // 64)
+
+
 def drift_samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Reference rows (entities of train) and current rows (the others), before batching."""
     rows = hash_split(
@@ -85,6 +103,12 @@ SELECT user_id AS id, ts, event_id, value, event_type,
        {SPLIT_SQL.format(key="user_id")} AS split
 FROM events)"""
 
+TYPES_SQL = """p AS (
+SELECT event_type AS id, ts, event_id, CASE WHEN user_id % 7 = 0 THEN value END AS w_some,
+       CASE WHEN user_id % 97 = 3 THEN value END AS w_rare, value AS w_all,
+       CASE WHEN value > 80 THEN 1 ELSE 0 END AS label
+FROM events)"""
+
 ORDERS_SQL = f"""o AS (
 SELECT o_custkey AS id, o_orderdate, o_orderkey,
        CASE WHEN o_orderpriority LIKE '1%' THEN o_totalprice END AS p_urgent,

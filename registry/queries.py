@@ -11,10 +11,10 @@ from panelweave.operators import drift, encode, evaluate, history, sequences, sp
 from panelweave.plans import learn, prepare, score
 from panelweave.sources import files
 from panelweave.streaming.alarms import stream_alarms
-from panelweave.workspace import fresh_path
+from panelweave.workspace import fresh_path, materialise
 from registry.panels import (
-    ALARM, BIAS, ENCODED, EVENT_FEATURES, EVENTS, ORDERS, SHARES, WEIGHTS,
-    drift_samples, event_columns, events_panel, orders_panel, table,
+    ALARM, BIAS, ENCODED, EVENT_FEATURES, EVENTS, ORDERS, SHARES, TYPES, WEIGHTS,
+    drift_samples, event_columns, events_panel, orders_panel, table, types_panel,
 )
 
 NUMERIC = ("value", "v_view", "v_click", "v_error", "v_purchase", "v_signup")
@@ -74,7 +74,8 @@ def micro(matrix: str) -> Column:
 
 def batched(spark: SparkSession, sf_dir: str):
     ref, cur = drift_samples(spark, sf_dir)
-    return ref, history.equal_batches(cur, EVENTS.order, BATCHES)
+    # Numbering the rows of the whole table is costly and the batches are read more than once.
+    return ref, materialise(history.equal_batches(cur, EVENTS.order, BATCHES), "current")
 
 
 # ---- sources and sinks
@@ -223,8 +224,15 @@ def ffill(spark, sf_dir):
 
 @query
 def ffill_split(spark, sf_dir):
-    """Forward-fill with every entity cut into segments, as an oversized entity is."""
-    return history.ffill(events_panel(spark, sf_dir), EVENTS, group_rows=40).drop("ts", "split")
+    """Forward-fill of entities that are cut into segments, each entity holding a large share of the table."""
+    panel, group_rows = types_panel(spark, sf_dir)
+    return history.ffill(panel, TYPES, group_rows=group_rows).drop("ts")
+
+
+@query
+def ffill_trim_split(spark, sf_dir):
+    panel, group_rows = types_panel(spark, sf_dir)
+    return history.ffill_trim(panel, TYPES, group_rows=group_rows).drop("ts")
 
 
 @query
@@ -252,7 +260,8 @@ def row_batches(spark, sf_dir):
 def row_batches_split(spark, sf_dir):
     """Batches of the whole table numbered by segments, as a large table is."""
     panel = orders_panel(spark, sf_dir)
-    return history.row_batches(panel, ORDERS.order, 100, None, group_rows=1000).select("o_orderkey", "batch")
+    share = -(-panel.count() // 16)
+    return history.row_batches(panel, ORDERS.order, 100, None, group_rows=share).select("o_orderkey", "batch")
 
 
 # ---- imputation and scaling
@@ -439,11 +448,10 @@ def causal_features(spark, sf_dir):
 
 @query
 def causal_features_split(spark, sf_dir):
-    """The same over blocks of each history, as an oversized entity is handled."""
-    panel = history.ffill(events_panel(spark, sf_dir), EVENTS)
-    few = EVENTS.with_features("v_view", "v_click", "v_error")
-    out = learn.causal_features(panel, few, group_rows=40)
-    return out.select("id", "event_id", *r6(*learn.causal_feature_names(few)))
+    """The same over blocks of each history, each entity holding a large share of the table."""
+    panel, group_rows = types_panel(spark, sf_dir)
+    out = learn.causal_features(panel, TYPES, group_rows=group_rows)
+    return out.select("id", "event_id", *r6(*learn.causal_feature_names(TYPES)))
 
 
 @query
@@ -530,7 +538,8 @@ def wasserstein(spark, sf_dir):
 def wasserstein_split(spark, sf_dir):
     """The distances with the sorted values of every column cut into segments."""
     ref, cur = batched(spark, sf_dir)
-    return drift.wasserstein(ref, cur, NUMERIC, group_rows=500, batches=range(BATCHES)).select(
+    share = -(-ref.count() // 16)
+    return drift.wasserstein(ref, cur, NUMERIC, group_rows=share, batches=range(BATCHES)).select(
         "batch", "column", *r6("wasserstein", "drift_score")
     )
 
