@@ -156,8 +156,9 @@ def test_row_batches_default_and_whole(spark):
 
 def test_equal_batches_cover_the_table(spark):
     df = panel(spark, {1: 53})
-    sizes = history.equal_batches(df, ["t"], 5).groupBy("batch").count().collect()
-    assert sorted((r.batch, r["count"]) for r in sizes) == [(0, 11), (1, 11), (2, 11), (3, 11), (4, 9)]
+    for group_rows in (None, 7):
+        sizes = history.equal_batches(df, ["t"], 5, group_rows).groupBy("batch").count().collect()
+        assert sorted((r.batch, r["count"]) for r in sizes) == [(0, 11), (1, 11), (2, 11), (3, 11), (4, 9)]
 
 
 def test_union_aligns_by_name(spark):
