@@ -1,18 +1,23 @@
-"""The work end to end: from a folder of entity files to sequences, and from a panel to alarms."""
+"""The work end to end: files to sequences, prepared rows to a logged model, a panel to alarms."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelweave.operators.encode import drop_columns, fit_categories, indicator_names, one_hot
-from panelweave.operators.evaluate import entity_alarm, predictions_json
+from panelweave.operators.evaluate import binary_metrics, confusion, entity_alarm, predictions_json
 from panelweave.operators.history import ffill_trim, limit_entities, min_history, union_panels
 from panelweave.operators.sequences import flatten_steps, pad_sequences, to_sequences
 from panelweave.operators.stats import fit_stats, impute_and_scale
+from panelweave.plans.learn import (
+    causal_feature_names, causal_features, log_run, save_model_version, score, train_step_classifier,
+)
 from panelweave.plans.prepare import prepare_v1
 from panelweave.sources.files import read_panel_dir, save_stats
 from panelweave.sources.schema import HOUR, HOURLY_SCHEMA, LABEL, STATICS, UNUSED, VITALS_AND_LABS
@@ -63,6 +68,44 @@ def padded_sequences(
     return pad_sequences(to_sequences(prepared, spec, max_len, min_len), len(spec.features), max_len, side)
 
 
+def train_and_evaluate(
+    prepared: DataFrame,
+    spec: PanelSpec,
+    threshold: float = 0.5,
+    algo: str = "gbt",
+    rows: int = 6,
+    runs_path: str | None = None,
+    models_path: str | None = None,
+    **params,
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit the step classifier on split ``train`` and evaluate every split of the prepared rows.
+
+    Gives the model and one row of counts and metrics per split. With ``runs_path`` the run is logged with its
+    parameters and metrics, with ``models_path`` the model is saved as a new version.
+    """
+    spark = prepared.sparkSession
+    wide = causal_features(prepared, spec, rows)
+    names = causal_feature_names(spec, rows)
+    model = train_step_classifier(wide.where(F.col("split") == "train"), names, spec.label, algo, **params)
+    counts = confusion(score(wide, model), threshold, label=spec.label, by=["split"])
+    metrics = materialise(binary_metrics(counts), "metrics")
+    if runs_path is not None:
+        found = {
+            f"{row['split']}_{name}": row[name] for row in metrics.collect() for name in ("sensitivity", "f1")
+        }
+        used = {"algo": algo, "rows": rows, "threshold": threshold, **params}
+        log_run(spark, runs_path, uuid.uuid4().hex, used, found)
+    if models_path is not None:
+        save_model_version(spark, model, models_path)
+    return model, metrics
+
+
+def score_steps(prepared: DataFrame, spec: PanelSpec, model: PipelineModel, rows: int = 6) -> DataFrame:
+    """Prepared rows with the probability a step classifier gives them, in column ``score``."""
+    wide = score(causal_features(prepared, spec, rows), model)
+    return wide.select(*prepared.columns, "score")
+
+
 def predict_alarms(
     panel: DataFrame,
     spec: PanelSpec,

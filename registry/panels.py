@@ -71,8 +71,8 @@ def types_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
         F.col("event_type").alias("id"),
         "ts",
         "event_id",
-        F.when(F.col("user_id") % 7 == 0, value).alias("w_some"),
-        F.when(F.col("user_id") % 97 == 3, value).alias("w_rare"),
+        F.when(value >= 60, value).alias("w_some"),
+        F.when(value >= 200, value).alias("w_rare"),
         value.alias("w_all"),
         F.when(value > 80, 1).otherwise(0).alias("label"),
     )
@@ -104,8 +104,8 @@ SELECT user_id AS id, ts, event_id, value, event_type,
 FROM events)"""
 
 TYPES_SQL = """p AS (
-SELECT event_type AS id, ts, event_id, CASE WHEN user_id % 7 = 0 THEN value END AS w_some,
-       CASE WHEN user_id % 97 = 3 THEN value END AS w_rare, value AS w_all,
+SELECT event_type AS id, ts, event_id, CASE WHEN value >= 60 THEN value END AS w_some,
+       CASE WHEN value >= 200 THEN value END AS w_rare, value AS w_all,
        CASE WHEN value > 80 THEN 1 ELSE 0 END AS label
 FROM events)"""
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from panelweave.operators import stats
-from panelweave.plans import batch, score
+from panelweave.plans import batch, learn, score
 from panelweave.sources import files
 from panelweave.sources.schema import HOURLY_SCHEMA
 
@@ -59,3 +59,17 @@ def test_from_files_to_sequences_and_alarms(spark, tmp_path):
     assert {json.loads(r.prediction)["result"][0] for r in by_rows.collect()} == {0}
     own = batch.predict_alarms(panel, spec, None, score.linear_step_score(weights, -1.0), 0.05)
     assert own.count() == 2
+
+    few = spec.with_features("HR", "Temp", "ICULOS").bounded(50)
+    runs, models = str(tmp_path / "runs"), str(tmp_path / "models")
+    model, metrics = batch.train_and_evaluate(prepared, few, 0.3, "logreg", 3, runs, models, maxIter=5)
+    found = {r["split"]: r for r in metrics.collect()}
+    assert set(found) == {"train", "test"}
+    assert sum(found["train"][c] for c in ("tn", "fp", "fn", "tp")) == prepared.where("split = 'train'").count()
+    run = learn.read_runs(spark, runs).first()
+    assert run.params["algo"] == "logreg" and run.metrics["test_f1"] == found["test"].f1
+    latest = learn.load_latest_model(spark, models)
+    alarms = batch.predict_alarms(panel, spec, saved, lambda df: batch.score_steps(df, few, latest, 3), 0.3)
+    direct = batch.score_steps(prepared.where("split = 'test'"), few, model, 3).groupBy("id").agg(F.max("score").alias("s"))
+    expected = {r.id: int(r.s >= 0.3) for r in direct.collect()}
+    assert {r.id: json.loads(r.prediction)["result"][0] for r in alarms.collect()} == expected
