@@ -624,7 +624,13 @@ def stream_alarms_(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     spec = EVENTS.with_features(*features)
     fitted = stats.stats_values(stats.fit_stats(events_panel(spark, sf_dir), features, is_train()))
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A bound on the bytes of a micro-batch bounds what one entity can bring into a task.
+    arriving = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .option("maxBytesPerTrigger", 256 << 20)
+        .parquet(sf_dir)
+    )
     panel = arriving.select(*event_columns())
     out = fresh_path(spark, "alarms")
     running = (

@@ -110,3 +110,15 @@ def test_predictions_are_lines_of_json(spark, tmp_path):
     files.write_predictions(df, str(tmp_path / "out"))
     back = spark.read.schema("id long, result array<int>").json(str(tmp_path / "out"))
     assert {(r.id, r.result[0]) for r in back.collect()} == {(1, 0), (2, 1)}
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(Cluster)
