@@ -33,11 +33,12 @@ class Rules:
     characters a word. ``min_words`` and ``max_repeat_percent`` are the base rule.
     """
 
-    # The published limits for web text.
-    top: tuple[tuple[int, float], ...] = ((2, 0.20), (3, 0.18), (4, 0.16))
-    repeated: tuple[tuple[int, float], ...] = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.10))
-    lines: float = 0.30
-    line_chars: float = 0.20
+    # The published limits for long web pages would reject a short text for one line that stands twice.
+    top: tuple[tuple[int, float], ...] = ((2, 0.25), (3, 0.25), (4, 0.25))
+    repeated: tuple[tuple[int, float], ...] = ((5, 0.25), (6, 0.25), (7, 0.25), (8, 0.25), (9, 0.25), (10, 0.25))
+    lines: float = 0.40
+    line_chars: float = 0.30
+    symbols: float = 0.10
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -99,7 +100,8 @@ def _measure_block(block: W.Block, rules: Rules) -> dict[str, np.ndarray]:
         step = np.bincount(at, minlength=len(hashed) + 1) - np.bincount(at + length, minlength=len(hashed) + 1)
         return np.flatnonzero(np.cumsum(step)[:-1] > 0)
 
-    passes = (out["dup_line_share"] <= rules.lines) & (out["dup_line_char_share"] <= rules.line_chars)
+    passes = out["n_symbols"] <= rules.symbols * count
+    passes &= (out["dup_line_share"] <= rules.lines) & (out["dup_line_char_share"] <= rules.line_chars)
     for length in range(2, max([3, *tops, *shares]) + 1):
         inside = place + length <= ends[place]
         place, rolled = place[inside], rolled[inside]

@@ -14,7 +14,7 @@ def plain(text):
     out["n_dup_lines"] = len(again)
     line_share = len(again) / max(len(lines), 1)
     char_share = sum(map(len, again)) / max(len(text or ""), 1)
-    passes = line_share <= rules.lines and char_share <= rules.line_chars
+    passes = line_share <= rules.lines and char_share <= rules.line_chars and out["n_symbols"] <= rules.symbols * len(found)
 
     def grams(n):
         return [tuple(found[i : i + n]) for i in range(len(found) - n + 1)]
@@ -76,4 +76,6 @@ def test_labels(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
     long = repetition.measure(docs).where("n_words >= 50").join(labels, "doc_id")
     clean = long.where("quality = 1")
-    assert clean.where("kept").count() >= 0.97 * clean.count()
+    assert clean.where("kept").count() >= 0.995 * clean.count()
+    bad = long.where("quality = 0")
+    assert bad.where("kept").count() <= 0.2 * bad.count()
