@@ -181,8 +181,8 @@ def fingerprint_with_next(docs: DataFrame, key: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     marks = F.approx_percentile("id", [i / ranges for i in range(1, ranges)] or [0.5], 20 * ranges)
-    bounds = rows.select("id").agg(marks.alias("bounds")).first()["bounds"] or []
-    splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
+    bounds = rows.select("id").agg(marks.alias("bounds")).first()["bounds"]
+    splits = [float("-inf"), *sorted({float(b) for b in bounds or [0]}), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="as_double", outputCol="bucket", handleInvalid="keep")
     # Range 0 is for rows without an id; the others go up with the id.
     bucket = F.when(F.col("id").isNull(), 0).otherwise(F.col("bucket").cast("int") + 1)
