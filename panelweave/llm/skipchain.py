@@ -33,6 +33,8 @@ _LABELS = len(KINDS) + 1
 PATTERNS = 20_000
 #: Least probability of an added label.
 SURE = 0.9
+#: What a tie is worth to equal labels before training.
+AGREE = 3.0
 #: Share of a pattern's weight that is trained with its exact shape hidden.
 _HIDDEN = 0.3
 _ROUNDS, _CHANGE = 40, 1e-4
@@ -285,9 +287,12 @@ def fit(patterns: np.ndarray, times: np.ndarray, steps: int = 300, penalty: floa
     has_before, has_after = (before >= 0).astype(float)[:, None], (after >= 0).astype(float)[:, None]
     before, after = np.maximum(before, 0), np.maximum(after, 0)
     params = [np.zeros((len(buckets), _LABELS)), np.zeros((_LABELS, _LABELS)), np.zeros((_LABELS, _LABELS))]
+    # Before any data, tied tokens agree and nothing else is known.
+    prior = [0.0, 0.0, AGREE * np.eye(_LABELS)]
+    params[2] += prior[2]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
-        grads = [penalty * p for p in params]
+        grads = [penalty * (p - mean) for p, mean in zip(params, prior)]
         around = has_before * params[1][before] + has_after * params[1].T[after] + tied @ params[2]
         for shown, share in ((1.0, 1 - _HIDDEN), (0.0, _HIDDEN)):
             logits = shown * params[0][index[:, 0]] + params[0][index[:, 1]] + around
