@@ -101,7 +101,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int
     same = [F.col(m).eqNullSafe(F.col(f"cell_{m}")) for m in margins]
     joined = named.join(fitted, same, "left")
     drawn = uniform(F.col(f"row.{key}")) < F.col("probability")
-    own = [c for c in ("topic", "n_tokens", "weight", "probability", "kept") if c not in docs.columns]
+    own = [c for c in ("topic", "n_tokens", "weight", "probability", "kept") if c not in docs.columns and (c != "topic" or c in margins)]
     return joined.withColumn("kept", drawn).select("row.*", *own)
 
 
