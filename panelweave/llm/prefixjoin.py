@@ -398,7 +398,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
 
 
 def keep_first(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the least id of each group, with all columns, once; documents without an id stay."""
+    """The document with the least id of each group, with all columns, once; documents without an id stay.
+
+    Rows of one id with different texts stay or go together."""
     found = near_duplicates(docs, percent, size, key, text)
     kept = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
     known = docs.join(kept, key, "left_semi").select(*docs.columns)
