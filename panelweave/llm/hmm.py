@@ -34,7 +34,7 @@ CLASSES = 1 << 14
 FREQUENT = 200_000
 SEQUENCE = 128
 #: Bytes of text whose forward recursions run side by side.
-SCORED_BYTES = 8 << 20
+SCORED_BYTES = 2 << 20
 #: Distinct words that a task counts before it passes them on.
 _HELD = 1 << 20
 #: The token that ends a text.

@@ -6,7 +6,7 @@ UTF-8 bytes; all arrays below refer to positions in a block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text makes a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Values hashed in one stretch.
+_HASHED = 1 << 18
 
 _ODD = 0x9E3779B97F4A7C15
 _WRAP = (1 << 64) - 1
@@ -35,34 +37,44 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 
 
-@lru_cache(maxsize=3)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_ODD, -1, 1 << 64)
-    out = []
-    for base in (_ODD, inverse):
-        steps = np.full(size, base & _WRAP, np.uint64)
-        steps[0] = 1
-        out.append(np.multiply.accumulate(steps))
-    return out[0], out[1]
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    return _power_row(_ODD, _HASHED), _power_row(pow(_ODD, -1, 1 << 64), _HASHED)
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, from one rolling sum over the block."""
-    return _hash_values(_BYTE_VALUE[data], starts, ends)
+def _power_row(base: int, size: int) -> np.ndarray:
+    steps = np.full(size, base & _WRAP, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
 
 
-def hash_names(names: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of 64-bit names."""
-    return _hash_values(mix(names), starts, ends)
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes; spans are in order and do not overlap."""
+    return _hash_values(data, _BYTE_VALUE.__getitem__, starts, ends)
 
 
-def _hash_values(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    size = 1 << max(16, int(len(values)).bit_length())
-    power, inverse = _powers(size)
-    rolled = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * power[: len(values)], out=rolled[1:])
-    spans = (rolled[ends] - rolled[starts]) * inverse[starts]
-    return mix(spans + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def hash_names(names: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of 64-bit names, in order and without overlap."""
+    return _hash_values(names, mix, starts, ends)
+
+
+def _hash_values(data: np.ndarray, value: Callable, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """From rolling sums over stretches of at most ``_HASHED`` values; a longer span is a stretch of its own."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, low + _HASHED - 1, "right")))
+        values = value(data[low : ends[j - 1]])
+        if len(values) < _HASHED:
+            power, inverse = _powers()
+        else:
+            power, inverse = _power_row(_ODD, len(values) + 1), np.ones(1, np.uint64)
+        rolled = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * power[: len(values)], out=rolled[1:])
+        out[i:j] = (rolled[ends[i:j] - low] - rolled[starts[i:j] - low]) * inverse[starts[i:j] - low]
+        i = j
+    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 @dataclass
