@@ -5,7 +5,7 @@ after the other to its targets. The ratio of a cell's fitted to its counted shar
 probability with which each of its documents is kept; tokens kept then have the target margins in expectation. A document is drawn by
 a digest of its id, so a rerun draws the same.
 
-The cells are a table like any other: sweeps are joins and sums of it, written to the shared folder after each. Counting
+The cells are a table like any other: sweeps are joins and sums of it, written to the shared folder after each margin. Counting
 them is the one pass over the documents, summed in each task before the shuffle.
 
 A null category is a category of its own. A category without a target keeps no document; targets without documents are left out and
@@ -72,8 +72,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = 10) -
             factors = sums.join(table.withColumnRenamed("name", "aim"), F.col("name").eqNullSafe(F.col("aim")), "left")
             factors = factors.select("name", F.when(F.col("sum") > 0, F.coalesce("target", F.lit(0.0)) / F.col("sum")).otherwise(0.0).alias("factor"))
             joined = fitted.join(factors, F.col(margin).eqNullSafe(F.col("name")))
-            fitted = joined.select(*cells.columns, (F.col("weight") * F.col("factor")).alias("weight"))
-        fitted = materialise(fitted, "raked")
+            # Written at once: each step reads the weights twice, so steps left unwritten would double the plan.
+            fitted = materialise(joined.select(*cells.columns, (F.col("weight") * F.col("factor")).alias("weight")), "raked")
     return fitted
 
 
