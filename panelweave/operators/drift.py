@@ -242,21 +242,40 @@ def z_statistic(ref, cur, columns, by="batch", batches=None) -> DataFrame:
 
 
 def chi2_upper_tail(x: float, freedom: int) -> float:
-    """Probability that a chi-squared variable exceeds ``x``, from the recurrence over degrees of freedom."""
+    """Probability that a chi-squared variable exceeds ``x``: the regularised upper incomplete gamma function.
+
+    Below the mean its lower part is summed as a series, above it the continued fraction is walked; both start from the
+    logarithm of the density, so many degrees of freedom do not underflow. The steps grow with the root of ``freedom``.
+    """
     if x != x or freedom < 1:
         return 1.0
     if math.isinf(x):
         return 0.0
-    half = x / 2
-    if freedom % 2:
-        tail, term, at = math.erfc(math.sqrt(half)), 2 * math.sqrt(half / math.pi) * math.exp(-half), 1
-    else:
-        tail, term, at = math.exp(-half), half * math.exp(-half), 2
-    while at < freedom:
-        tail += term
-        at += 2
-        term *= x / at
-    return min(max(tail, 0.0), 1.0)
+    a, half = freedom / 2, x / 2
+    if half <= 0:
+        return 1.0
+    front = math.exp(a * math.log(half) - half - math.lgamma(a))
+    if half < a + 1:
+        term = total = 1 / a
+        at = a
+        while term > total * 1e-16:
+            at += 1
+            term *= half / at
+            total += term
+        return min(max(1 - front * total, 0.0), 1.0)
+    tiny = 1e-300
+    b = half + 1 - a
+    c, d = 1 / tiny, 1 / b
+    fraction = d
+    for i in range(1, 1_000_000):
+        step = -i * (i - a)
+        b += 2
+        d = 1 / (step * d + b or tiny)
+        c = b + step / c or tiny
+        fraction *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return min(max(front * fraction, 0.0), 1.0)
 
 
 def chi2_p_value(statistic: Column, freedom: Column) -> Column:

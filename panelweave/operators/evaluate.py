@@ -21,8 +21,9 @@ def binarise(score: Column | str, threshold: float) -> Column:
 
 
 def join_scores(labels: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring scores to labels by key; the key is unique per step, so the join spreads evenly."""
-    return labels.join(scores, list(keys), "inner")
+    """Bring scores to labels by key; the key is unique per step, so the join spreads evenly. A label without a
+    score stays, its score null."""
+    return labels.join(scores, list(keys), "left")
 
 
 def _without_padding(df: DataFrame, include_padding: bool) -> DataFrame:
@@ -37,17 +38,21 @@ def confusion(
     by: Sequence[str] = (),
     include_padding: bool = True,
 ) -> DataFrame:
-    """True and false negatives and positives, always all four, counting padded steps unless told not to."""
-    hit = F.col(score) >= F.lit(float(threshold))
+    """True and false negatives and positives, always all four, counting padded steps unless told not to.
+
+    Steps with a null label or a null or NaN score are in none of them; ``unknown`` counts these."""
+    known = F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    hit = known & (F.col(score) >= F.lit(float(threshold)))
     positive = F.col(label) == 1
     return (
         _without_padding(df, include_padding)
         .groupBy(*by)
         .agg(
-            F.count_if(~hit & ~positive).alias("tn"),
+            F.count_if(known & ~hit & ~positive).alias("tn"),
             F.count_if(hit & ~positive).alias("fp"),
-            F.count_if(~hit & positive).alias("fn"),
+            F.count_if(known & ~hit & positive).alias("fn"),
             F.count_if(hit & positive).alias("tp"),
+            F.count_if(~known).alias("unknown"),
         )
     )
 

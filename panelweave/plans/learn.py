@@ -120,11 +120,11 @@ def train_step_classifier(
 
 
 def score(panel: DataFrame, model: PipelineModel, output: str = "score") -> DataFrame:
-    """Add the probability of the positive class to every row."""
-    scored = model.transform(panel.na.fill(0.0))
-    return scored.withColumn(output, F.get(vector_to_array("probability"), F.lit(1))).select(
-        *panel.columns, output
-    )
+    """Add the probability of the positive class to every row; the model reads nulls as 0, the rows keep them."""
+    inputs = model.stages[0].getInputCols()
+    known = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in inputs]
+    scored = model.transform(panel.select(F.struct(*panel.columns).alias("__row"), *known))
+    return scored.select("__row.*", F.get(vector_to_array("probability"), F.lit(1)).alias(output))
 
 
 RUN_SCHEMA = T.StructType(

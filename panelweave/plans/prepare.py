@@ -23,8 +23,8 @@ def encode(
     return one_hot(panel, column, categories, position), spec.encoded(column, names, position)
 
 
-def _fit(df: DataFrame, spec: PanelSpec, train: Column | None, stats: DataFrame | dict | None):
-    return fit_stats(df, spec.features, train, share_scan=True) if stats is None else stats
+def _fit(df: DataFrame, spec: PanelSpec, train: Column | None, stats: DataFrame | dict | None, share_scan: bool = True):
+    return fit_stats(df, spec.features, train, share_scan=share_scan) if stats is None else stats
 
 
 def prepare_v1(
@@ -53,7 +53,8 @@ def prepare_v2(
 
     Filling and scaling work row by row, so they run on the rows that the trim leaves.
     """
-    fitted = _fit(panel, spec, train, stats)
+    # The fit has no shuffle in common with the trim, so it reads its own columns only.
+    fitted = _fit(panel, spec, train, stats, share_scan=False)
     return impute_and_scale(history.trim_tail(panel, spec, drop, keep), spec.features, fitted)
 
 

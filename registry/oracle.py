@@ -264,9 +264,10 @@ ORACLE["flatten_steps"] = ctes(*STEPPED) + (
 ORACLE["linear_score"] = ctes(*V1) + f"SELECT id, event_id, round({SCORE}, 6) AS score FROM v"
 ORACLE["score_user_model"] = ctes(*STEPPED) + "SELECT id, step, round(score, 6) AS score FROM sc"
 ORACLE["score_label_join"] = ctes(*STEPPED) + "SELECT id, step, y, round(score, 6) AS score FROM sc"
+UNKNOWN = "count(*) FILTER (WHERE y IS NULL OR score IS NULL OR isnan(score)) AS unknown"
 ORACLE["confusion"] = ctes(*STEPPED) + (
-    f"SELECT split, {counts()}, true AS padding FROM sc GROUP BY split UNION ALL "
-    f"SELECT split, {counts()}, false AS padding FROM sc WHERE NOT padded GROUP BY split"
+    f"SELECT split, {counts()}, {UNKNOWN}, true AS padding FROM sc GROUP BY split UNION ALL "
+    f"SELECT split, {counts()}, {UNKNOWN}, false AS padding FROM sc WHERE NOT padded GROUP BY split"
 )
 ORACLE["binary_metrics"] = ctes(*STEPPED, f"c AS (SELECT split, {counts()} FROM sc GROUP BY split)") + (
     f"SELECT split, {METRICS} FROM c"

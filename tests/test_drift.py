@@ -147,3 +147,13 @@ def test_timeline_and_counters(spark):
     )
     assert [r.report_at for r in drift.drift_timeline(reports).collect()] == ["2024-01-01", "2024-01-02"]
     assert tuple(drift.drift_counters(reports).first()) == (150, 0.5)
+
+
+def test_chi2_tail_with_many_degrees_of_freedom():
+    assert drift.chi2_upper_tail(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
+    assert drift.chi2_upper_tail(18.307038053275146, 10) == pytest.approx(0.05, abs=1e-9)
+    for freedom in (1480, 1500, 100_000):
+        # The normal value after the cube root transform.
+        assert drift.chi2_upper_tail(freedom, freedom) == pytest.approx(0.5 - 1 / (3 * (3.141592653589793 * freedom) ** 0.5), abs=1e-4)
+        far = freedom + 4 * (2 * freedom) ** 0.5
+        assert 0 < drift.chi2_upper_tail(far, freedom) < 1e-3

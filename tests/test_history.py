@@ -175,3 +175,14 @@ def test_input_order_and_partitions_do_not_matter(spark):
         for n in (1, 3, 16)
     ]
     assert results[0] == results[1] == results[2]
+
+
+def test_a_null_entity_is_an_entity(spark):
+    rows = [(e, i, float(i)) for e in (None, 1) for i in range(8)] + [(2, 0, 0.0)]
+    df = spark.createDataFrame(rows, "id long, t long, a double")
+    spec = PanelSpec("id", ("t",), ("a",))
+    dropped = history.drop_last(df, spec, 5)
+    assert sorted((str(r.id), r.t) for r in dropped.collect()) == [(e, t) for e in ("1", "None") for t in range(3)]
+    assert history.min_history(df, spec, 5).count() == 16
+    assert {r.id for r in history.limit_entities(df, spec, 1).collect()} == {None}
+    assert history.limit_entities(df, spec, 2).count() == 16

@@ -84,3 +84,12 @@ def test_model_versions(spark, panel, tmp_path):
     loaded = learn.load_latest_model(spark, base)
     same = learn.score(panel, new).exceptAll(learn.score(panel, loaded)).count()
     assert same == 0
+
+
+def test_scoring_keeps_nulls(spark):
+    rows = [(i, float(i % 5), None if i % 4 == 0 else 1.0 * i, None if i % 3 == 0 else i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a double, other double, y int")
+    model = learn.train_step_classifier(df.where("y is not null"), ["a"], "y", algo="logreg")
+    scored = learn.score(df, model)
+    assert scored.columns == [*df.columns, "score"]
+    assert scored.drop("score").exceptAll(df).count() == 0 and scored.where("score is null").count() == 0

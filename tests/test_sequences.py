@@ -79,8 +79,8 @@ def scores(spark, rows):
 
 def test_confusion_counts_ties_as_positive(spark):
     df = scores(spark, [(0.5, 1, False), (0.5, 0, False), (0.4, 1, False), (0.1, 0, True)])
-    assert tuple(evaluate.confusion(df, 0.5).first()) == (1, 1, 1, 1)
-    assert tuple(evaluate.confusion(df, 0.5, include_padding=False).first()) == (0, 1, 1, 1)
+    assert tuple(evaluate.confusion(df, 0.5).first()) == (1, 1, 1, 1, 0)
+    assert tuple(evaluate.confusion(df, 0.5, include_padding=False).first()) == (0, 1, 1, 1, 0)
 
 
 def test_one_class_gives_four_counts_and_zero_metrics(spark):
@@ -102,7 +102,7 @@ def test_sweep_equals_separate_evaluations(spark):
     swept = {r.threshold: (r.tn, r.fp, r.fn, r.tp) for r in evaluate.threshold_sweep(df).collect()}
     assert len(swept) == 9
     for t, counts in swept.items():
-        assert tuple(evaluate.confusion(df, t).first()) == counts
+        assert tuple(evaluate.confusion(df, t).first())[:4] == counts
 
 
 def test_alarm_and_json(spark):
@@ -120,3 +120,8 @@ def test_join_scores_by_key(spark):
     found = labels.select("id", "step", (F.col("id") + F.col("step") / 10).alias("score"))
     got = evaluate.join_scores(labels, found.orderBy(F.desc("score")), ["id", "step"]).collect()
     assert {(r.id, r.step, r.y, round(r.score, 1)) for r in got} == {(1, 0, 1, 1.0), (1, 1, 0, 1.1), (2, 0, 1, 2.0)}
+
+
+def test_confusion_shows_what_it_cannot_count(spark):
+    df = scores(spark, [(0.9, 1, False), (None, 1, False), (0.9, None, False), (float("nan"), 0, False)])
+    assert tuple(evaluate.confusion(df, 0.5).first()) == (0, 0, 0, 1, 3)
