@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.skew import SEGMENT, cut_hot_groups, rows_per_group, running_totals
+from panelweave.operators.skew import SEGMENT, cut_hot_groups, matching, rows_per_group, running_totals, same_keys
 from panelweave.spec import PanelSpec
 from panelweave.workspace import materialise
 
@@ -16,13 +16,6 @@ def _newest_first(spec: PanelSpec):
     return Window.partitionBy(spec.entity).orderBy(*[F.col(c).desc() for c in spec.order])
 
 
-def _matching(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi- or anti-join in which a null key equals a null key: a null entity is an entity like any other."""
-    named = other.select(*[F.col(k).alias(f"__match_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"__match_{k}")) for k in keys]
-    return df.join(named, same, how)
-
-
 def entity_lengths(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Rows per entity, as (entity, n_rows)."""
     return df.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -38,13 +31,13 @@ def limit_entities(df: DataFrame, spec: PanelSpec, n: int) -> DataFrame:
     chosen = entities(df, spec).orderBy(spec.entity).limit(n)
     if n <= 100_000:
         chosen = F.broadcast(chosen)
-    return _matching(df, chosen, [spec.entity], "left_semi")
+    return matching(df, chosen, [spec.entity], "left_semi")
 
 
 def min_history(df: DataFrame, spec: PanelSpec, n: int = 15) -> DataFrame:
     """Rows of entities with at least ``n`` rows."""
     enough = entity_lengths(df, spec).where(F.col("n_rows") >= n).select(spec.entity)
-    return _matching(df, entity_list(enough), [spec.entity], "left_semi")
+    return matching(df, entity_list(enough), [spec.entity], "left_semi")
 
 
 def entity_list(chosen: DataFrame) -> DataFrame:
@@ -84,9 +77,8 @@ def _ffill_segments(cut: DataFrame, spec: PanelSpec, columns: Sequence[str]) ->
         SEGMENT,
         *[F.last(c, ignorenulls=True).over(before).alias(f"__carry_{c}") for c in columns],
     )
-    carried = carried.withColumnsRenamed({spec.entity: "__entity", SEGMENT: "__carried"})
-    same = [F.col(spec.entity).eqNullSafe(F.col("__entity")), F.col(SEGMENT) == F.col("__carried")]
-    joined = filled.join(carried, same, "left")
+    renamed, same = same_keys(filled, carried, [spec.entity, SEGMENT])
+    joined = filled.join(renamed, same, "left")
     return joined.select(
         *[
             F.coalesce(F.col(c), F.col(f"__carry_{c}")).alias(c) if c in columns else F.col(c)
@@ -113,7 +105,7 @@ def drop_last(df: DataFrame, spec: PanelSpec, k: int = 5) -> DataFrame:
         .where(F.col("__rank") <= k)
         .select(*spec.keys)
     )
-    return _matching(df, newest, spec.keys, "left_anti")
+    return matching(df, newest, spec.keys, "left_anti")
 
 
 def trim_tail(df: DataFrame, spec: PanelSpec, drop: int = 5, keep: int = 50) -> DataFrame:

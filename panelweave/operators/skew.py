@@ -11,10 +11,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from panelweave.workspace import materialise
 
 SEGMENT = "__segment"
 
@@ -26,47 +26,6 @@ GROUP_ROWS = 1_000_000
 HOT_KEYS_SENT = 100_000
 
 
-# Cut points come to the driver; more segments than this would not make tasks noticeably smaller.
-MOST_SEGMENTS = 50_000
-
-
-def order_position(df: DataFrame, column: str) -> Column:
-    """``column`` as a double that never decreases where the column increases."""
-    kind = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(kind, T.TimestampNTZType):
-        clock = F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c).cast("double")
-        return F.unix_date(F.to_date(c)).cast("double") * 86400 + clock
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, (T.TimestampType, T.NumericType)):
-        return c.cast("double")
-    if isinstance(kind, T.StringType):
-        prefix = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    raise TypeError(f"cannot segment by {column}: {kind.simpleString()} has no position")
-
-
-def _is_exact(kind: T.DataType, position: float) -> bool:
-    """Whether rows at this position all have the same value, rather than values that round to it."""
-    if isinstance(kind, T.LongType):
-        return abs(position) < 2**53
-    return not isinstance(kind, (T.DecimalType, T.StringType))
-
-
-def _bucket(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> DataFrame:
-    inner = sorted({float(c) for c in cuts if math.isfinite(c)})
-    if not inner:
-        return df.withColumn(out, F.lit(0.0))
-    splits = [-math.inf, *inner, math.inf]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=out).transform(df)
-
-
-def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
-    probabilities = [i / parts for i in range(1, parts)]
-    return df.approxQuantile(column, probabilities, 1.0 / (4 * parts)) if probabilities else []
-
-
 def rows_per_group(df: DataFrame, total: int, group_rows: int | None) -> int:
     """Rows one task may take from one group: a fair share of the table, but not less than GROUP_ROWS."""
     if group_rows is not None:
@@ -84,10 +43,11 @@ def cut_hot_groups(
 ) -> DataFrame | None:
     """Add a segment number to every row, or return None when every group fits one task.
 
-    Rows of groups that fit get segment 0. Rows of oversized groups get segments that follow
-    ``order``: all of them are cut at common quantiles of the order columns, so no segment of any
-    group exceeds about ``group_rows`` rows. Only row counts, the keys of oversized groups and
-    the cut points reach the driver; each is bounded by the number of rows per group.
+    Rows of groups that fit get segment 0. Rows of oversized groups are dealt into ranges of (keys, order) by a
+    sampled sort over all these columns, of whatever type, and each range is a segment: about half of
+    ``group_rows`` rows, which follow each other. The ranges are drawn anew whenever they are computed, so these rows
+    are written to the shared folder with their segments. A null key is a key like any other. Only row counts and the
+    keys of oversized groups reach the driver; there are at most (all rows / rows per group) of them.
     ``at_most`` is a known bound on the rows of any group; a small one saves the counting.
     """
     keys, order = list(keys), list(order)
@@ -99,6 +59,7 @@ def cut_hot_groups(
     if total <= limit:
         return None
 
+    cold, hot, hot_rows = None, df, total
     if keys:
         sizes = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         found = sizes.where(F.col("__n") > limit)
@@ -107,45 +68,30 @@ def cut_hot_groups(
             return None
         if len(listed) <= HOT_KEYS_SENT:
             hot_rows = sum(row["__n"] for row in listed)
-            hot = F.broadcast(df.sparkSession.createDataFrame(listed, found.schema).select(*keys))
+            large = F.broadcast(df.sparkSession.createDataFrame(listed, found.schema).select(*keys))
         else:
             hot_rows = found.agg(F.sum("__n")).first()[0]
-            hot = found.select(*keys)
-        marked = df.join(hot.withColumn("__hot", F.lit(True)), keys, "left")
-    else:
-        hot_rows = total
-        marked = df.withColumn("__hot", F.lit(True))
-
-    # Segments of half the limit, so that two of them may meet in one task.
-    parts = min(2 * math.ceil(hot_rows / limit), MOST_SEGMENTS)
-    placed = marked.withColumn(
-        "__at", F.when(F.col("__hot"), order_position(df, order[0])).otherwise(F.lit(0.0))
-    )
-    only_hot = placed.where(F.col("__hot"))
-    cuts = _quantiles(only_hot, "__at", parts)
-    lead = df.schema[order[0]].dataType
-    repeated = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and _is_exact(lead, a)})
-
-    if repeated and len(order) > 1:
-        # Single values of the first order column hold more rows than a segment may: give each its own
-        # bucket and continue inside it with the second order column.
-        second = order_position(df, order[1])
-        low, high = (
-            only_hot.where(F.col("__at").isin(repeated)).agg(F.min(second), F.max(second)).first()
-        )
-        width = (high - low) or 1.0
-        edges = set(cuts) | {math.nextafter(v, math.inf) for v in repeated}
-        placed = _bucket(placed, "__at", edges, "__first")
-        inside = F.least(F.greatest((second - low) / width, F.lit(0.0)), F.lit(1.0)) * 0.999
-        placed = placed.withColumn(
-            "__at",
-            F.col("__first") + F.when(F.col("__at").isin(repeated), inside).otherwise(F.lit(0.0)),
-        ).drop("__first")
-        cuts = _quantiles(placed.where(F.col("__hot")), "__at", parts)
+            large = found.select(*keys)
+        cold = matching(df, large, keys, "left_anti").withColumn(SEGMENT, F.lit(0))
+        hot = matching(df, large, keys, "left_semi")
+
+    # Segments of half the limit: the ranges of a sampled sort are not quite even.
+    parts = 2 * math.ceil(hot_rows / limit)
+    ranged = hot.repartitionByRange(parts, *keys, *order)
+    segments = materialise(ranged.withColumn(SEGMENT, F.spark_partition_id() + 1), "segments")
+    return segments if cold is None else cold.unionByName(segments)
+
+
+def same_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``other`` with its keys renamed, and the condition that they equal those of ``df``, null to null."""
+    renamed = other.withColumnsRenamed({k: f"__same_{k}" for k in keys})
+    return renamed, [F.col(k).eqNullSafe(F.col(f"__same_{k}")) for k in keys]
+
 
-    placed = _bucket(placed, "__at", cuts, "__bucket")
-    segment = F.when(F.col("__hot"), F.col("__bucket").cast("int") + 1).otherwise(F.lit(0))
-    return placed.withColumn(SEGMENT, segment).drop("__hot", "__at", "__bucket")
+def matching(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi- or anti-join by key: a null key is a key like any other."""
+    renamed, same = same_keys(df, other.select(*keys), keys)
+    return df.join(renamed, same, how)
 
 
 def running_totals(
@@ -199,7 +145,8 @@ def running_totals(
         *[F.sum(f"__sum_{name}").over(before).alias(f"__before_{name}") for name in totals],
         *[F.lead(f"__head_{name}").over(ws).alias(f"__next_{name}") for name in following],
     )
-    joined = inside.join(offsets, [*keys, SEGMENT], "left")
+    renamed, same = same_keys(inside, offsets, [*keys, SEGMENT])
+    joined = inside.join(renamed, same, "left")
     shifted = [
         (F.col(name) + F.coalesce(F.col(f"__before_{name}"), F.lit(0))).alias(name) for name in totals
     ]

@@ -165,12 +165,19 @@ TYPES_FILLED = "f AS (SELECT id, ts, event_id, label, " + each(
 ORACLE["ffill_split"] = ctes(TYPES_SQL, TYPES_FILLED) + (
     "SELECT id, event_id, w_some, w_rare, w_all, label FROM f"
 )
+ORACLE["ffill_split_text"] = ORACLE["ffill_split_three"] = ORACLE["ffill_split"].replace("ORDER BY ts, event_id", "ORDER BY event_id")
+ORACLE["ffill_split_null"] = ORACLE["ffill_split"].replace("SELECT id, event_id", "SELECT nullif(id, 'view') AS id, event_id")
 ORACLE["ffill_trim_split"] = ORACLE["ffill_split"] + " WHERE after >= 5 AND after < 55"
 PLACED = (
     ORDERS_SQL,
     f"q AS (SELECT *, count(*) OVER (PARTITION BY id) - row_number() OVER ({BY_DATE}) AS after FROM o)",
 )
 ORACLE["drop_last"] = ctes(*PLACED) + "SELECT id, o_orderkey, p_total FROM q WHERE after >= 5"
+ORACLE["drop_last_null"] = ctes(
+    ORDERS_SQL,
+    "u AS (SELECT * REPLACE (CASE WHEN id % 7 > 0 THEN id END AS id) FROM o)",
+    f"q AS (SELECT *, count(*) OVER (PARTITION BY id) - row_number() OVER ({BY_DATE}) AS after FROM u)",
+) + "SELECT id, o_orderkey, p_total FROM q WHERE after >= 5"
 ORACLE["keep_last"] = ctes(*PLACED) + "SELECT id, o_orderkey, p_total FROM q WHERE after < 8"
 ORACLE["trim_tail"] = ctes(*PLACED) + "SELECT id, o_orderkey, p_total FROM q WHERE after >= 5 AND after < 13"
 ORACLE["row_batches"] = (

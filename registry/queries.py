@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from panelweave.operators import drift, encode, evaluate, history, sequences, split, stats
 from panelweave.plans import learn, prepare, score
 from panelweave.sources import files
+from panelweave.spec import PanelSpec
 from panelweave.streaming.alarms import stream_alarms
 from panelweave.workspace import fresh_path, materialise
 from registry.panels import (
@@ -229,6 +230,39 @@ def ffill_split(spark, sf_dir):
     return history.ffill(panel, TYPES, group_rows=group_rows).drop("ts")
 
 
+@query
+def ffill_split_text(spark, sf_dir):
+    """Forward-fill by a text order whose values begin alike."""
+    panel, group_rows = types_panel(spark, sf_dir)
+    text = F.concat(F.lit("event-00000000000000000000"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    spec = PanelSpec(TYPES.entity, ("name",), TYPES.features, TYPES.label)
+    return history.ffill(panel.withColumn("name", text), spec, group_rows=group_rows).drop("ts", "name")
+
+
+@query
+def ffill_split_three(spark, sf_dir):
+    """Forward-fill by three order columns, of which the first two are constant."""
+    panel, group_rows = types_panel(spark, sf_dir)
+    spec = PanelSpec(TYPES.entity, ("one", "two", "event_id"), TYPES.features, TYPES.label)
+    panel = panel.withColumns({"one": F.lit(1), "two": F.lit("x")})
+    return history.ffill(panel, spec, group_rows=group_rows).drop("ts", "one", "two")
+
+
+@query
+def ffill_split_null(spark, sf_dir):
+    """Forward-fill of entities of which one is null and oversized."""
+    panel, group_rows = types_panel(spark, sf_dir)
+    some = F.nullif(F.col(TYPES.entity), F.lit("view"))
+    return history.ffill(panel.withColumn(TYPES.entity, some), TYPES, group_rows=group_rows).drop("ts")
+
+
+@query
+def drop_last_null(spark, sf_dir):
+    """Drop the newest rows of entities, of which one is null."""
+    orders = orders_panel(spark, sf_dir).withColumn("id", F.when(F.col("id") % 7 > 0, F.col("id")))
+    return history.drop_last(orders, ORDERS).select("id", "o_orderkey", "p_total")
+
+
 @query
 def ffill_trim_split(spark, sf_dir):
     panel, group_rows = types_panel(spark, sf_dir)

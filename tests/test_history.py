@@ -186,3 +186,20 @@ def test_a_null_entity_is_an_entity(spark):
     assert history.min_history(df, spec, 5).count() == 16
     assert {r.id for r in history.limit_entities(df, spec, 1).collect()} == {None}
     assert history.limit_entities(df, spec, 2).count() == 16
+
+
+@pytest.mark.parametrize("order", ["text", "three", "null key"])
+def test_every_oversized_group_is_cut(spark, order):
+    k = F.col("id")
+    text = F.concat(F.lit("order-0000000000000000"), F.lpad((k * 7919 % 20_000).cast("string"), 8, "0"))
+    key = F.lit(None).cast("long") if order == "null key" else F.lit(1).cast("long")
+    columns = {"text": ["text"], "three": ["one", "two", "k"], "null key": ["k"]}[order]
+    df = spark.range(20_000).select(key.alias("g"), text.alias("text"), F.lit(1).alias("one"), F.lit("x").alias("two"), k.alias("k"), F.when(k % 9 == 0, k.cast("double")).alias("a"))
+    cut = cut_hot_groups(df, ["g"], columns, group_rows=1000)
+    sizes = [r["count"] for r in cut.groupBy(SEGMENT).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 1000 and len(sizes) > 20
+    spec = PanelSpec("g", tuple(columns), ("a",))
+    plain, split = history.ffill(df, spec), history.ffill(df, spec, group_rows=1000)
+    assert plain.exceptAll(split).count() == 0
+    counted = running_totals(df, ["g"], columns, {"up": "k"}, {"next": "k"}, group_rows=1000)
+    assert running_totals(df, ["g"], columns, {"up": "k"}, {"next": "k"}).exceptAll(counted).count() == 0
