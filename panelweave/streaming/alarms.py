@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -16,94 +15,163 @@ from panelweave.operators.stats import impute_and_scale
 from panelweave.plans.score import linear_score
 from panelweave.spec import PanelSpec
 
-_STATE = T.StructType([T.StructField("history", T.StringType())])
+_PLACES, _VALUES = "array<array<bigint>>", "array<array<double>>"
+#: Rows not yet settled, filled rows held back, the last known values and the newest settled clock.
+_STATE = f"held_at {_PLACES}, held {_VALUES}, waiting_at {_PLACES}, waiting {_VALUES}, last array<double>, newest bigint"
+_CLOCK = "__clock"
 
 
-def _after(rows: pd.DataFrame, order: Sequence[str], position: Sequence[int]) -> pd.Series:
-    """Which rows come strictly after a position."""
-    later = pd.Series(False, index=rows.index)
-    for c, at in reversed(list(zip(order, position))):
-        later = (rows[c] > at) | ((rows[c] == at) & later)
-    return later
+def _micros(df: DataFrame, clock: str) -> Column:
+    if isinstance(df.schema[clock].dataType, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(clock))
+    return F.unix_micros(clock)
 
 
-def _known(value) -> float | None:
-    return None if pd.isna(value) else float(value)
+def _from_micros(kind: T.DataType, column: str) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_add("MICROSECOND", F.col(column), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return F.timestamp_micros(column)
+
+
+def _advance(saved: tuple | None, rows: list[tuple], settled: float, delay: int, width: int) -> tuple[tuple, list[tuple]]:
+    """The state after more ``rows`` (place, values), and the rows that leave it.
+
+    Rows with a clock before ``settled`` are taken in order, once each, and filled; all but the newest ``delay`` of them leave.
+    """
+    held_at, held, waiting_at, waiting, last, newest = saved or ([], [], [], [], [None] * width, None)
+    known = {tuple(at): list(values) for at, values in zip(held_at, held)}
+    for at, values in rows:
+        known.setdefault(tuple(at), values)
+    ready = [(list(at), list(values)) for at, values in zip(waiting_at, waiting)]
+    last, later = list(last), []
+    for at in sorted(known):
+        if at[0] >= settled:
+            later.append(at)
+            continue
+        last = [new if new is not None else old for new, old in zip(known[at], last)]
+        newest = at[0]
+        ready.append((list(at), last))
+    out, kept = ready[: max(len(ready) - delay, 0)], ready[max(len(ready) - delay, 0) :]
+    state = ([list(at) for at in later], [known[at] for at in later], [at for at, _ in kept], [v for _, v in kept], last, newest)
+    return state, out
+
+
+def _frame(entity: object, rows: list[tuple], late: bool, names: Sequence[str]) -> pd.DataFrame:
+    columns = list(zip(*[(entity, *at, *values, late) for at, values in rows]))
+    return pd.DataFrame(dict(zip(names, columns)))
+
+
+def _result(df: DataFrame, spec: PanelSpec) -> tuple[T.StructType, list[str]]:
+    fields = [T.StructField(spec.entity, df.schema[spec.entity].dataType)]
+    fields += [T.StructField(c, T.LongType()) for c in spec.order] + [T.StructField(c, T.DoubleType()) for c in spec.features]
+    schema = T.StructType([*fields, T.StructField("late", T.BooleanType())])
+    return schema, schema.fieldNames()
+
+
+def _with_types(rows: DataFrame, schema: T.StructType, spec: PanelSpec) -> DataFrame:
+    clock, *others = spec.order
+    typed = [F.col(c).cast(schema[c].dataType).alias(c) for c in others]
+    return rows.select(spec.entity, _from_micros(schema[clock].dataType, clock).alias(clock), *typed, *spec.features, "late")
 
 
 def fill_and_delay(
     stream: DataFrame,
     spec: PanelSpec,
     delay: int = 5,
-    event_time: str | None = None,
+    lateness: str = "1 hour",
+    poll_ms: int | None = None,
     expire_after_ms: int | None = None,
 ) -> DataFrame:
     """Forward-fill each entity's stream and hold back its newest ``delay`` rows.
 
-    State per entity is one vector of last known values and ``delay`` rows. The first order column must be a
-    timestamp and the others integers. Rows at or before the newest row already taken are dropped;
-    ``late_rows`` counts them so far for the entity. With ``event_time`` and ``expire_after_ms`` the state
-    of an entity goes away once the watermark is that far past its newest row; put the watermark on the
-    stream first.
+    The first order column must be a timestamp and the others integers. A row stays in state until the watermark,
+    ``lateness`` behind the newest row of the stream, has passed it, so the result does not depend on the order in which
+    rows arrive within that time, nor on how they are cut into micro-batches. A row that arrives behind the watermark
+    leaves at once as it came, with ``late`` true; write these to a place of their own. Rows of one place in the
+    order count once. Without ``poll_ms`` the rows of an entity leave with its next micro-batch or by ``held_back``; with it,
+    entities with rows in state are looked at again after that time, which suits a stream that goes on (one that stops
+    when its input is read would wait for itself). With ``expire_after_ms`` as well, the state of an entity without
+    unsettled rows goes away once the watermark is that far past its newest row.
+
+    State per entity is the rows of the last ``lateness``, ``delay`` rows and one vector; ``held_back`` reads what is
+    left when a stream has ended.
     """
     clock = spec.order[0]
     order, features = list(spec.order), list(spec.features)
-    entity_type = stream.schema[spec.entity].dataType
-    output = T.StructType(
-        [T.StructField(spec.entity, entity_type)]
-        + [T.StructField(c, stream.schema[c].dataType) for c in order]
-        + [T.StructField(c, T.DoubleType()) for c in features]
-        + [T.StructField("late_rows", T.LongType())]
-    )
-    expires = event_time is not None and expire_after_ms is not None
+    schema, names = _result(stream, spec)
+    width = len(features)
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+        watermark = state.getCurrentWatermarkMs() * 1000
+        rows, late = [], []
+        if not state.hasTimedOut:
+            for chunk in chunks:
+                places = chunk[[_CLOCK, *order[1:]]].astype("int64").values.tolist()
+                values = chunk[features].astype("float64").values.tolist()
+                for at, row in zip(places, values):
+                    row = [None if v != v else v for v in row]
+                    (late if at[0] < watermark else rows).append((at, row))
+        saved = state.get if state.exists else None
+        after, out = _advance(saved, rows, watermark, delay, width)
+        if late:
+            yield _frame(key[0], late, True, names)
+        if out:
+            yield _frame(key[0], out, False, names)
+        idle = not after[0] and (after[5] is None or expire_after_ms is not None and watermark >= after[5] + expire_after_ms * 1000)
+        if idle:
+            if state.exists:
+                state.remove()
             return
-        rows = pd.concat(list(chunks), ignore_index=True)[order + features]
-        rows[clock] = pd.to_datetime(rows[clock]).astype("datetime64[us]").astype("int64")
-        rows = rows.sort_values(order)
-        arrived, late, held = len(rows), 0, None
-        if state.exists:
-            saved = json.loads(state.get[0])
-            held = pd.DataFrame(saved["held"], columns=order + features)
-            held = held.astype({c: "float64" for c in features})
-            rows, late = rows[_after(rows, order, saved["newest"])], saved["late"]
-        rows = rows.drop_duplicates(order)
-        late += arrived - len(rows)
-        filled = rows[features].astype("float64").ffill()
-        if state.exists:
-            filled = filled.fillna({c: v for c, v in zip(features, saved["last"]) if v is not None})
-        rows = pd.concat([rows[order], filled], axis=1)
-        if len(rows):
-            newest = [int(v) for v in rows[order].iloc[-1]]
-            last = [_known(v) for v in rows[features].iloc[-1]]
-        else:
-            newest, last = saved["newest"], saved["last"]
-        both = [part for part in (held, rows) if part is not None and len(part)]
-        waiting = pd.concat(both) if both else rows
-        ready = waiting.iloc[: max(len(waiting) - delay, 0)]
-        waiting = waiting.iloc[len(ready) :]
-        kept = [
-            [int(v) for v in at] + [_known(v) for v in values]
-            for at, values in zip(
-                waiting[order].itertuples(index=False), waiting[features].itertuples(index=False)
-            )
-        ]
-        state.update((json.dumps({"held": kept, "newest": newest, "last": last, "late": late}),))
-        if expires:
-            state.setTimeoutTimestamp(newest[0] // 1000 + expire_after_ms)
-        if len(ready):
-            out = ready.reset_index(drop=True).astype({c: "float64" for c in features})
-            out[clock] = pd.to_datetime(out[clock].astype("int64"), unit="us")
-            out.insert(0, spec.entity, key[0])
-            out["late_rows"] = late
-            yield out[output.fieldNames()]
-
-    timeout = GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout
-    wanted = stream.select(*spec.keys, *[F.col(c).cast("double").alias(c) for c in features])
-    return wanted.groupBy(spec.entity).applyInPandasWithState(step, output, _STATE, "append", timeout)
+        state.update(after)
+        if poll_ms is not None and (after[0] or expire_after_ms is not None):
+            state.setTimeoutDuration(poll_ms)
+
+    # A watermark takes timestamps with a zone only.
+    timed = stream.withColumn(_CLOCK, _micros(stream, clock)).withColumn("__event", F.timestamp_micros(_CLOCK))
+    wanted = timed.withWatermark("__event", lateness).select(
+        spec.entity,
+        "__event",
+        _CLOCK,
+        *[F.col(c).cast("long").alias(c) for c in order[1:]],
+        *[F.col(c).cast("double").alias(c) for c in features],
+    )
+    timeout = GroupStateTimeout.NoTimeout if poll_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    found = wanted.groupBy(spec.entity).applyInPandasWithState(step, schema, T.StructType.fromDDL(_STATE), "append", timeout)
+    return _with_types(found, stream.schema, spec)
+
+
+def held_back(spark: SparkSession, checkpoint: str, like: DataFrame, spec: PanelSpec, delay: int = 5) -> DataFrame:
+    """What ``fill_and_delay`` would still give if the stream that wrote ``checkpoint`` ended now.
+
+    ``like`` is a DataFrame with the stream's columns. Each entity's state is one row, read from the state store.
+    """
+    schema, names = _result(like, spec)
+    width = len(spec.features)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for entity, *saved in frame.itertuples(index=False, name=None):
+                plain = [[list(row) for row in part] for part in saved[:4]]
+                plain = [[[None if v is None or v != v else v for v in row] for row in part] for part in plain]
+                last = [None if v is None or v != v else float(v) for v in saved[4]]
+                _, out = _advance((*plain, last, None), [], float("inf"), delay, width)
+                if out:
+                    yield _frame(entity, out, False, names)
+
+    state = spark.read.format("statestore").load(checkpoint)
+    value = "value.groupState" if "groupState" in state.schema["value"].dataType.fieldNames() else "value"
+    parts = [F.col(f"{value}.{c}").alias(c) for c in T.StructType.fromDDL(_STATE).fieldNames()[:5]]
+    rows = state.select(F.col(f"key.{state.schema['key'].dataType.fieldNames()[0]}").alias(spec.entity), *parts)
+    return _with_types(rows.mapInPandas(run, schema), like.schema, spec)
+
+
+def score_rows(
+    ready: DataFrame, spec: PanelSpec, stats: dict, weights: Sequence[float], bias: float, threshold: float
+) -> DataFrame:
+    """Score filled rows with saved statistics and raise an alarm at the threshold: column expressions only."""
+    filled = impute_and_scale(ready, spec.features, stats)
+    scored = filled.withColumn("score", linear_score(spec.features, weights, bias))
+    return scored.select(*spec.keys, "score", binarise("score", threshold).alias("alarm"), "late")
 
 
 def stream_alarms(
@@ -114,17 +182,14 @@ def stream_alarms(
     bias: float,
     threshold: float,
     delay: int = 5,
-    event_time: str | None = None,
+    lateness: str = "1 hour",
+    poll_ms: int | None = None,
     expire_after_ms: int | None = None,
 ) -> DataFrame:
     """Score every row of a stream with saved statistics and raise an alarm at the threshold.
 
-    Only the fill and the delay need state; filling with statistics, scaling and scoring are column expressions.
-    A drained stream gives what the batch operators give, less the cut to the newest rows, which is only
-    known at the end of the data.
+    Only the fill and the delay need state. A drained stream, with ``score_rows(held_back(...))``, gives what the
+    batch operators give, less the cut to the newest rows, which is only known at the end of the data.
     """
-    ready = impute_and_scale(
-        fill_and_delay(stream, spec, delay, event_time, expire_after_ms), spec.features, stats
-    )
-    scored = ready.withColumn("score", linear_score(spec.features, weights, bias))
-    return scored.select(*spec.keys, "score", binarise("score", threshold).alias("alarm"), "late_rows")
+    ready = fill_and_delay(stream, spec, delay, lateness, poll_ms, expire_after_ms)
+    return score_rows(ready, spec, stats, weights, bias, threshold)

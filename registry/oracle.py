@@ -454,7 +454,7 @@ ORACLE["drift_counters"] = ctes(*REPORT, QUALITY) + (
 
 # ---- streaming
 
-STREAMED = tuple(f"v_{c}" for c in CHANNELS)
+STREAMED = KEPT
 STREAM_SCORE = " + ".join(
     f"{w}::DOUBLE * {scaled(c, f'coalesce(f.{c}, m_{c}, 0)')}" for c, w in zip(STREAMED, WEIGHTS)
 )
@@ -464,5 +464,5 @@ ORACLE["stream_alarms"] = ctes(
     "FROM f, s WHERE n - rn >= 5)",
 ) + (
     f"SELECT id, event_id, round(score, 6) AS score, CASE WHEN score >= {ALARM} THEN 1 ELSE 0 END AS alarm, "
-    "CAST(0 AS BIGINT) AS late_rows FROM x"
+    "false AS late FROM x"
 )

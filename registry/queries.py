@@ -11,7 +11,7 @@ from panelweave.operators import drift, encode, evaluate, history, sequences, sp
 from panelweave.plans import learn, prepare, score
 from panelweave.sources import files
 from panelweave.spec import PanelSpec
-from panelweave.streaming.alarms import stream_alarms
+from panelweave.streaming.alarms import held_back, score_rows, stream_alarms
 from panelweave.workspace import fresh_path, materialise
 from registry.panels import (
     ALARM, BIAS, ENCODED, EVENT_FEATURES, EVENTS, ORDERS, SHARES, TYPES, WEIGHTS,
@@ -653,27 +653,34 @@ def drift_counters(spark, sf_dir):
 
 @query
 def stream_alarms_(spark, sf_dir):
-    """The whole event table through the stream, drained."""
-    features = EVENT_FEATURES[:5]
-    schema = table(spark, sf_dir, "events").schema
+    """The whole event table through the stream, drained, with what the state still holds at its end."""
+    return drained_alarms(spark, sf_dir, f"{sf_dir}/events.parquet")
+
+
+def drained_alarms(spark: SparkSession, sf_dir: str, events: str, **options) -> DataFrame:
+    """Alarms for the events in ``events``, a file or a folder of files, in whatever order they are read."""
+    features = EVENT_FEATURES[:7]
+    batch = spark.read.parquet(events)
     spec = EVENTS.with_features(*features)
     fitted = stats.stats_values(stats.fit_stats(events_panel(spark, sf_dir), features, is_train()))
-    # A bound on the bytes of a micro-batch bounds what one entity can bring into a task.
-    arriving = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxBytesPerTrigger", 256 << 20)
-        .parquet(sf_dir)
-    )
-    panel = arriving.select(*event_columns())
-    out = fresh_path(spark, "alarms")
+    # Files are read in no order of time, so rows wait for all that the table spans.
+    span = batch.agg(F.min("ts"), F.max("ts")).first()
+    lateness = f"{int((span[1] - span[0]).total_seconds()) + 1} seconds" if span[0] else "1 second"
+    # As a pattern, the path may be one file or a folder of files.
+    pattern = f"{events[:-1]}[{events[-1]}]"
+    arriving = spark.readStream.schema(batch.schema).options(**options).parquet(pattern).select(*event_columns())
+    progress, out = fresh_path(spark, "alarms-progress"), fresh_path(spark, "alarms")
     running = (
-        stream_alarms(panel, spec, fitted, WEIGHTS[:5], BIAS, ALARM)
+        stream_alarms(arriving, spec, fitted, WEIGHTS[:7], BIAS, ALARM, lateness=lateness)
         .writeStream.format("parquet")
+        .partitionBy("late")
         .option("path", out)
-        .option("checkpointLocation", fresh_path(spark, "alarms-progress"))
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )
     running.awaitTermination()
-    return spark.read.parquet(out).select("id", "event_id", *r6("score"), "alarm", "late_rows")
+    rest = held_back(spark, progress, batch.select(*event_columns()), spec)
+    rest = score_rows(rest, spec, fitted, WEIGHTS[:7], BIAS, ALARM)
+    written = spark.read.schema(rest.schema).parquet(out)
+    return written.unionByName(rest).select("id", "event_id", *r6("score"), "alarm", "late")
