@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +27,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses; what is there goes away with its scope."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _made:
+        # Only now, so that it runs before the JVM is ended.
+        atexit.register(_discard_from, 0)
+    _made.append((spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path))
+    return path
+
+
+_made: list[tuple] = []
+
+
+def _discard_from(first: int) -> None:
+    gone = _made[first:]
+    del _made[first:]
+    for jvm, conf, path in gone:
+        # A folder may be gone already, and at the end of the process its session as well.
+        with contextlib.suppress(Exception):
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+@contextlib.contextmanager
+def scope() -> Iterator[None]:
+    """Intermediate tables made inside the block are deleted at its end; those made outside, with the process.
+
+    DataFrames that read them must have been written or collected by then.
+    """
+    first = len(_made)
+    try:
+        yield
+    finally:
+        _discard_from(first)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
