@@ -466,3 +466,14 @@ ORACLE["stream_alarms"] = ctes(
     f"SELECT id, event_id, round(score, 6) AS score, CASE WHEN score >= {ALARM} THEN 1 ELSE 0 END AS alarm, "
     "false AS late FROM x"
 )
+
+# ---- learners, where SQL can tell what they must find
+
+ORACLE["select_features"] = "SELECT 'p_total' AS feature"
+ORACLE["step_classifier_auc"] = ctes(ORDERS_SQL) + "SELECT DISTINCT split, true AS ranked FROM o"
+ORACLE["logistic_coefficients"] = """WITH r AS (
+  SELECT o_totalprice > 150000 AS x, o_custkey % 3 = 0 OR (o_totalprice > 150000 AND o_orderkey % 2 = 0) AS y FROM orders
+), o AS (SELECT x, ln(count(*) FILTER (y) / count(*) FILTER (NOT y)) AS odds FROM r GROUP BY x)
+SELECT 'intercept' AS name, round(max(odds) FILTER (NOT x), 3) AS value FROM o
+UNION ALL SELECT 'x', round(max(odds) FILTER (x) - max(odds) FILTER (NOT x), 3) FROM o"""
+ORACLE["score_keeps_nulls"] = ctes(ORDERS_SQL) + "SELECT id, o_orderkey, p_urgent, p_low, p_total, true AS scored FROM o"
