@@ -10,23 +10,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.skew import rows_per_group, running_totals
+from panelweave.operators.skew import rows_per_group, running_totals, same_keys
 from panelweave.workspace import materialise
 
 # Defaults of the drift report.
 DISTANCE_THRESHOLD = 0.1
 P_VALUE_THRESHOLD = 0.05
 DATASET_SHARE = 0.5
-SMALL_REFERENCE = 1000
 FEW_VALUES = 5
 STD_FLOOR = 0.001
 
 # Groups of a summary whose sizes are sent to every task.
 GROUPS_SENT = 100_000
 
-# Batches compared in one pass over the sorted values; more batches take more passes.
-BATCHES_PER_PASS = 64
-
 
 def _long(df: DataFrame, columns: Sequence[str], kind: str, *keep: str) -> DataFrame:
     """(keep..., column, value) for every non-null cell."""
@@ -40,122 +36,140 @@ def _long(df: DataFrame, columns: Sequence[str], kind: str, *keep: str) -> DataF
     )
 
 
-def _batches(cur: DataFrame, by: str) -> list:
-    return sorted(r[0] for r in cur.select(by).distinct().collect())
-
-
-def _passes(batches: list) -> list[list]:
-    return [batches[i : i + BATCHES_PER_PASS] for i in range(0, len(batches), BATCHES_PER_PASS)]
+def _ratio(a: Column, b: Column) -> Column:
+    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def _counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str], by: str, batches: list, kind: str):
-    """(column, value, r, c0, c1, ...): how often each value occurs in the reference and in each batch.
+def _counted(ref: DataFrame, cur: DataFrame, columns: Sequence[str], by: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """How often each value occurs: ``r`` by (column, value) in the reference, ``c`` by (batch, column, value) in the batches.
 
-    One combined-before-shuffle aggregate; the reference is never repeated per batch.
+    Both are summed in each task before the shuffle, and written, as the measures read them more than once.
     """
-    slot = F.lit(None).cast("int")
-    for i, b in enumerate(batches):
-        slot = F.when(F.col(by) == F.lit(b), F.lit(i)).otherwise(slot)
-    both = ref.select(*columns, F.lit(-1).alias("__slot")).unionByName(
-        cur.select(*columns, slot.alias("__slot")).where(F.col("__slot").isNotNull())
-    )
-    return (
-        _long(both, columns, kind, "__slot")
-        .groupBy("column", "value")
-        .agg(
-            F.count_if(F.col("__slot") == -1).alias("r"),
-            *[F.count_if(F.col("__slot") == i).alias(f"c{i}") for i in range(len(batches))],
-        )
-    )
+    of_ref = _long(ref, columns, kind).groupBy("column", "value").agg(F.count(F.lit(1)).alias("r"))
+    of_cur = _long(cur, columns, kind, by).groupBy(by, "column", "value").agg(F.count(F.lit(1)).alias("c"))
+    return materialise(of_ref, "reference-counts"), materialise(of_cur, "batch-counts")
 
 
-def _with_sizes(counts: DataFrame, slots: list[str]) -> DataFrame:
-    """Add the number of values per column and sample; that table has one row per compared column."""
-    sizes = counts.groupBy("column").agg(*[F.sum(s).alias(f"n_{s}") for s in slots])
-    return counts.join(F.broadcast(sizes), "column")
+def _with_size(df: DataFrame, counts: DataFrame, by: str) -> DataFrame:
+    """Add ``n_cur``, the number of values by batch and column."""
+    sizes = counts.groupBy(by, "column").agg(F.sum("c").alias("n_cur"))
+    renamed, same = same_keys(df, sizes, [by, "column"])
+    return df.join(renamed, same).select(*df.columns, "n_cur")
 
 
-def _per_batch(wide: DataFrame, batches: list, by: tuple, shared: list[str], fields: list[str]) -> DataFrame:
-    """One row per (batch, column) from one row per column with ``<field>_<i>`` for each batch."""
-    by, kind = by
-    rows = F.array(
-        *[
-            F.struct(F.lit(b).cast(kind).alias(by), *[F.col(f"{f}_{i}").alias(f) for f in fields])
-            for i, b in enumerate(batches)
-        ]
-    )
-    return wide.select("column", *shared, F.explode(rows).alias("b")).select(
-        f"b.{by}", "column", *shared, *[f"b.{f}" for f in fields]
-    )
-
+def _as_of(
+    rows: DataFrame, known: DataFrame, at: str, carried: Sequence[str], group_rows: int | None, at_most: int
+) -> DataFrame:
+    """Give each row the ``carried`` columns of the last known row of its column whose ``at`` is not greater (null if none).
 
-def _ratio(a: Column, b: Column) -> Column:
-    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    Known rows go into the sort once, whatever the number of batches.
+    """
+    both = rows.withColumn("__side", F.lit(1)).unionByName(
+        known.select("column", at, *carried, F.lit(0).alias("__side")), allowMissingColumns=True
+    )
+    ties = [c for c in rows.columns if c not in ("column", at)]
+    found = running_totals(
+        both, ["column"], [at, "__side", *ties], {}, latest={f"at_{c}": c for c in carried},
+        group_rows=group_rows, at_most=at_most,
+    )
+    return found.where("__side = 1").select(*rows.columns, *[f"at_{c}" for c in carried])
 
 
 def numeric_drift(
-    ref: DataFrame,
-    cur: DataFrame,
-    columns: Sequence[str],
-    by: str = "batch",
-    group_rows: int | None = None,
-    batches: Sequence | None = None,
+    ref: DataFrame, cur: DataFrame, columns: Sequence[str], by: str = "batch", group_rows: int | None = None
 ) -> DataFrame:
     """Distances between the distributions of numeric columns, per batch and column.
 
-    Gives (by, column, n_ref, n_cur, wasserstein, drift_score, ks, ks_p_value). The values of both samples
-    are counted, sorted once per column, and walked with running counts; columns with too many distinct
-    values for one task are walked in segments. ``batches`` lists the batches if they are known.
+    Gives (by, column, n_ref, n_cur, wasserstein, drift_score, ks, ks_p_value). Values are counted once. Between two
+    values of a batch its distribution is constant and the reference's rises, so the area between them follows from the
+    reference's running sums at both values and at the one place where it crosses the batch's share. These are found by
+    position, so neither the reference nor the plan grows with the number of batches. Columns with too many distinct
+    values for one task are walked in segments. A null batch is a batch like any other.
     """
     columns = list(columns)
-    batches = list(batches) if batches is not None else _batches(cur, by)
-    spread = ref.agg(
-        F.count(F.lit(1)).alias("__n"), *[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns]
-    ).first()
-    at_most = spread["__n"] + cur.count()
-    results = []
-    for some in _passes(batches):
-        counts = _counts(ref, cur, columns, by, some, "double")
-        if at_most > rows_per_group(ref, at_most, group_rows):
-            counts = materialise(counts, "value-counts")
-        slots = ["r", *[f"c{i}" for i in range(len(some))]]
-        walked = running_totals(
-            counts, ["column"], ["value"], {f"up_{s}": s for s in slots}, {"next": "value"},
-            group_rows=group_rows, at_most=at_most,
-        )
-        sizes = counts.groupBy("column").agg(*[F.sum(s).alias(f"n_{s}") for s in slots])
-        shares = walked.join(F.broadcast(sizes), "column")
-        gap = F.coalesce(F.col("next") - F.col("value"), F.lit(0.0))
-        ref_share = _ratio(F.col("up_r"), F.col("n_r"))
-        measures = []
-        for i in range(len(some)):
-            apart = F.abs(ref_share - _ratio(F.col(f"up_c{i}"), F.col(f"n_c{i}")))
-            measures += [
-                F.sum(apart * gap).alias(f"wasserstein_{i}"),
-                F.max(apart).alias(f"ks_{i}"),
-                F.max(f"n_c{i}").alias(f"n_cur_{i}"),
-            ]
-        wide = shares.groupBy("column").agg(F.max("n_r").alias("n_ref"), *measures)
-        results.append(_per_batch(wide, some, (by, cur.schema[by].dataType), ["n_ref"], ["n_cur", "wasserstein", "ks"]))
-    found = reduce(DataFrame.unionByName, results).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    moments = []
+    for i, c in enumerate(columns):
+        value = F.col(c).cast("double")
+        moments += [F.stddev_pop(value).alias(f"spread_{i}"), F.avg(value).alias(f"mean_{i}")]
+    one = ref.agg(F.count(F.lit(1)).alias("__n"), *moments).first()
     # One number per compared column.
-    spans = F.create_map(*[F.lit(x) for c in columns for x in (c, max(spread[c] or 0.0, STD_FLOOR))])
-    score = F.col("wasserstein") / spans[F.col("column")]
+    spans = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, max(one[f"spread_{i}"] or 0.0, STD_FLOOR))])
+    centres = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, one[f"mean_{i}"] or 0.0)])
+    at_most = one["__n"] + cur.count()
+
+    ref_counts, cur_counts = _counted(ref, cur, columns, by, "double")
+    # Values are taken from the reference's mean, so that running sums of them stay small.
+    from_centre = F.col("value") - centres[F.col("column")]
+    walked = running_totals(
+        ref_counts.withColumn("moment", F.col("r") * from_centre), ["column"], ["value"],
+        {"upto": "r", "moment_upto": "moment"}, group_rows=group_rows, at_most=at_most,
+    ).withColumn("here", F.col("value"))
+    walked = walked.withColumn("below", F.col("upto") - F.col("r"))
+
+    # The area under the reference's counts, left of a value.
+    def area(value: Column, upto: Column, moment: Column) -> Column:
+        return (value - centres[F.col("column")]) * upto - moment
+
+    placed = _as_of(cur_counts, walked, "value", ["here", "upto", "below", "moment_upto"], group_rows, at_most)
+    upto = F.coalesce("at_upto", F.lit(0))
+    placed = placed.select(
+        by, "column", "value", "c", upto.alias("upto"),
+        F.when(F.col("at_here") == F.col("value"), F.col("at_below")).otherwise(upto).alias("below"),
+        area(F.col("value"), upto, F.coalesce("at_moment_upto", F.lit(0.0))).alias("area"),
+    )
+    steps = running_totals(
+        placed, [by, "column"], ["value"], {"c_upto": "c"},
+        {"next": "value", "next_area": "area", "next_below": "below"}, group_rows=group_rows, at_most=at_most,
+    )
+    # One row per compared column.
+    whole = ref_counts.groupBy("column").agg(
+        F.sum("r").alias("n_ref"), F.max("value").alias("top"), F.sum(F.col("r") * from_centre).alias("top_moment")
+    )
+    steps = _with_size(steps, cur_counts, by).join(F.broadcast(whole), "column")
+    # The batch's share in counts of the reference; negative, as the crossing is the next known row upwards.
+    steps = steps.withColumn("level", -F.col("c_upto") * F.col("n_ref") / F.col("n_cur"))
+    crossings = walked.select(
+        "column", (-F.col("upto")).cast("double").alias("level"), "here",
+        area(F.col("value"), F.col("below"), F.col("moment_upto") - F.col("moment")).alias("area_here"),
+    )
+    steps = _as_of(steps, crossings, "level", ["here", "area_here"], group_rows, at_most)
+
+    level = -F.col("level")
+    beyond = F.col("next").isNull() & (F.col("top") > F.col("value"))
+    end = F.when(beyond, F.col("top")).otherwise(F.coalesce("next", "value"))
+    end_area = F.when(beyond, area(F.col("top"), F.col("n_ref"), F.col("top_moment"))).otherwise(F.coalesce("next_area", "area"))
+    cross = F.greatest(F.least(F.coalesce("at_here", "top"), end), F.col("value"))
+    cross_area = (
+        F.when(cross == F.col("value"), F.col("area")).when(cross == end, end_area).otherwise(F.col("at_area_here"))
+    )
+    between = level * (cross - F.col("value")) - (cross_area - F.col("area")) + (end_area - cross_area) - level * (end - cross)
+    first = F.col("c_upto") == F.col("c")
+    apart = F.greatest(
+        F.abs(F.col("upto") - level),
+        F.abs(F.coalesce(F.col("next_below") - level, F.lit(0.0))),
+        F.when(first, F.col("below").cast("double")).otherwise(0.0),
+    )
+    found = steps.groupBy(by, "column").agg(
+        F.max("n_ref").alias("n_ref"),
+        F.max("n_cur").alias("n_cur"),
+        (F.sum(between + F.when(first, F.col("area")).otherwise(0.0)) / F.max("n_ref")).alias("wasserstein"),
+        (F.max(apart) / F.max("n_ref")).alias("ks"),
+    )
     return found.select(
-        by, "column", "n_ref", "n_cur", "wasserstein", score.alias("drift_score"), "ks",
-        ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_value"),
+        by, "column", "n_ref", "n_cur", "wasserstein", (F.col("wasserstein") / spans[F.col("column")]).alias("drift_score"),
+        "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_value"),
     )
 
 
-def wasserstein(ref, cur, columns, by="batch", group_rows=None, batches=None) -> DataFrame:
+def wasserstein(ref, cur, columns, by="batch", group_rows=None) -> DataFrame:
     """(by, column, wasserstein, drift_score): the distance, and the distance over the reference spread."""
-    found = numeric_drift(ref, cur, columns, by, group_rows, batches)
+    found = numeric_drift(ref, cur, columns, by, group_rows)
     return found.select(by, "column", "wasserstein", "drift_score")
 
 
-def ks_statistic(ref, cur, columns, by="batch", group_rows=None, batches=None) -> DataFrame:
+def ks_statistic(ref, cur, columns, by="batch", group_rows=None) -> DataFrame:
     """(by, column, n_ref, n_cur, ks, ks_p_value): the two-sample statistic and its asymptotic p-value."""
-    found = numeric_drift(ref, cur, columns, by, group_rows, batches)
+    found = numeric_drift(ref, cur, columns, by, group_rows)
     return found.select(by, "column", "n_ref", "n_cur", "ks", "ks_p_value")
 
 
@@ -171,73 +185,67 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(x < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(terms, F.lit(0.0)), F.lit(1.0)))
 
 
-def categorical_drift(
-    ref: DataFrame,
-    cur: DataFrame,
-    columns: Sequence[str],
-    by: str = "batch",
-    batches: Sequence | None = None,
-) -> DataFrame:
+def categorical_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], by: str = "batch") -> DataFrame:
     """Distances between the distributions of categorical columns, per batch and column.
 
     Gives (by, column, n_ref, n_cur, n_values, js, chi2, z). ``chi2`` compares a batch with the reference
     scaled to the size of the batch; ``z`` compares the share of the greatest value and is null unless the
-    column has two values.
+    column has two values. Values that a batch lacks enter through the reference rows that it does not meet, so only
+    values that occur are joined.
     """
-    batches = list(batches) if batches is not None else _batches(cur, by)
-    results = []
-    for some in _passes(batches):
-        slots = ["r", *[f"c{i}" for i in range(len(some))]]
-        counts = _with_sizes(_counts(ref, cur, columns, by, some, "string"), slots)
-        p = _ratio(F.col("r"), F.col("n_r"))
-        measures = []
-        for i in range(len(some)):
-            n, c = F.col(f"n_c{i}"), F.col(f"c{i}")
-            q = _ratio(c, n)
-            middle = (p + q) / 2
-            part = F.when(p > 0, p * F.ln(F.try_divide(p, middle))).otherwise(0.0) + F.when(
-                q > 0, q * F.ln(F.try_divide(q, middle))
-            ).otherwise(0.0)
-            expected = p * n
-            off = F.when(
-                expected > 0, F.try_divide((c - expected) * (c - expected), expected)
-            ).when(c > 0, F.lit(float("inf"))).otherwise(0.0)
-            seen = (F.col("r") > 0) | (c > 0)
-            measures += [
-                F.sqrt(F.greatest(F.sum(part) / 2, F.lit(0.0))).alias(f"js_{i}"),
-                F.sum(off).alias(f"chi2_{i}"),
-                F.count_if(seen).alias(f"n_values_{i}"),
-                F.max(n).alias(f"n_cur_{i}"),
-                F.max_by(c, F.when(seen, F.col("value"))).alias(f"top_cur_{i}"),
-                F.max_by("r", F.when(seen, F.col("value"))).alias(f"top_ref_{i}"),
-            ]
-        wide = counts.groupBy("column").agg(F.max("n_r").alias("n_ref"), *measures)
-        fields = ["js", "chi2", "n_values", "n_cur", "top_cur", "top_ref"]
-        results.append(_per_batch(wide, some, (by, cur.schema[by].dataType), ["n_ref"], fields))
-    found = reduce(DataFrame.unionByName, results).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    ref_counts, cur_counts = _counted(ref, cur, columns, by, "string")
+    # One row per compared column.
+    whole = ref_counts.groupBy("column").agg(
+        F.sum("r").alias("n_ref"), F.count(F.lit(1)).alias("ref_values"),
+        F.max("value").alias("top"), F.max_by("r", "value").alias("top_r"),
+    )
+    met = _with_size(cur_counts.join(ref_counts, ["column", "value"], "left"), cur_counts, by).join(F.broadcast(whole), "column")
+    p, q = F.coalesce("r", F.lit(0)) / F.col("n_ref"), F.col("c") / F.col("n_cur")
+    middle = (p + q) / 2
+    part = F.when(p > 0, p * F.ln(F.try_divide(p, middle))).otherwise(0.0) + q * F.ln(q / middle)
+    expected = p * F.col("n_cur")
+    off = F.when(expected > 0, F.try_divide((F.col("c") - expected) * (F.col("c") - expected), expected)).otherwise(float("inf"))
+    sums = met.groupBy(by, "column").agg(
+        *[F.max(c).alias(c) for c in ("n_ref", "n_cur", "ref_values", "top", "top_r")],
+        F.sum(F.coalesce("r", F.lit(0))).alias("met"),
+        F.count_if(F.col("r").isNull()).alias("new_values"),
+        F.sum(part).alias("parts"),
+        F.sum(off).alias("off"),
+        F.max("value").alias("cur_top"),
+        F.max_by("c", "value").alias("cur_top_c"),
+        F.max_by(F.coalesce("r", F.lit(0)), "value").alias("cur_top_r"),
+    )
     n, m = F.col("n_ref"), F.col("n_cur")
-    pooled = (F.col("top_ref") + F.col("top_cur")) / (n + m)
+    unmet = (n - F.col("met")) / n
+    n_values = F.col("ref_values") + F.col("new_values")
+    ahead = F.col("top") > F.col("cur_top")
+    top_ref = F.when(ahead, F.col("top_r")).otherwise(F.col("cur_top_r"))
+    top_cur = F.when(ahead, F.lit(0)).otherwise(F.col("cur_top_c"))
+    pooled = (top_ref + top_cur) / (n + m)
     error = F.sqrt(pooled * (1 - pooled) * (F.lit(1.0) / n + F.lit(1.0) / m))
-    z = F.when(F.col("n_values") == 2, F.try_divide(F.col("top_ref") / n - F.col("top_cur") / m, error))
-    return found.select(by, "column", "n_ref", "n_cur", "n_values", "js", "chi2", z.alias("z"))
+    z = F.when(n_values == 2, F.try_divide(top_ref / n - top_cur / m, error))
+    js = F.sqrt(F.greatest((F.col("parts") + unmet * math.log(2)) / 2, F.lit(0.0)))
+    return sums.select(
+        by, "column", "n_ref", "n_cur", n_values.alias("n_values"), js.alias("js"), (F.col("off") + unmet * m).alias("chi2"), z.alias("z")
+    )
 
 
-def js_distance(ref, cur, columns, by="batch", batches=None) -> DataFrame:
+def js_distance(ref, cur, columns, by="batch") -> DataFrame:
     """(by, column, js): Jensen-Shannon distance, natural logarithm."""
-    return categorical_drift(ref, cur, columns, by, batches).select(by, "column", "js")
+    return categorical_drift(ref, cur, columns, by).select(by, "column", "js")
 
 
-def chi2_statistic(ref, cur, columns, by="batch", batches=None) -> DataFrame:
+def chi2_statistic(ref, cur, columns, by="batch") -> DataFrame:
     """(by, column, n_values, chi2, p_value)."""
-    found = categorical_drift(ref, cur, columns, by, batches)
+    found = categorical_drift(ref, cur, columns, by)
     return found.select(
         by, "column", "n_values", "chi2", chi2_p_value(F.col("chi2"), F.col("n_values") - 1).alias("p_value")
     )
 
 
-def z_statistic(ref, cur, columns, by="batch", batches=None) -> DataFrame:
+def z_statistic(ref, cur, columns, by="batch") -> DataFrame:
     """(by, column, z, p_value) for columns with two values."""
-    found = categorical_drift(ref, cur, columns, by, batches).where(F.col("n_values") == 2)
+    found = categorical_drift(ref, cur, columns, by).where(F.col("n_values") == 2)
     return found.select(by, "column", "z", z_p_value(F.col("z")).alias("p_value"))
 
 
@@ -298,8 +306,8 @@ def z_p_value(z: Column) -> Column:
     return tail(z)
 
 
-def column_kinds(ref: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    """``numeric`` or ``categorical`` per column: text and columns with few values are categorical.
+def column_kinds(ref: DataFrame, columns: Sequence[str], few_values: int = FEW_VALUES) -> dict[str, str]:
+    """``numeric`` or ``categorical`` per column: text and columns of at most ``few_values`` values are categorical.
 
     The sketch keeps the hashes themselves while they are few, so it is exact in effect for the handful of
     values that matters here.
@@ -307,51 +315,42 @@ def column_kinds(ref: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     sketch = [F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"))).alias(c) for c in columns]
     one = ref.agg(*sketch).first()
     text = {name for name, kind in ref.dtypes if kind in ("string", "boolean")}
-    return {c: "categorical" if c in text or one[c] <= FEW_VALUES else "numeric" for c in columns}
+    return {c: "categorical" if c in text or one[c] <= few_values else "numeric" for c in columns}
 
 
 def drift_by_batch(
     ref: DataFrame,
     cur: DataFrame,
-    columns: Sequence[str],
+    kinds: dict[str, str],
     by: str = "batch",
-    kinds: dict[str, str] | None = None,
-    small: bool | None = None,
+    p_values: bool = False,
     group_rows: int | None = None,
-    batches: Sequence | None = None,
 ) -> DataFrame:
     """Drift of every column in every batch: (by, column, stattest, score, threshold, drifted).
 
-    A large reference uses distances (Wasserstein over the spread, Jensen-Shannon), a small one p-values
-    (Kolmogorov-Smirnov, chi-squared, z for two values). All batches are compared in one job.
+    ``kinds`` names the columns and says whether each is ``numeric`` or ``categorical``. The measures are distances
+    (Wasserstein over the spread, Jensen-Shannon), or with ``p_values``, which suits references of some hundred rows, the tests of
+    Kolmogorov-Smirnov and chi-squared, and z for two values. All batches are compared in one job.
     """
-    kinds = kinds or column_kinds(ref, columns)
-    batches = list(batches) if batches is not None else _batches(cur, by)
-    if small is None:
-        small = ref.limit(SMALL_REFERENCE + 1).count() <= SMALL_REFERENCE
-    numeric = [c for c in columns if kinds[c] == "numeric"]
-    categorical = [c for c in columns if kinds[c] == "categorical"]
+    numeric = [c for c, kind in kinds.items() if kind == "numeric"]
+    categorical = [c for c, kind in kinds.items() if kind == "categorical"]
     parts = []
     if numeric:
-        found = numeric_drift(ref, cur, numeric, by, group_rows, batches)
-        name, value = ("ks", "ks_p_value") if small else ("wasserstein", "drift_score")
+        found = numeric_drift(ref, cur, numeric, by, group_rows)
+        name, value = ("ks", "ks_p_value") if p_values else ("wasserstein", "drift_score")
         parts.append(found.select(by, "column", F.lit(name).alias("stattest"), F.col(value).alias("score")))
     if categorical:
-        found = categorical_drift(ref, cur, categorical, by, batches)
-        if small:
+        found = categorical_drift(ref, cur, categorical, by)
+        if p_values:
             two = F.col("n_values") <= 2
             name = F.when(two, "z").otherwise("chi2")
-            value = F.when(two, z_p_value(F.col("z"))).otherwise(
-                chi2_p_value(F.col("chi2"), F.col("n_values") - 1)
-            )
+            value = F.when(two, z_p_value(F.col("z"))).otherwise(chi2_p_value(F.col("chi2"), F.col("n_values") - 1))
         else:
             name, value = F.lit("jensenshannon"), F.col("js")
         parts.append(found.select(by, "column", name.alias("stattest"), value.alias("score")))
-    threshold = P_VALUE_THRESHOLD if small else DISTANCE_THRESHOLD
-    drifted = F.col("score") < threshold if small else F.col("score") >= threshold
-    return reduce(DataFrame.unionByName, parts).select(
-        "*", F.lit(threshold).alias("threshold"), drifted.alias("drifted")
-    )
+    threshold = P_VALUE_THRESHOLD if p_values else DISTANCE_THRESHOLD
+    drifted = F.col("score") < threshold if p_values else F.col("score") >= threshold
+    return reduce(DataFrame.unionByName, parts).select("*", F.lit(threshold).alias("threshold"), drifted.alias("drifted"))
 
 
 def dataset_drift(report: DataFrame, by: str = "batch", share: float = DATASET_SHARE) -> DataFrame:

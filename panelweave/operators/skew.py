@@ -103,15 +103,16 @@ def running_totals(
     group_rows: int | None = None,
     at_most: int | None = None,
     cut: DataFrame | None = None,
+    latest: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Running sums (inclusive) per group, in order, plus the next row's value of some columns.
+    """Running sums (inclusive) per group, in order, plus the next row's value of some columns and the last known one of others.
 
     ``totals`` maps an output column to the column it sums; ``following`` maps an output column to
-    the column whose value in the next row it takes (null in the last row of the group). ``cut`` is the
-    result of ``cut_hot_groups`` if the caller already has it.
+    the column whose value in the next row it takes (null in the last row of the group), ``latest`` to the column whose
+    last value so far, nulls left out, it takes. ``cut`` is the result of ``cut_hot_groups`` if the caller already has it.
     """
     keys, order = list(keys), list(order)
-    following = following or {}
+    following, latest = following or {}, latest or {}
     partition = keys or [F.lit(0)]
     if cut is None:
         cut = cut_hot_groups(df, keys, order, group_rows, at_most)
@@ -122,6 +123,7 @@ def running_totals(
             "*",
             *[F.sum(c).over(upto).alias(name) for name, c in totals.items()],
             *[F.lead(c).over(w).alias(name) for name, c in following.items()],
+            *[F.last(c, ignorenulls=True).over(upto).alias(name) for name, c in latest.items()],
         )
 
     w = Window.partitionBy(*keys, SEGMENT).orderBy(*order)
@@ -130,12 +132,15 @@ def running_totals(
         "*",
         *[F.sum(c).over(upto).alias(name) for name, c in totals.items()],
         *[F.lead(c).over(w).alias(name) for name, c in following.items()],
+        *[F.last(c, ignorenulls=True).over(upto).alias(name) for name, c in latest.items()],
         F.lead(F.lit(1)).over(w).isNull().alias("__last"),
     )
     # One row per (group, segment): what came before it and what comes right after it.
     summary = cut.groupBy(*keys, SEGMENT).agg(
         *[F.sum(c).alias(f"__sum_{name}") for name, c in totals.items()],
         *[F.min_by(c, F.struct(*order)).alias(f"__head_{name}") for name, c in following.items()],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"__tail_{name}") for name, c in latest.items()],
+        F.count(F.lit(1)).alias("__rows"),
     ).where(F.col(SEGMENT) > 0)
     ws = Window.partitionBy(*partition).orderBy(SEGMENT)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -144,6 +149,7 @@ def running_totals(
         SEGMENT,
         *[F.sum(f"__sum_{name}").over(before).alias(f"__before_{name}") for name in totals],
         *[F.lead(f"__head_{name}").over(ws).alias(f"__next_{name}") for name in following],
+        *[F.last(f"__tail_{name}", ignorenulls=True).over(before).alias(f"__known_{name}") for name in latest],
     )
     renamed, same = same_keys(inside, offsets, [*keys, SEGMENT])
     joined = inside.join(renamed, same, "left")
@@ -154,4 +160,5 @@ def running_totals(
         F.when(F.col("__last"), F.col(f"__next_{name}")).otherwise(F.col(name)).alias(name)
         for name in following
     ]
-    return joined.select(*df.columns, *shifted, *passed)
+    known = [F.coalesce(name, f"__known_{name}").alias(name) for name in latest]
+    return joined.select(*df.columns, *shifted, *passed, *known)

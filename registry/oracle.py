@@ -387,11 +387,12 @@ SERIES = (
     "list_sum(list_transform(generate_series(1, 100), "
     "lambda k: (CASE WHEN k % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END) * exp(-2.0::DOUBLE * k * k * x * x)))"
 )
+KS_TAIL = f"CASE WHEN x < 0.2 THEN 1.0::DOUBLE ELSE least(greatest({SERIES}, 0.0::DOUBLE), 1.0::DOUBLE) END"
 ORACLE["ks_statistic"] = ctes(
     *NUMERIC_DRIFT, "kx AS (SELECT *, ks * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS x FROM nd)"
 ) + (
-    'SELECT batch, "column", n_ref, n_cur, round(ks, 6) AS ks, round(CASE WHEN x < 0.2 THEN 1.0::DOUBLE '
-    f"ELSE least(greatest({SERIES}, 0.0::DOUBLE), 1.0::DOUBLE) END, 6) AS ks_p_value FROM kx"
+    'SELECT batch, "column", n_ref, n_cur, round(ks, 6) AS ks, '
+    f"round({KS_TAIL}, 6) AS ks_p_value FROM kx"
 )
 
 
@@ -415,26 +416,49 @@ def categorical_parts(names) -> tuple[str, ...]:
     )
 
 
+def tail(freedom: str, x: str) -> str:
+    """Upper tail of the chi-squared distribution, for few degrees of freedom: 1 less the series of the lower part."""
+    a, half = f"({freedom} / 2)", f"(({x}) / 2)"
+    term = f"exp(({a} + k) * ln({half}) - {half} - lgamma({a} + k + 1))"
+    return (
+        f"CASE WHEN {half} <= 0 THEN 1.0::DOUBLE WHEN {half} > 100 THEN 0.0::DOUBLE "
+        f"ELSE greatest(1 - list_sum(list_transform(generate_series(0, 400), lambda k: {term})), 0.0::DOUBLE) END"
+    )
+
+
 CATEGORICAL_DRIFT = (*BATCHED, *categorical_parts(CATEGORICAL))
 ORACLE["js_distance"] = ctes(*CATEGORICAL_DRIFT) + 'SELECT batch, "column", round(js, 6) AS js FROM cd'
 ORACLE["chi2_statistic"] = ctes(*CATEGORICAL_DRIFT) + (
-    'SELECT batch, "column", n_values, round(chi2, 6) AS chi2 FROM cd'
+    f'SELECT batch, "column", n_values, round(chi2, 6) AS chi2, round({tail("(n_values - 1)", "chi2")}, 6) AS p_value FROM cd'
+)
+Z = (
+    "zd AS (SELECT *, (tr / nr - tc / nc) / sqrt((tr + tc) / (nr + nc) * "
+    "(1 - (tr + tc) / (nr + nc)) * (1 / nr + 1 / nc)) AS z FROM cd WHERE n_values = 2)"
 )
-ORACLE["z_statistic"] = ctes(*CATEGORICAL_DRIFT) + (
-    'SELECT batch, "column", round((tr / nr - tc / nc) / sqrt((tr + tc) / (nr + nc) * '
-    "(1 - (tr + tc) / (nr + nc)) * (1 / nr + 1 / nc)), 6) AS z FROM cd WHERE n_values = 2"
+ORACLE["z_statistic"] = ctes(*CATEGORICAL_DRIFT, Z) + (
+    f'SELECT batch, "column", round(z, 6) AS z, round({tail("1", "z * z")}, 6) AS p_value FROM zd'
 )
-REPORT = (
-    *NUMERIC_DRIFT,
+MEASURES = (
+    *numeric_parts(NUMERIC),
     *categorical_parts(CATEGORICAL),
     "rep AS (SELECT batch, \"column\", 'wasserstein' AS stattest, wasserstein / greatest(std, 0.001) AS score FROM nd "
     "UNION ALL SELECT batch, \"column\", 'jensenshannon', js FROM cd)",
     "ds AS (SELECT batch, count(*) AS n_columns, count(*) FILTER (score >= 0.1) AS n_drifted, "
     "count(*) FILTER (score >= 0.1) / count(*) AS share_drifted FROM rep GROUP BY batch)",
 )
+REPORT = (*BATCHED, *MEASURES)
 ORACLE["drift_by_batch"] = ctes(*REPORT) + (
     'SELECT batch, "column", stattest, round(score, 6) AS score, score >= 0.1 AS drifted FROM rep'
 )
+ORACLE["drift_many_batches"] = ctes(
+    *BATCHED[:2], "cur AS (SELECT *, (row_number() OVER (ORDER BY ts, event_id) - 1) // 100 AS batch FROM p)", *MEASURES
+) + 'SELECT batch, "column", stattest, round(score, 6) AS score, score >= 0.1 AS drifted FROM rep'
+ORACLE["drift_by_batch_small"] = ctes(
+    *REPORT, Z, "kx AS (SELECT *, ks * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS x FROM nd)",
+    f"""sm AS (SELECT batch, "column", 'ks' AS stattest, {KS_TAIL} AS score FROM kx
+UNION ALL SELECT batch, "column", 'z', {tail("1", "z * z")} FROM zd
+UNION ALL SELECT batch, "column", 'chi2', {tail("(n_values - 1)", "chi2")} FROM cd WHERE n_values > 2)""",
+) + 'SELECT batch, "column", stattest, round(score, 6) AS score, score < 0.05 AS drifted FROM sm'
 ORACLE["dataset_drift"] = ctes(*REPORT) + (
     "SELECT batch, n_columns, n_drifted, round(share_drifted, 6) AS share_drifted, "
     "share_drifted >= 0.5 AS dataset_drift FROM ds"

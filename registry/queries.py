@@ -611,7 +611,7 @@ def column_summary(spark, sf_dir):
 @query
 def wasserstein(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.wasserstein(ref, cur, NUMERIC, batches=range(BATCHES)).select(
+    return drift.wasserstein(ref, cur, NUMERIC).select(
         "batch", "column", *r6("wasserstein", "drift_score")
     )
 
@@ -621,7 +621,7 @@ def wasserstein_split(spark, sf_dir):
     """The distances with the sorted values of every column cut into segments."""
     ref, cur = batched(spark, sf_dir)
     share = -(-ref.count() // 16)
-    return drift.wasserstein(ref, cur, NUMERIC, group_rows=share, batches=range(BATCHES)).select(
+    return drift.wasserstein(ref, cur, NUMERIC, group_rows=share).select(
         "batch", "column", *r6("wasserstein", "drift_score")
     )
 
@@ -629,7 +629,7 @@ def wasserstein_split(spark, sf_dir):
 @query
 def ks_statistic(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.ks_statistic(ref, cur, NUMERIC, batches=range(BATCHES)).select(
+    return drift.ks_statistic(ref, cur, NUMERIC).select(
         "batch", "column", "n_ref", "n_cur", *r6("ks", "ks_p_value")
     )
 
@@ -637,32 +637,48 @@ def ks_statistic(spark, sf_dir):
 @query
 def js_distance(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.js_distance(ref, cur, CATEGORICAL, batches=range(BATCHES)).select("batch", "column", *r6("js"))
+    return drift.js_distance(ref, cur, CATEGORICAL).select("batch", "column", *r6("js"))
 
 
 @query
 def chi2_statistic(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.chi2_statistic(ref, cur, CATEGORICAL, batches=range(BATCHES)).select("batch", "column", "n_values", *r6("chi2"))
+    return drift.chi2_statistic(ref, cur, CATEGORICAL).select("batch", "column", "n_values", *r6("chi2", "p_value"))
 
 
 @query
 def z_statistic(spark, sf_dir):
     ref, cur = batched(spark, sf_dir)
-    return drift.z_statistic(ref, cur, CATEGORICAL, batches=range(BATCHES)).select("batch", "column", *r6("z"))
+    return drift.z_statistic(ref, cur, CATEGORICAL).select("batch", "column", *r6("z", "p_value"))
+
+
+KINDS = {c: "numeric" for c in NUMERIC} | {c: "categorical" for c in CATEGORICAL}
 
 
 def _report(spark, sf_dir, samples=None):
     ref, cur = samples or batched(spark, sf_dir)
-    kinds = {c: "numeric" for c in NUMERIC} | {c: "categorical" for c in CATEGORICAL}
-    columns = [*NUMERIC, *CATEGORICAL]
-    return drift.drift_by_batch(ref, cur, columns, kinds=kinds, small=False, batches=range(BATCHES))
+    return drift.drift_by_batch(ref, cur, KINDS)
 
 
 @query
 def drift_by_batch(spark, sf_dir):
-    ref, cur = batched(spark, sf_dir)
-    found = drift.drift_by_batch(ref, cur, [*NUMERIC, *CATEGORICAL], small=False)
+    return _report(spark, sf_dir).select("batch", "column", "stattest", *r6("score"), "drifted")
+
+
+@query
+def drift_by_batch_small(spark, sf_dir):
+    """Drift by the p-values of tests."""
+    found = drift.drift_by_batch(*batched(spark, sf_dir), KINDS, p_values=True)
+    return found.select("batch", "column", "stattest", *r6("score"), "drifted")
+
+
+@query
+def drift_many_batches(spark, sf_dir):
+    """All events, in batches of 100 rows, against the reference."""
+    ref, _ = drift_samples(spark, sf_dir)
+    rows = table(spark, sf_dir, "events").select(*event_columns(), "value", "event_type")
+    cur = materialise(history.row_batches(rows, EVENTS.order, 100, None), "current")
+    found = drift.drift_by_batch(ref, cur, KINDS)
     return found.select("batch", "column", "stattest", *r6("score"), "drifted")
 
 

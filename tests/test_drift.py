@@ -98,14 +98,15 @@ def test_kinds(spark):
     assert kinds == {"many": "numeric", "few": "categorical", "six": "numeric", "text": "categorical"}
 
 
-def test_report_chooses_tests_by_reference_size(spark):
+def test_report_by_distances_and_by_p_values(spark):
     rng = np.random.default_rng(2)
     ref = sample(spark, rng.normal(size=300)).withColumn("c", (F.col("v") > 0).cast("int"))
     cur = sample(spark, rng.normal(3, 1, 100), 0).withColumn("c", (F.col("v") > 0).cast("int"))
-    small = {r.column: r for r in drift.drift_by_batch(ref, cur, ["v", "c"]).collect()}
+    kinds = {"v": "numeric", "c": "categorical"}
+    small = {r.column: r for r in drift.drift_by_batch(ref, cur, kinds, p_values=True).collect()}
     assert (small["v"].stattest, small["c"].stattest) == ("ks", "z")
     assert small["v"].drifted and small["v"].score < 0.05
-    large = drift.drift_by_batch(ref, cur, ["v", "c"], small=False)
+    large = drift.drift_by_batch(ref, cur, kinds)
     assert {r.column: r.stattest for r in large.collect()} == {"v": "wasserstein", "c": "jensenshannon"}
     row = drift.dataset_drift(large).first()
     assert (row.n_columns, row.n_drifted, row.share_drifted, row.dataset_drift) == (2, 2, 1.0, True)
@@ -113,11 +114,40 @@ def test_report_chooses_tests_by_reference_size(spark):
     assert tests[("share_of_drifted_columns", "*")] is False and len(tests) == 3
 
 
-def test_more_batches_than_one_pass(spark, monkeypatch):
-    monkeypatch.setattr(drift, "BATCHES_PER_PASS", 2)
-    ref = sample(spark, range(20))
-    cur = ref.select("v", (F.col("v") % 5).cast("long").alias("batch"))
-    assert drift.wasserstein(ref, cur, ["v"]).count() == 5
+@pytest.mark.parametrize("group_rows", [None, 40])
+def test_many_batches_against_numpy(spark, group_rows):
+    """Batches below, above, around and inside the reference, of one value and of many; ties at their ends."""
+    rng = np.random.default_rng(9)
+    a = rng.integers(-20, 20, 120) / 4
+    batches = [rng.integers(low, low + wide, n) / 4 for n in (1, 2, 7, 30) for low in (-60, -20, -5, 0, 19, 50) for wide in (1, 8, 90)]
+    cur = spark.createDataFrame([(float(v), i) for i, b in enumerate(batches) for v in b], "v double, batch long")
+    found = {r.batch: r for r in drift.numeric_drift(sample(spark, a), cur, ["v"], group_rows=group_rows).collect()}
+    assert len(found) == len(batches)
+    for i, b in enumerate(batches):
+        assert found[i].wasserstein == pytest.approx(distance(a, b), abs=1e-9)
+        points = np.concatenate([a, b])
+        ks = np.max(np.abs((a[None, :] <= points[:, None]).mean(1) - (b[None, :] <= points[:, None]).mean(1)))
+        assert found[i].ks == pytest.approx(ks, abs=1e-12)
+
+
+def test_plan_does_not_grow_with_batches(spark):
+    ref = sample(spark, range(50))
+
+    def plan(batches):
+        cur = ref.select("v", (F.col("v") % batches).cast("long").alias("batch"))
+        report = drift.drift_by_batch(ref, cur, {"v": "numeric"})
+        return report._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    assert plan(2) == plan(40)
+
+
+def test_null_batch_and_empty_columns(spark):
+    ref = sample(spark, range(10)).withColumn("e", F.lit(None).cast("double"))
+    cur = sample(spark, range(5), None).withColumn("e", F.lit(1.0))
+    row = drift.numeric_drift(ref, cur, ["v", "e"]).collect()
+    assert [(r.batch, r.column, r.n_cur) for r in row] == [(None, "v", 5)]
+    row = drift.categorical_drift(ref, cur, ["v", "e"]).collect()
+    assert [(r.batch, r.column, r.n_values) for r in row] == [(None, "v", 10)]
 
 
 def test_summary_exact_and_sketched(spark):
