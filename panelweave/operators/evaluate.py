@@ -57,6 +57,16 @@ def confusion(
     )
 
 
+def confusion_by_padding(
+    df: DataFrame, threshold: float, score: str = "score", label: str = "y", by: Sequence[str] = ()
+) -> DataFrame:
+    """The counts of ``confusion`` with padded steps (``padding`` true) and without them (false), from one pass."""
+    counts = confusion(df, threshold, score, label, [*by, "padded"])
+    both = F.when(F.col("padded"), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))
+    sums = [F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp", "unknown")]
+    return counts.withColumn("padding", F.explode(both)).groupBy(*by, "padding").agg(*sums)
+
+
 def binary_metrics(counts: DataFrame, epsilon: float = 0.0) -> DataFrame:
     """Add sensitivity, precision and F1 to confusion counts; 0 where undefined.
 

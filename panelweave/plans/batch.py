@@ -26,6 +26,7 @@ from panelweave.workspace import materialise
 
 # Every column but the entity and the label is a feature, the hour included; a copy of the hour keeps the
 # order, so scaling does not touch it.
+KEPT = 50
 HOURLY = PanelSpec("id", ("hour",), (*VITALS_AND_LABS, *STATICS, HOUR), LABEL)
 
 
@@ -42,7 +43,7 @@ def prepare_hourly(
 ) -> tuple[DataFrame, PanelSpec]:
     """Drop the unit columns, encode gender, forward-fill, trim, fill and scale both panels by train.
 
-    The result carries column ``split``. Entity ids of the two panels must not overlap. With ``stats_path``
+    The result carries column ``split``, and its spec the bound on the rows of an entity. Entity ids of the two panels must not overlap. With ``stats_path``
     the fitted statistics are saved there first and read back, for scoring later.
     """
     both = union_panels(train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test")))
@@ -54,11 +55,11 @@ def prepare_hourly(
     panel = one_hot(landed, "Gender", categories)
     spec = HOURLY.without(*UNUSED).encoded("Gender", names)
     if stats_path is None:
-        return prepare_v1(panel, spec, is_train), spec
-    trimmed = ffill_trim(panel, spec)
+        return prepare_v1(panel, spec, is_train, keep=KEPT), spec.bounded(KEPT)
+    trimmed = materialise(ffill_trim(panel, spec, keep=KEPT), "trimmed")
     save_stats(fit_stats(trimmed, spec.features, is_train), stats_path)
     saved = train.sparkSession.read.parquet(stats_path)
-    return impute_and_scale(trimmed, spec.features, saved), spec
+    return impute_and_scale(trimmed, spec.features, saved), spec.bounded(KEPT)
 
 
 def padded_sequences(
@@ -84,7 +85,8 @@ def train_and_evaluate(
     parameters and metrics, with ``models_path`` the model is saved as a new version.
     """
     spark = prepared.sparkSession
-    wide = causal_features(prepared, spec, rows)
+    # Written once: the fit and the scores read the same rows.
+    wide = materialise(causal_features(prepared, spec, rows), "wide")
     names = causal_feature_names(spec, rows)
     model = train_step_classifier(wide.where(F.col("split") == "train"), names, spec.label, algo, **params)
     counts = confusion(score(wide, model), threshold, label=spec.label, by=["split"])

@@ -13,6 +13,7 @@ from panelweave.operators import history
 from panelweave.operators.encode import drop_sparse_columns, one_hot
 from panelweave.operators.stats import fit_stats, impute, impute_and_scale
 from panelweave.spec import PanelSpec
+from panelweave.workspace import materialise
 
 
 def encode(
@@ -23,10 +24,6 @@ def encode(
     return one_hot(panel, column, categories, position), spec.encoded(column, names, position)
 
 
-def _fit(df: DataFrame, spec: PanelSpec, train: Column | None, stats: DataFrame | dict | None, share_scan: bool = True):
-    return fit_stats(df, spec.features, train, share_scan=share_scan) if stats is None else stats
-
-
 def prepare_v1(
     panel: DataFrame,
     spec: PanelSpec,
@@ -36,9 +33,16 @@ def prepare_v1(
     keep: int = 50,
     group_rows: int | None = None,
 ) -> DataFrame:
-    """Forward-fill, trim, fill with training means, scale. Without ``train`` every row is fitted on."""
+    """Forward-fill, trim, fill with training means, scale. Without ``train`` every row is fitted on.
+
+    For a fit the trimmed rows, at most ``keep`` an entity, are written once: the fit and whatever reads the result then
+    take their own columns from there, and the panel itself is scanned and shuffled once.
+    """
     trimmed = history.ffill_trim(panel, spec, drop, keep, group_rows)
-    return impute_and_scale(trimmed, spec.features, _fit(trimmed, spec, train, stats))
+    if stats is None:
+        trimmed = materialise(trimmed, "trimmed")
+        stats = fit_stats(trimmed, spec.features, train)
+    return impute_and_scale(trimmed, spec.features, stats)
 
 
 def prepare_v2(
@@ -54,7 +58,7 @@ def prepare_v2(
     Filling and scaling work row by row, so they run on the rows that the trim leaves.
     """
     # The fit has no shuffle in common with the trim, so it reads its own columns only.
-    fitted = _fit(panel, spec, train, stats, share_scan=False)
+    fitted = fit_stats(panel, spec.features, train) if stats is None else stats
     return impute_and_scale(history.trim_tail(panel, spec, drop, keep), spec.features, fitted)
 
 

@@ -309,7 +309,7 @@ def causal(names, source: str) -> str:
     return f"SELECT id, event_id, {made} FROM {source}"
 
 
-ORACLE["causal_features"] = ctes(*V1) + causal(KEPT[:3], "v")
+ORACLE["causal_features"] = ctes(*V1) + causal(ENCODED, "v")
 ORACLE["causal_features_split"] = ctes(TYPES_SQL) + causal(WIDE, "p")
 
 # The loaded model scores as the saved one did, on every prepared row.

@@ -390,7 +390,7 @@ def pad_post(spark, sf_dir):
 
 @query
 def pad_labels(spark, sf_dir):
-    found = packed(spark, sf_dir)
+    found = materialise(packed(spark, sf_dir).select("id", "n_steps", "x", "y"), "packed")
     post = sequences.pad_sequences(found, len(ENCODED), 50, "pre", label_side="post")
     pre = sequences.pad_sequences(found, len(ENCODED), 40, "post", label_side="pre", label_truncate="pre")
     return post.select("id", F.to_json("y").alias("y_post")).join(
@@ -434,17 +434,15 @@ def score_user_model(spark, sf_dir):
 
 @query
 def score_label_join(spark, sf_dir):
-    found = scored_steps(spark, sf_dir)
+    # Scores come from a table of their own, as they do where a model wrote them.
+    found = materialise(scored_steps(spark, sf_dir), "scored-steps")
     labels, scores = found.select("id", "step", "y"), found.select("id", "step", *r6("score"))
     return evaluate.join_scores(labels, scores, ["id", "step"])
 
 
 @query
 def confusion(spark, sf_dir):
-    found = scored_steps(spark, sf_dir)
-    every = evaluate.confusion(found, ALARM, by=["split"]).withColumn("padding", F.lit(True))
-    real = evaluate.confusion(found, ALARM, by=["split"], include_padding=False)
-    return every.unionByName(real.withColumn("padding", F.lit(False)))
+    return evaluate.confusion_by_padding(scored_steps(spark, sf_dir), ALARM, by=["split"])
 
 
 @query
@@ -476,9 +474,9 @@ def threshold_sweep(spark, sf_dir):
 @query
 def causal_features(spark, sf_dir):
     panel, spec = prepared(spark, sf_dir)
-    few = spec.with_features("v_view", "v_click", "v_error").bounded(50)
-    out = learn.causal_features(panel, few)
-    return out.select("id", "event_id", *r6(*learn.causal_feature_names(few)))
+    spec = spec.bounded(50)
+    out = learn.causal_features(panel, spec)
+    return out.select("id", "event_id", *r6(*learn.causal_feature_names(spec)))
 
 
 @query

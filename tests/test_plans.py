@@ -2,11 +2,13 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from panelweave import PanelSpec
+from panelweave import PanelSpec, workspace
 from panelweave.operators import evaluate, history, sequences, stats
 from panelweave.plans import prepare
+from registry import queries
 from registry.panels import EVENTS, events_panel, orders_panel, ORDERS
 
 SF = "/root/testdata/sf0.001"
@@ -44,11 +46,32 @@ def test_trim_is_cut_before_the_shuffle(spark):
     assert nodes(text, "Exchange") == 1
 
 
-def test_fit_reuses_the_shuffle_of_the_transform(spark):
+def test_fit_and_transform_read_the_panel_once(spark):
+    """What is left to run reads the trimmed rows: one narrow scan for the fit, one for the transform, no shuffle of rows."""
     df = prepare.prepare_v1(events_panel(spark, SF), EVENTS, F.col("split") == "train")
     df.collect()
-    assert "ReusedExchange" in plan(df)
-    assert "NestedLoopJoin" not in plan(df) and "CartesianProduct" not in plan(df)
+    text = plan(df)
+    assert "events.parquet" not in text and text.split("Initial Plan")[0].count("FileScan parquet") <= 2
+    assert "hashpartitioning" not in text and "NestedLoopJoin" not in text and "CartesianProduct" not in text
+
+
+@pytest.mark.parametrize("name", ["flatten_steps", "linear_score", "confusion", "score_label_join", "pad_labels"])
+def test_queries_on_prepared_rows_scan_the_events_once(spark, name, monkeypatch):
+    """Over all plans that a query runs, its writes included."""
+    written = []
+
+    def recorded(df, folder):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return workspace.materialise(df, folder)
+
+    monkeypatch.setattr(prepare, "materialise", recorded)
+    monkeypatch.setattr(queries, "materialise", recorded)
+    df = queries.QUERIES[name](spark, SF)
+    df.collect()
+    texts = [t.split("Initial Plan")[0] for t in [*written, plan(df)]]
+    # The sample of the split's condition and the categories are read from the entity column alone.
+    wide = [line for t in texts for line in t.splitlines() if "FileScan" in line and "events.parquet" in line and "value" in line]
+    assert len(wide) == 1
 
 
 def test_packing_needs_no_second_shuffle(spark):
