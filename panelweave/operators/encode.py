@@ -20,7 +20,8 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def fit_categories(train: DataFrame, column: str, max_categories: int = 1000) -> list[Any]:
     """The non-null values of ``column`` on the training rows, ascending.
 
-    The list becomes columns, so it must be short: more than ``max_categories`` values is an error.
+    The list becomes columns, so it must be short: more than ``max_categories`` values is an error. ``category_rows`` has no
+    such limit.
     """
     found = (
         train.where(F.col(column).isNotNull()).select(column).distinct().limit(max_categories + 1).collect()
@@ -34,6 +35,12 @@ def indicator_names(column: str, categories: Sequence[Any], prefix: str | None =
     return [f"{prefix or column}_{value}" for value in categories]
 
 
+def category_rows(df: DataFrame, keys: Sequence[str], column: str, prefix: str | None = None) -> DataFrame:
+    """The long form of ``one_hot``, for any number of categories: (keys..., category), a row for each indicator that is 1."""
+    name = F.concat(F.lit(f"{prefix or column}_"), F.col(column).cast("string"))
+    return df.where(F.col(column).isNotNull()).select(*keys, name.alias("category"))
+
+
 def one_hot(
     df: DataFrame,
     column: str,

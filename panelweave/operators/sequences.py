@@ -63,9 +63,8 @@ def validate_shape(sequences: DataFrame, max_len: int, width: int) -> DataFrame:
         & F.forall("x", lambda v: F.size(v) == width)
     )
     message = F.lit(f"sequence does not have the shape ({max_len}, {width})")
-    return sequences.withColumn(
-        "x", F.when(fits, F.col("x")).otherwise(F.raise_error(message).cast(sequences.schema["x"].dataType))
-    )
+    # A filter, so that a reader who does not select the vectors cannot prune it.
+    return sequences.where(F.when(fits, True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def flatten_steps(padded: DataFrame, entity: str, max_len: int = 50, side: str = "pre") -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from panelweave.operators.evaluate import SWEEP_THRESHOLDS
 from registry.panels import (
-    ALARM, BIAS, CHANNELS, ENCODED, EVENT_FEATURES, EVENTS_SQL, ORDERS_SQL, SPLIT_SQL,
-    TYPES_SQL, WEIGHTS,
+    ALARM, BIAS, CHANNELS, ENCODED, EVENT_FEATURES, EVENTS_SQL, HOURLY_OF, HOURLY_SEEN, HOURLY_SQL, ORDERS_SQL,
+    SPLIT_SQL, TYPES_SQL, WEIGHTS,
 )
 from registry.queries import CATEGORICAL, NUMERIC
 
@@ -97,6 +97,24 @@ METRICS = (
 # ---- sources and sinks
 
 ORACLE["psv_scan"] = ctes(EVENTS_SQL) + f"SELECT id, event_id, {', '.join(EVENT_FEATURES)}, label FROM p"
+ORACLE["psv_scan_flat"] = ORACLE["psv_scan"]
+BY_HOUR = "PARTITION BY id ORDER BY ICULOS"
+HOURLY_FILLED = "f AS (SELECT * REPLACE (" + each(
+    f"last_value({{c}} IGNORE NULLS) OVER ({BY_HOUR} {SO_FAR}) AS {{c}}", HOURLY_OF
+) + ") FROM h)"
+ORACLE["hourly_sequences"] = ctes(
+    EVENTS_SQL, HOURLY_SQL, HOURLY_FILLED,
+    "t AS (SELECT * FROM f WHERE n - ICULOS >= 5 AND n - ICULOS < 55)", fitted("t", HOURLY_SEEN),
+    f"v AS (SELECT id, ICULOS AS hour, label, {scale_all(HOURLY_SEEN)} FROM t, s)",
+    "k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY hour) AS rank, "
+    "count(*) OVER (PARTITION BY id) AS len FROM v) WHERE len >= 15)",
+    "st AS (SELECT id, 50 - len + rank - 1 AS step, false AS padded, label AS y, " + ", ".join(HOURLY_SEEN)
+    + " FROM k UNION ALL SELECT id, unnest(generate_series(0, 49 - len)), true, 0, " + each("0", HOURLY_SEEN)
+    + " FROM (SELECT DISTINCT id, len FROM k))",
+) + "SELECT id, CAST(step AS INT) AS step, padded, CAST(y AS INT) AS y, " + each(
+    "round({c}::DOUBLE, 6) AS {c}", HOURLY_SEEN
+) + ", 0::DOUBLE AS rest FROM st"
+ORACLE["one_hot_long"] = "SELECT o_orderkey, 'id_' || o_custkey AS category FROM orders"
 ORACLE["panel_csv"] = (
     ctes(ORDERS_SQL) + "SELECT id, o_orderkey, p_urgent, p_low, p_total, status, label, split FROM o"
 )

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweave.operators.skew import running_totals
 from panelweave.operators.split import hash_split
+from panelweave.sources.schema import HOUR, HOURLY_SCHEMA, LABEL
 from panelweave.spec import PanelSpec
 
 CHANNELS = ("view", "click", "error", "purchase", "signup")
@@ -45,6 +47,20 @@ def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_split(table(spark, sf_dir, "events").select(*event_columns()), "id", SHARES)
 
 
+HOURLY_OF = {"HR": "v_view", "O2Sat": "v_click", "Temp": "v_error", "SBP": "v_purchase", "MAP": "v_signup"}
+HOURLY_SEEN = (*HOURLY_OF, "Age", "Gender_0", "Gender_1", HOUR)
+
+
+def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events under the hourly schema: channels as vitals, the number of an entity's row as its hour."""
+    rows = events_panel(spark, sf_dir).withColumn("__one", F.lit(1))
+    numbered = running_totals(rows, ["id"], EVENTS.order, {HOUR: "__one"})
+    made = {c: F.col(v) for c, v in HOURLY_OF.items()}
+    made |= {"Age": 50 + F.col("id") % 40, "Gender": F.col("grp"), HOUR: F.col(HOUR), LABEL: F.col("label")}
+    fields = [made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in HOURLY_SCHEMA]
+    return numbered.select("id", "split", *fields)
+
+
 def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short and uneven histories."""
     priority, price, status = F.col("o_orderpriority"), F.col("o_totalprice"), F.col("o_orderstatus")
@@ -109,6 +125,12 @@ SELECT event_type AS id, ts, event_id, CASE WHEN value >= 60 THEN value END AS w
        CASE WHEN value > 80 THEN 1 ELSE 0 END AS label
 FROM events)"""
 
+_hourly_sql = ", ".join(f"{v} AS {c}" for c, v in HOURLY_OF.items())
+HOURLY_SQL = f"""h AS (
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS {HOUR}, count(*) OVER (PARTITION BY id) AS n,
+       {_hourly_sql}, 50 + id % 40 AS Age, 1 - grp AS Gender_0, grp AS Gender_1, label, split
+FROM p)"""
+
 ORDERS_SQL = f"""o AS (
 SELECT o_custkey AS id, o_orderdate, o_orderkey,
        CASE WHEN o_orderpriority LIKE '1%' THEN o_totalprice END AS p_urgent,

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelweave.operators import drift, encode, evaluate, history, sequences, split, stats
-from panelweave.plans import learn, prepare, score
+from panelweave.plans import batch, learn, prepare, score
 from panelweave.sources import files
+from panelweave.sources.schema import HOUR
 from panelweave.spec import PanelSpec
 from panelweave.streaming.alarms import held_back, score_rows, stream_alarms
 from panelweave.workspace import fresh_path, materialise
 from registry.panels import (
-    ALARM, BIAS, ENCODED, EVENT_FEATURES, EVENTS, ORDERS, SHARES, TYPES, WEIGHTS,
-    drift_samples, event_columns, events_panel, orders_panel, table, types_panel,
+    ALARM, BIAS, ENCODED, EVENT_FEATURES, EVENTS, HOURLY_SEEN, ORDERS, SHARES, TYPES, WEIGHTS,
+    drift_samples, event_columns, events_panel, hourly_panel, orders_panel, table, types_panel,
 )
 
 NUMERIC = ("value", "v_view", "v_click", "v_error", "v_purchase", "v_signup")
@@ -93,6 +94,32 @@ def psv_scan(spark, sf_dir):
     return back.select("id", "event_id", *EVENT_FEATURES, "label")
 
 
+@query
+def psv_scan_flat(spark, sf_dir):
+    """One file per entity in one folder, as the entity files come."""
+    panel = table(spark, sf_dir, "events").select(*event_columns())
+    path = fresh_path(spark, "flat-files")
+    files.write_entity_files(panel, EVENTS, path)
+    schema = T.StructType([f for f in panel.schema if f.name != "id"])
+    back = files.read_panel_dir(spark, path, schema)
+    return back.select("id", "event_id", *EVENT_FEATURES, "label")
+
+
+@query
+def hourly_sequences(spark, sf_dir):
+    """Entity files of two folders to padded steps: scan, prepare, pack and pad."""
+    panel, paths = hourly_panel(spark, sf_dir), {}
+    for name in SHARES:
+        paths[name] = fresh_path(spark, f"hourly-{name}")
+        files.write_entity_files(panel.where(F.col("split") == name).drop("split"), PanelSpec("id", (HOUR,), ()), paths[name])
+    train, test = (batch.load_hourly(spark, paths[name]) for name in SHARES)
+    prepared, spec = batch.prepare_hourly(train, test)
+    padded = sequences.validate_shape(batch.padded_sequences(prepared, spec), 50, len(spec.features))
+    flat = sequences.unpack_features(sequences.flatten_steps(padded, "id"), list(spec.features))
+    rest = sum((F.col(c) for c in spec.features if c not in HOURLY_SEEN), F.lit(0.0))
+    return flat.select("id", "step", "padded", "y", *r6(*HOURLY_SEEN), rest.alias("rest"))
+
+
 @query
 def panel_csv(spark, sf_dir):
     panel = orders_panel(spark, sf_dir)
@@ -152,6 +179,12 @@ def one_hot_end(spark, sf_dir):
     )
 
 
+@query
+def one_hot_long(spark, sf_dir):
+    """Indicators of a column with any number of categories."""
+    return encode.category_rows(orders_panel(spark, sf_dir), ["o_orderkey"], "id")
+
+
 @query
 def null_profile(spark, sf_dir):
     found = encode.null_profile(events_panel(spark, sf_dir), EVENT_FEATURES)

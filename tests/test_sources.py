@@ -122,3 +122,20 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_dir(Cluster)
+
+
+def test_flat_entity_files_round_trip(spark, tmp_path):
+    rows = [(i, 1.5 * t if t % 3 else None, None, t) for i in (5, 6, 17) for t in range(9 + i)]
+    df = spark.createDataFrame(rows, "id long, HR double, Gender int, y int")
+    out = str(tmp_path / "flat")
+    spec = PanelSpec("id", ("y",), ("HR",))
+    # Written twice: files are replaced.
+    assert [files.write_entity_files(df, spec, out) for _ in range(2)] == [3, 3]
+    assert sorted(os.listdir(out)) == ["p17.psv", "p5.psv", "p6.psv"]
+    lines = (tmp_path / "flat" / "p5.psv").read_text().splitlines()
+    assert lines[:3] == ["HR|Gender|y", "NaN|NaN|0", "1.5|NaN|1"] and len(lines) == 15
+    back = files.read_panel_dir(spark, out, SMALL)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    assert files.write_entity_files(df.where("false"), spec, str(tmp_path / "none")) == 0
+    with pytest.raises(Exception):
+        files.write_entity_files(df.withColumn("id", df.id * None), spec, str(tmp_path / "null"))
