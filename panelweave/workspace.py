@@ -1,4 +1,4 @@
-"""Where jobs may put shared intermediate data."""
+"""What jobs share: a folder for intermediate data, and this package on the executors."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,21 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 _made: list[tuple] = []
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, where they cannot be relied on to have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="panelweave-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _sent.add(context.applicationId)
 
 
 def _discard_from(first: int) -> None:

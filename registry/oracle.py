@@ -366,7 +366,7 @@ round(quantile_cont({c}, 0.75), 6) AS p75, count(DISTINCT {c}) AS n_unique,
 (SELECT x.{c} FROM cur x WHERE x.batch = cur.batch AND x.{c} IS NOT NULL
  GROUP BY x.{c} ORDER BY count(*) DESC, x.{c} LIMIT 1) AS most_common
 FROM cur GROUP BY batch"""
-    for c in ("value", "v_error")
+    for c in NUMERIC
 )
 
 

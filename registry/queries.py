@@ -632,7 +632,7 @@ def missing_by_column(spark, sf_dir):
 @query
 def column_summary(spark, sf_dir):
     _, cur = batched(spark, sf_dir)
-    found = drift.column_summary(cur, ["value", "v_error"])
+    found = drift.column_summary(cur, NUMERIC)
     return found.select(
         "batch", "column", "n", "n_missing", *r6("mean", "std", "min", "max", "p25", "p50", "p75"),
         "n_unique", "most_common",
