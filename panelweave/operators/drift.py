@@ -96,6 +96,11 @@ def numeric_drift(
     spans = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, max(one[f"spread_{i}"] or 0.0, STD_FLOOR))])
     centres = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, one[f"mean_{i}"] or 0.0)])
     at_most = one["__n"] + cur.count()
+    large = at_most > rows_per_group(ref, at_most, group_rows)
+
+    def settled(df: DataFrame, name: str) -> DataFrame:
+        """Written where groups may be cut, as the cut reads its input several times."""
+        return materialise(df, name) if large else df
 
     ref_counts, cur_counts = _counted(ref, cur, columns, by, "double")
     # Values are taken from the reference's mean, so that running sums of them stay small.
@@ -104,7 +109,7 @@ def numeric_drift(
         ref_counts.withColumn("moment", F.col("r") * from_centre), ["column"], ["value"],
         {"upto": "r", "moment_upto": "moment"}, group_rows=group_rows, at_most=at_most,
     ).withColumn("here", F.col("value"))
-    walked = walked.withColumn("below", F.col("upto") - F.col("r"))
+    walked = settled(walked.withColumn("below", F.col("upto") - F.col("r")), "reference-sums")
 
     # The area under the reference's counts, left of a value.
     def area(value: Column, upto: Column, moment: Column) -> Column:
@@ -112,11 +117,11 @@ def numeric_drift(
 
     placed = _as_of(cur_counts, walked, "value", ["here", "upto", "below", "moment_upto"], group_rows, at_most)
     upto = F.coalesce("at_upto", F.lit(0))
-    placed = placed.select(
+    placed = settled(placed.select(
         by, "column", "value", "c", upto.alias("upto"),
         F.when(F.col("at_here") == F.col("value"), F.col("at_below")).otherwise(upto).alias("below"),
         area(F.col("value"), upto, F.coalesce("at_moment_upto", F.lit(0.0))).alias("area"),
-    )
+    ), "batch-values")
     steps = running_totals(
         placed, [by, "column"], ["value"], {"c_upto": "c"},
         {"next": "value", "next_area": "area", "next_below": "below"}, group_rows=group_rows, at_most=at_most,
@@ -127,7 +132,7 @@ def numeric_drift(
     )
     steps = _with_size(steps, cur_counts, by).join(F.broadcast(whole), "column")
     # The batch's share in counts of the reference; negative, as the crossing is the next known row upwards.
-    steps = steps.withColumn("level", -F.col("c_upto") * F.col("n_ref") / F.col("n_cur"))
+    steps = settled(steps.withColumn("level", -F.col("c_upto") * F.col("n_ref") / F.col("n_cur")), "batch-steps")
     crossings = walked.select(
         "column", (-F.col("upto")).cast("double").alias("level"), "here",
         area(F.col("value"), F.col("below"), F.col("moment_upto") - F.col("moment")).alias("area_here"),
