@@ -23,6 +23,8 @@ URL_RULES = (
 #: Powers that temper the counted shares of each margin.
 MIX = {"source": 0.7, "lang": 0.9, "topic": 0.9}
 SWEEPS = 6
+#: Least share of all tokens that mixing keeps.
+KEEP = 0.4
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -99,7 +101,7 @@ def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = raking.mixed(table(spark, sf_dir, "documents"), MIX, SWEEPS)
+    mixed = raking.mixed(table(spark, sf_dir, "documents"), MIX, SWEEPS, keep=KEEP)
     rounded = F.round("probability", 6).alias("probability")
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", rounded, "kept")
 

@@ -2,8 +2,10 @@
 
 Documents are counted into cells of source, language and topic, by tokens. Each sweep scales the cells of one margin
 after the other to its targets. The ratio of a cell's fitted to its counted share, over the largest ratio, is the
-probability with which each of its documents is kept; tokens kept then have the target margins in expectation. A document is drawn by
-a digest of its id, so a rerun draws the same.
+probability with which each of its documents is kept; tokens kept then have the target margins in expectation. Where that
+keeps less than the share ``keep`` of all tokens, as one rare cell with a large ratio can bring about, the scale is raised until
+``keep`` is reached: probabilities are capped at 1, and what capped cells cannot take goes to the others in proportion, so margins
+are then as near to the targets as documents kept once allow. A document is drawn by a digest of its id, so a rerun draws the same.
 
 The cells are a table like any other: sweeps are joins and sums of it, written to the shared folder after each margin. Counting
 them is the one pass over the documents, summed in each task before the shuffle.
@@ -77,19 +79,37 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = 10) -
     return fitted
 
 
-def probabilities(fitted: DataFrame) -> DataFrame:
+def largest_ratio(fitted: DataFrame, keep: float | None = None) -> float:
+    """The ratio of weight to tokens from which on a cell is kept whole: the largest one, or one low enough to keep ``keep`` of all tokens."""
+    with_tokens = fitted.where("tokens > 0")
+    first = with_tokens.agg(F.max(F.col("weight") / F.col("tokens")).alias("top"), F.sum("tokens").alias("tokens")).first()
+    top = first["top"] or 1.0
+    if keep is None:
+        return top
+    # Each round caps more cells, on one row at the driver, until the rest takes what is left without a new cap.
+    while True:
+        capped = F.col("weight") / F.col("tokens") >= top
+        parts = with_tokens.where("weight > 0").agg(F.sum(F.when(capped, F.col("tokens"))).alias("whole"), F.sum(F.when(~capped, F.col("weight"))).alias("free")).first()
+        left = keep * first["tokens"] - (parts["whole"] or 0) if first["tokens"] else 0
+        if not parts["free"] or left <= 0 or parts["free"] / left >= top * (1 - 1e-12):
+            # With no cell left to scale, all cells with a target are whole.
+            return top
+        top = parts["free"] / left
+
+
+def probabilities(fitted: DataFrame, keep: float | None = None) -> DataFrame:
     """``probability`` of each cell's documents."""
-    ratio = F.col("weight") / F.col("tokens")
-    largest = fitted.where("tokens > 0").agg(F.max(ratio))
-    share = F.when(F.col("tokens") > 0, F.round(ratio / largest.scalar(), 9)).otherwise(1.0)
+    ratio = F.col("weight") / F.col("tokens") / F.lit(largest_ratio(fitted, keep))
+    share = F.when(F.col("tokens") > 0, F.round(F.least(ratio, F.lit(1.0)), 9)).otherwise(1.0)
     return fitted.withColumn("probability", share)
 
 
-def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text", keep: float | None = None) -> DataFrame:
     """All columns of ``docs``, with ``topic``, ``n_tokens``, ``weight`` (of its cell), ``probability`` and ``kept`` added.
 
     ``targets`` by margin (``source``, ``lang``, ``topic``): a table of ``name`` and ``target``, or the power that tempers
-    the counted shares. A column ``topic`` of ``docs`` is used as it is; without one, length stands in.
+    the counted shares. A column ``topic`` of ``docs`` is used as it is; without one, length stands in. ``keep`` is the least
+    share of all tokens to keep.
     """
     tokens = n_tokens(F.col(text))
     topic = F.col("topic") if "topic" in docs.columns else length_topic(tokens)
@@ -97,7 +117,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int
     named = docs.select(F.struct(*docs.columns).alias("row"), *[topic.alias(m) if m == "topic" else F.col(m) for m in margins], tokens.alias("n_tokens"))
     cells = count_cells(named.select(*margins, "n_tokens"), margins, F.col("n_tokens"))
     tables = {m: tempered(cells, m, t) if isinstance(t, (int, float)) else t for m, t in targets.items()}
-    fitted = probabilities(rake(cells, tables, sweeps)).select(*[F.col(m).alias(f"cell_{m}") for m in margins], "weight", "probability")
+    fitted = probabilities(rake(cells, tables, sweeps), keep).select(*[F.col(m).alias(f"cell_{m}") for m in margins], "weight", "probability")
     same = [F.col(m).eqNullSafe(F.col(f"cell_{m}")) for m in margins]
     joined = named.join(fitted, same, "left")
     drawn = uniform(F.col(f"row.{key}")) < F.col("probability")
@@ -105,7 +125,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int
     return joined.withColumn("kept", drawn).select("row.*", *own)
 
 
-def draw(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
+def draw(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text", keep: float | None = None) -> DataFrame:
     """The documents drawn, with the columns of ``docs``."""
     inner = docs.select(F.struct(*docs.columns).alias("row"), *[c for c in {key, text, *targets} if c in docs.columns])
-    return mixed(inner, targets, sweeps, key, text).where("kept").select("row.*")
+    return mixed(inner, targets, sweeps, key, text, keep).where("kept").select("row.*")

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from panelweave.llm import raking
+from panelweave.llm import queries, raking
 from tests.llm.cases import documents, odd_documents, rows_of, words
 
 
@@ -79,3 +79,31 @@ def test_empty_table(spark):
     docs = documents(spark).limit(0)
     assert raking.mixed(docs, {"source": 0.5}, 2).count() == 0
     assert raking.draw(docs, {"source": 0.5}, 2).count() == 0
+
+
+def test_a_rare_source_does_not_sink_the_sample(spark):
+    """One document of a source of its own, in a table where the others are even."""
+    rows = [(i, "w " * 200, f"s{i % 4}", "en") for i in range(4000)] + [(4000, "w " * 200, "rare", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    tokens = raking.F.sum(raking.F.col("n_tokens") * raking.F.col("probability")) / raking.F.sum("n_tokens")
+    assert raking.mixed(docs, queries.MIX, 2).agg(tokens).first()[0] < 0.2
+    mixed = raking.mixed(docs, queries.MIX, 2, keep=queries.KEEP)
+    assert abs(mixed.agg(tokens).first()[0] - queries.KEEP) < 1e-6
+    shares = {r["source"]: r["probability"] for r in mixed.select("source", "probability").distinct().collect()}
+    assert shares.pop("rare") == 1 and len(shares) == 4 and max(shares.values()) - min(shares.values()) < 1e-6
+
+
+@pytest.mark.parametrize("keep", [0.05, 0.3, 0.6, 0.9, 1.0])
+def test_capped_cells_pass_their_weight_on(spark, keep):
+    """Against the scale found by bisection; the cell without weight is never kept."""
+    cells = [(1.0, 0.2), (10.0, 0.3), (100.0, 0.3), (1000.0, 0.2), (50.0, 0.0), (0.0, 0.0)]
+    fitted = spark.createDataFrame(cells, "tokens double, weight double")
+    got = {r["tokens"]: r["probability"] for r in rows_of(raking.probabilities(fitted, keep))}
+    assert got[50.0] == 0 and got[0.0] == 1
+    kept = lambda scale: sum(min(t, w * scale) for t, w in cells)
+    low, high = 5.0, 1e9
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (low, middle) if kept(middle) >= keep * 1161 else (middle, high)
+    for t, w in cells[:4]:
+        assert abs(got[t] - min(1, w * high / t)) < 1e-6
