@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelweave.llm import prefixjoin, raking, ranks, repetition, skipchain
-from panelweave.llm.queries import KEEP, MIX, SWEEPS, vocabulary_path
+from panelweave.llm.queries import KEEP, MIX, SWEEPS, TOLERANCE, vocabulary_path
 from panelweave.workspace import materialise
 
 
@@ -28,7 +28,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the target weights of source, language and topic."""
-    return raking.draw(docs, MIX, SWEEPS, keep=KEEP)
+    return raking.draw(docs, MIX, SWEEPS, keep=KEEP, tolerance=TOLERANCE)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

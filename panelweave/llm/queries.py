@@ -25,6 +25,8 @@ MIX = {"source": 0.7, "lang": 0.9, "topic": 0.9}
 SWEEPS = 6
 #: Least share of all tokens that mixing keeps.
 KEEP = 0.4
+#: Largest relative error of a margin; ``SWEEPS`` is the least number of sweeps.
+TOLERANCE = 1e-4
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -101,7 +103,7 @@ def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = raking.mixed(table(spark, sf_dir, "documents"), MIX, SWEEPS, keep=KEEP)
+    mixed = raking.mixed(table(spark, sf_dir, "documents"), MIX, SWEEPS, keep=KEEP, tolerance=TOLERANCE)
     rounded = F.round("probability", 6).alias("probability")
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", rounded, "kept")
 

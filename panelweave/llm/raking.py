@@ -7,6 +7,10 @@ keeps less than the share ``keep`` of all tokens, as one rare cell with a large
 ``keep`` is reached: probabilities are capped at 1, and what capped cells cannot take goes to the others in proportion, so margins
 are then as near to the targets as documents kept once allow. A document is drawn by a digest of its id, so a rerun draws the same.
 
+With a ``tolerance``, sweeps go on past their stated number until the largest relative error of a margin (one number a sweep on the
+driver) is at most that. Targets that no weights can meet, as where empty cells stand in the way, would go on for ever: sweeps end
+once ten of them lower the error by less than a hundredth, with a warning that names it.
+
 The cells are a table like any other: sweeps are joins and sums of it, written to the shared folder after each margin. Counting
 them is the one pass over the documents, summed in each task before the shuffle.
 
@@ -18,7 +22,9 @@ columns as they came.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +33,8 @@ from panelweave.workspace import materialise
 
 #: Hexadecimal digits of the digest that draws.
 _DIGITS = 13
+#: Sweeps end without success when so many of them leave more than this share of the error.
+_STALL, _LEFT = 10, 0.99
 
 
 def n_tokens(text: Column) -> Column:
@@ -60,15 +68,36 @@ def count_cells(docs: DataFrame, margins: list[str], tokens: Column) -> DataFram
     return materialise(docs.groupBy(*margins).agg(F.sum(tokens).alias("tokens")), "cells")
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = 10) -> DataFrame:
-    """Cells with their fitted ``weight`` (shares of all tokens) after ``sweeps`` rounds over the margins."""
+def margin_error(fitted: DataFrame, targets: Mapping[str, DataFrame]) -> float:
+    """The largest relative error of a margin of ``weight``, over names with a target."""
+    parts = []
+    for margin, table in targets.items():
+        sums = fitted.groupBy(F.col(margin).alias("name")).agg(F.sum("weight").alias("sum"))
+        both = table.withColumnRenamed("name", "aim").join(sums, F.col("aim").eqNullSafe(F.col("name")), "left").where("target > 0")
+        parts.append(both.agg(F.max(F.abs(F.coalesce("sum", F.lit(0.0)) / F.col("target") - 1)).alias("error")))
+    return reduce(DataFrame.unionAll, parts).agg(F.max("error")).first()[0] or 0.0 if parts else 0.0
+
+
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = 10, tolerance: float | None = None) -> DataFrame:
+    """Cells with their fitted ``weight`` (shares of all tokens) after ``sweeps`` rounds over the margins, or as many more as ``tolerance`` takes."""
     fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
     known = {}
     for margin, table in targets.items():
         # Only names that cells have, scaled to 1 again.
         present = cells.where("tokens > 0").select(F.col(margin).alias("name")).distinct()
         known[margin] = materialise(scaled(table.alias("t").join(present.alias("p"), F.col("t.name").eqNullSafe(F.col("p.name"))).select("t.name", "t.target")), "targets")
-    for _ in range(sweeps):
+    errors: list[float] = []
+    done = 0
+    while True:
+        if done >= sweeps:
+            if tolerance is None:
+                return fitted
+            errors.append(margin_error(fitted, known))
+            if errors[-1] <= tolerance:
+                return fitted
+            if len(errors) > _STALL and errors[-1] > _LEFT * errors[-1 - _STALL]:
+                warnings.warn(f"margins are off their targets by up to {errors[-1]:.3g} after {done} sweeps, and more sweeps do not help", stacklevel=2)
+                return fitted
         for margin, table in known.items():
             sums = fitted.groupBy(margin).agg(F.sum("weight").alias("sum")).withColumnRenamed(margin, "name")
             factors = sums.join(table.withColumnRenamed("name", "aim"), F.col("name").eqNullSafe(F.col("aim")), "left")
@@ -76,7 +105,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = 10) -
             joined = fitted.join(factors, F.col(margin).eqNullSafe(F.col("name")))
             # Written at once: each step reads the weights twice, so steps left unwritten would double the plan.
             fitted = materialise(joined.select(*cells.columns, (F.col("weight") * F.col("factor")).alias("weight")), "raked")
-    return fitted
+        done += 1
 
 
 def largest_ratio(fitted: DataFrame, keep: float | None = None) -> float:
@@ -104,12 +133,12 @@ def probabilities(fitted: DataFrame, keep: float | None = None) -> DataFrame:
     return fitted.withColumn("probability", share)
 
 
-def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text", keep: float | None = None) -> DataFrame:
+def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text", keep: float | None = None, tolerance: float | None = None) -> DataFrame:
     """All columns of ``docs``, with ``topic``, ``n_tokens``, ``weight`` (of its cell), ``probability`` and ``kept`` added.
 
     ``targets`` by margin (``source``, ``lang``, ``topic``): a table of ``name`` and ``target``, or the power that tempers
     the counted shares. A column ``topic`` of ``docs`` is used as it is; without one, length stands in. ``keep`` is the least
-    share of all tokens to keep.
+    share of all tokens to keep; ``tolerance`` is what ``rake`` makes of it.
     """
     tokens = n_tokens(F.col(text))
     topic = F.col("topic") if "topic" in docs.columns else length_topic(tokens)
@@ -117,7 +146,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int
     named = docs.select(F.struct(*docs.columns).alias("row"), *[topic.alias(m) if m == "topic" else F.col(m) for m in margins], tokens.alias("n_tokens"))
     cells = count_cells(named.select(*margins, "n_tokens"), margins, F.col("n_tokens"))
     tables = {m: tempered(cells, m, t) if isinstance(t, (int, float)) else t for m, t in targets.items()}
-    fitted = probabilities(rake(cells, tables, sweeps), keep).select(*[F.col(m).alias(f"cell_{m}") for m in margins], "weight", "probability")
+    fitted = probabilities(rake(cells, tables, sweeps, tolerance), keep).select(*[F.col(m).alias(f"cell_{m}") for m in margins], "weight", "probability")
     same = [F.col(m).eqNullSafe(F.col(f"cell_{m}")) for m in margins]
     joined = named.join(fitted, same, "left")
     drawn = uniform(F.col(f"row.{key}")) < F.col("probability")
@@ -125,7 +154,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int
     return joined.withColumn("kept", drawn).select("row.*", *own)
 
 
-def draw(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text", keep: float | None = None) -> DataFrame:
+def draw(docs: DataFrame, targets: Mapping[str, DataFrame | float], sweeps: int = 10, key: str = "doc_id", text: str = "text", keep: float | None = None, tolerance: float | None = None) -> DataFrame:
     """The documents drawn, with the columns of ``docs``."""
     inner = docs.select(F.struct(*docs.columns).alias("row"), *[c for c in {key, text, *targets} if c in docs.columns])
-    return mixed(inner, targets, sweeps, key, text, keep).where("kept").select("row.*")
+    return mixed(inner, targets, sweeps, key, text, keep, tolerance).where("kept").select("row.*")

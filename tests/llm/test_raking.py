@@ -107,3 +107,34 @@ def test_capped_cells_pass_their_weight_on(spark, keep):
         low, high = (low, middle) if kept(middle) >= keep * 1161 else (middle, high)
     for t, w in cells[:4]:
         assert abs(got[t] - min(1, w * high / t)) < 1e-6
+
+
+def test_sweeps_go_on_until_the_margins_fit(spark):
+    """Sources that mostly hold one language: six sweeps leave the margins off."""
+    rows = [(f"s{s}", f"l{g}", 990.0 * (1 + s) if s == g else 10.0 * (1 + g)) for s in range(3) for g in range(3)]
+    cells = spark.createDataFrame(rows, "source string, lang string, tokens double")
+    targets = {m: raking.tempered(cells, m, p) for m, p in (("source", 0.3), ("lang", 0.9))}
+    assert raking.margin_error(raking.rake(cells, targets, queries.SWEEPS), targets) > 0.05
+    assert raking.margin_error(raking.rake(cells, targets, queries.SWEEPS, 0.01), targets) <= 0.01
+
+
+def test_margins_that_cannot_fit_end_with_a_warning(spark):
+    cells = spark.createDataFrame([("s", "x", 1.0), ("t", "y", 1.0)], "source string, lang string, tokens double")
+    half = spark.createDataFrame([("s", 0.5), ("t", 0.5)], "name string, target double")
+    uneven = spark.createDataFrame([("x", 0.9), ("y", 0.1)], "name string, target double")
+    with pytest.warns(UserWarning, match="off their targets by up to 0.8"):
+        raking.rake(cells, {"source": half, "lang": uneven}, 2, 1e-4)
+
+
+def test_query_meets_its_margins(spark):
+    """Tokens kept by op10 in expectation, by margin, against targets worked out anew."""
+    rows = rows_of(queries.op10_raking(spark, "/root/testdata/sf0.01"))
+    kept = sum(r["n_tokens"] * r["probability"] for r in rows)
+    for margin, power in queries.MIX.items():
+        counted, drawn = defaultdict(float), defaultdict(float)
+        for r in rows:
+            counted[r[margin]] += r["n_tokens"]
+            drawn[r[margin]] += r["n_tokens"] * r["probability"]
+        total = sum(n**power for n in counted.values())
+        for name, n in counted.items():
+            assert abs(drawn[name] / kept / (n**power / total) - 1) <= 2 * queries.TOLERANCE
