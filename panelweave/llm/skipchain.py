@@ -2,9 +2,10 @@
 
 Fixed patterns find addresses of mail and network, card and phone numbers (the base). The field then looks at every token with a
 digit or an at sign: such a token has a label, neighbouring tokens share a chain potential, and tokens of one document
-that are the same, or end in the same seven digits, share a skip potential, however far apart. Each occurrence is tied to
-the one before it, so a token that stands m times has m - 1 ties. Loopy belief propagation runs over all documents of a block at
-once. Spans of the base stay as they are and hold their labels fixed; tokens whose label is surer than ``SURE`` are
+that are the same, or end in the same seven digits, share a skip potential, however far apart. Two like tokens are tied to each
+other; of more, each is tied to one hub, so m tokens have m ties. Where the base holds the label of one, that is the hub's label and
+each of the others is tied to it, whatever their number; labels that differ each have a tie. Loopy belief propagation runs over all
+documents of a block at once, each until its messages settle. Spans of the base stay as they are and hold their labels fixed; tokens whose label is surer than ``SURE`` are
 added. All other tokens can only be outside.
 
 The field is trained on the base of the whole table: labelled tokens are counted by their features and their neighbours'
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -37,7 +39,9 @@ SURE = 0.9
 AGREE = 3.0
 #: Share of a pattern's weight that is trained with its exact shape hidden.
 _HIDDEN = 0.3
-_ROUNDS, _CHANGE = 40, 1e-4
+#: Messages are half replaced for ``_HALVES`` rounds, then less and less, so that those that swing come to rest. They end once none
+#: changes by ``_CHANGE``, or after ``_ROUNDS`` and four for each token.
+_HALVES, _ROUNDS, _CHANGE = 100, 1000, 1e-4
 _BUCKETS = 1 << 14
 
 # The base patterns. A number is only sought from its first digit on, which finds the same matches.
@@ -140,8 +144,8 @@ def _tie_names(token: str) -> list[str]:
 
 @dataclass
 class Graph:
-    """Tokens of some documents. ``chain`` and ``ties`` are pairs of token numbers, the earlier first; ``fixed`` is the
-    label of the base, or -1."""
+    """Tokens of some documents. ``chain`` and ``ties`` are pairs of token numbers, the earlier first; ``hubs`` are pairs of
+    hub and token, ``votes`` of token and the label of a like token; ``fixed`` is the label of the base, or -1."""
 
     document: np.ndarray
     spans: list[Span]
@@ -149,13 +153,16 @@ class Graph:
     fixed: np.ndarray
     chain: np.ndarray
     ties: np.ndarray
+    hubs: np.ndarray
+    votes: np.ndarray
 
 
 def graph(texts: list[str], bases: list[list[tuple[int, int, int]]]) -> Graph:
-    document, spans, shapes, fixed, chain, ties = [], [], [], [], [], []
+    document, spans, shapes, fixed, chain, ties, hubs, votes = [], [], [], [], [], [], [], []
+    n_hubs = 0
     for d, text in enumerate(texts):
         covered = sorted((start, end, k + 1) for k, start, end in bases[d])
-        seen: dict[str, int] = {}
+        seen: dict[str, list[int]] = {}
         before, after, reach = -1, 0, 0
         open_: list[tuple[int, int, int]] = []
         for m in _TOKEN.finditer(text):
@@ -168,16 +175,24 @@ def graph(texts: list[str], bases: list[list[tuple[int, int, int]]]) -> Graph:
             if before >= 0 and text[reach:start].isspace():
                 chain.append((before, i))
             for name in _tie_names(token):
-                if name in seen:
-                    ties.append((seen[name], i))
-                seen[name] = i
+                seen.setdefault(name, []).append(i)
             document.append(d)
             spans.append((start, end))
             shapes.append(features(token))
             fixed.append(min((c[2] for c in open_), default=-1))
             before, reach = i, end
+        for like in seen.values():
+            held = Counter(fixed[i] for i in like if fixed[i] >= 0)
+            if held:
+                # A token's own label is no vote for it.
+                votes += [(i, label) for i in like for label in sorted(held) if held[label] > (label == fixed[i])]
+            elif len(like) == 2:
+                ties.append((like[0], like[1]))
+            elif len(like) > 2:
+                hubs += [(n_hubs, i) for i in like]
+                n_hubs += 1
     as_pairs = lambda pairs: np.array(pairs, np.int64).reshape(-1, 2)
-    return Graph(np.array(document, np.int64), spans, as_pairs(shapes), np.array(fixed, np.int64), as_pairs(chain), as_pairs(ties))
+    return Graph(np.array(document, np.int64), spans, as_pairs(shapes), np.array(fixed, np.int64), as_pairs(chain), as_pairs(ties), as_pairs(hubs), as_pairs(votes))
 
 
 @dataclass
@@ -198,29 +213,41 @@ def beliefs(field: Field, g: Graph) -> np.ndarray:
     """Label probabilities of every token, by damped loopy belief propagation."""
     n = len(g.spans)
     local = field.unary[g.features[:, 0]] + field.unary[g.features[:, 1]]
+    np.add.at(local, g.votes[:, 0], field.tie[g.votes[:, 1]])
     held = np.flatnonzero(g.fixed >= 0)
     local[held] = -1e3
     local[held, g.fixed[held]] = 0
-    pairs = np.concatenate([g.chain, g.chain[:, ::-1], g.ties, g.ties[:, ::-1]])
-    sizes = [len(g.chain), len(g.chain), len(g.ties), len(g.ties)]
+    n_hubs = int(g.hubs[:, 0].max(initial=-1)) + 1
+    # Hubs are nodes behind the tokens; nothing is known of them but their ties.
+    local = np.concatenate([local, np.zeros((n_hubs, _LABELS))])
+    spokes = g.hubs + np.array([n, 0])
+    pairs = np.concatenate([g.chain, g.chain[:, ::-1], g.ties, g.ties[:, ::-1], spokes, spokes[:, ::-1]])
+    sizes = [len(p) for p in (g.chain, g.ties, g.hubs) for _ in range(2)]
     if len(pairs):
-        table = np.repeat(np.stack([field.chain, field.chain.T, field.tie, field.tie.T]), sizes, axis=0)
+        table = np.repeat(np.stack([field.chain, field.chain.T, *[field.tie, field.tie.T] * 2]), sizes, axis=0)
         kinds = np.cumsum([0, *sizes])
-        back = np.concatenate([np.arange(kinds[k], kinds[k + 1]) for k in (1, 0, 3, 2)])
+        back = np.concatenate([np.arange(kinds[k], kinds[k + 1]) for k in (1, 0, 3, 2, 5, 4)])
         source, target = pairs[:, 0], pairs[:, 1]
+        # One end of each pair at least is a token.
+        document = g.document[np.where(source < n, source, target)]
         message = np.zeros((len(pairs), _LABELS))
-        for _ in range(_ROUNDS):
+        live = np.arange(len(pairs))
+        for r in range(_ROUNDS + 4 * n):
             total = local.copy()
-            np.add.at(total, target, message)
-            out = (total[source] - message[back])[:, :, None] + table
+            np.add.at(total, target[live], message[live])
+            out = (total[source[live]] - message[back[live]])[:, :, None] + table[live]
             top = out.max(axis=1)
             new = _log_sum(top + np.log(np.exp(out - top[:, None, :]).sum(axis=1)))
-            change = np.abs(np.exp(new) - np.exp(_log_sum(message))).max()
-            message = 0.5 * message + 0.5 * new
-            if change < _CHANGE:
+            change = np.abs(np.exp(new) - np.exp(_log_sum(message[live]))).max(axis=1)
+            step = 0.5 / max(1.0, r / _HALVES)
+            message[live] = (1 - step) * message[live] + step * new
+            moving = np.zeros(document.max() + 1, bool)
+            moving[document[live][change >= _CHANGE]] = True
+            live = live[moving[document[live]]]
+            if not len(live):
                 break
         np.add.at(local, target, message)
-    return np.exp(_log_sum(local)) if n else np.zeros((0, _LABELS))
+    return np.exp(_log_sum(local[:n])) if n else np.zeros((0, _LABELS))
 
 
 def added_spans(g: Graph, texts: list[str], marginals: np.ndarray) -> list[list[tuple[int, int, int]]]:
@@ -252,6 +279,9 @@ def _neighbour_counts(g: Graph, label: np.ndarray) -> np.ndarray:
     out[g.chain[:, 0], 1] = label[g.chain[:, 1]]
     for a, b in ((0, 1), (1, 0)):
         np.add.at(out, (g.ties[:, a], 2 + label[g.ties[:, b]]), 1)
+    np.add.at(out, (g.votes[:, 0], 2 + g.votes[:, 1]), 1)
+    # A hub without a label of the base is outside, as are its tokens.
+    np.add.at(out, (g.hubs[:, 1], 2), 1)
     return out
 
 

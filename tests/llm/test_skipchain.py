@@ -124,3 +124,48 @@ def test_empty_table(spark):
     docs = documents(spark).limit(0)
     assert skipchain.find(docs).count() == 0
     assert skipchain.mask(docs).count() == 0
+
+
+@pytest.mark.parametrize("repeats", [1, 2, 10, 100])
+def test_every_repeat_is_tied_to_the_label(repeats):
+    """However often a number repeats outside, each repeat hears the labelled one as a single repeat does."""
+    unary = np.zeros((skipchain._BUCKETS, 5))
+    unary[:, 0] = 0.25
+    field = skipchain.Field(unary, np.zeros((5, 5)), 5 * np.eye(5))
+    g = skipchain.graph(["555-2485" + " or 555-2485" * repeats], [[(3, 0, 8)]])
+    assert not len(g.chain)
+    want = np.exp(5) / (np.exp(5) + np.exp(0.5) + 3)
+    assert np.allclose(skipchain.beliefs(field, g)[1:, 4], want, atol=2e-3) and want > skipchain.SURE
+
+
+@pytest.mark.parametrize("repeats", [2, 10, 100])
+def test_all_repeats_are_found(spark, trained, repeats):
+    text = "call +1 (968) 555-2485 now" + ", that is 555-2485 again" * repeats
+    found = skipchain.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), trained).first()
+    assert found["n_phone"] == 1 and found["n_added"] == repeats
+
+
+def test_messages_pass_long_chains():
+    """A label held at one end reaches the other as far as the chain allows; a document that settles early stays as it is."""
+    field = skipchain.Field(np.zeros((skipchain._BUCKETS, 5)), 6 * np.eye(5), np.zeros((5, 5)))
+    g = skipchain.graph([" ".join(f"{i}a" for i in range(100)), "1a 2a"], [[(0, 0, 2)], [(1, 0, 2)]])
+    got = skipchain.beliefs(field, g)
+    step = np.exp(6 * np.eye(5)) / np.exp(6 * np.eye(5)).sum(axis=1)
+    assert np.allclose(got[99], np.linalg.matrix_power(step, 99)[1], atol=5e-3) and got[99, 1] > 0.4
+    assert np.allclose(got[101], step[2], atol=2e-3)
+
+
+def test_a_hub_is_exact():
+    """Three like tokens without a label of the base: the exact marginals of a star."""
+    rng = np.random.default_rng(6)
+    tie = rng.normal(size=(5, 5))
+    field = skipchain.Field(rng.normal(size=(skipchain._BUCKETS, 5)), rng.normal(size=(5, 5)), tie + tie.T)
+    g = skipchain.graph(["12345 and 12345 and 12345"], [[]])
+    assert not len(g.ties) and g.hubs.tolist() == [[0, 0], [0, 1], [0, 2]]
+    local = field.unary[g.features[:, 0]] + field.unary[g.features[:, 1]]
+    total = np.zeros((3, 5))
+    for hub, *labels in itertools.product(range(5), repeat=4):
+        weight = np.exp(sum(local[i, k] + field.tie[hub, k] for i, k in enumerate(labels)))
+        for i, k in enumerate(labels):
+            total[i, k] += weight
+    assert np.allclose(skipchain.beliefs(field, g), total / total.sum(axis=1, keepdims=True), atol=2e-3)
