@@ -4,7 +4,8 @@ Fixed patterns find addresses of mail and network, card and phone numbers (the b
 digit or an at sign: such a token has a label, neighbouring tokens share a chain potential, and tokens of one document
 that are the same, or end in the same seven digits, share a skip potential, however far apart. Two like tokens are tied to each
 other; of more, each is tied to one hub, so m tokens have m ties. Where the base holds the label of one, that is the hub's label and
-each of the others is tied to it, whatever their number; labels that differ each have a tie. Loopy belief propagation runs over all
+each of the others is tied to it, whatever their number; labels that differ each have a tie. Digits of a whole span of the base and of
+a run of neighbouring number tokens count as well, joined, and tie the tokens they stand in. Loopy belief propagation runs over all
 documents of a block at once, each until its messages settle. Spans of the base stay as they are and hold their labels fixed; tokens whose label is surer than ``SURE`` are
 added. All other tokens can only be outside.
 
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -51,6 +51,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
+_NUMBER = re.compile(r"[0-9+(][0-9+()./-]*+")
 _SHAPE = re.compile(r"[0-9]+|[^\W\d_]+")
 _CORE = re.compile(r"[0-9A-Za-z+(](?:.*[0-9A-Za-z)])?", re.S)
 
@@ -142,6 +143,19 @@ def _tie_names(token: str) -> list[str]:
     return names
 
 
+def _joined_names(text: str, spans: list[Span], tokens: list[int]) -> Iterator[tuple[str, list[int]]]:
+    """The digits of ``spans``, joined: all of them and the last seven to nine, each with the tokens they stand in."""
+    owners, parts = [], []
+    for i, (start, end) in zip(tokens, spans):
+        digits = _digits(text[start:end])
+        parts.append(digits)
+        owners += [i] * len(digits)
+    digits = "".join(parts)
+    for k in sorted({7, 8, 9, len(digits)}):
+        if 7 <= k <= len(digits):
+            yield digits[-k:], sorted(set(owners[-k:]))
+
+
 @dataclass
 class Graph:
     """Tokens of some documents. ``chain`` and ``ties`` are pairs of token numbers, the earlier first; ``hubs`` are pairs of
@@ -162,7 +176,10 @@ def graph(texts: list[str], bases: list[list[tuple[int, int, int]]]) -> Graph:
     n_hubs = 0
     for d, text in enumerate(texts):
         covered = sorted((start, end, k + 1) for k, start, end in bases[d])
-        seen: dict[str, list[int]] = {}
+        # Tokens by name, with the occurrence each belongs to: itself, or the span or run it is part of.
+        seen: dict[str, dict[int, int]] = {}
+        joined: dict[tuple[int, int, int], list[int]] = {}
+        runs: list[list[int]] = [[]]
         before, after, reach = -1, 0, 0
         open_: list[tuple[int, int, int]] = []
         for m in _TOKEN.finditer(text):
@@ -172,23 +189,46 @@ def graph(texts: list[str], bases: list[list[tuple[int, int, int]]]) -> Graph:
                 open_.append(covered[after])
                 after += 1
             open_ = [c for c in open_ if c[1] > start]
-            if before >= 0 and text[reach:start].isspace():
+            chained = before >= 0 and text[reach:start].isspace()
+            if chained:
                 chain.append((before, i))
             for name in _tie_names(token):
-                seen.setdefault(name, []).append(i)
+                seen.setdefault(name, {})[i] = i
+            for c in open_:
+                joined.setdefault(c, []).append(i)
+            core = token.rstrip(".,;:!?")
+            if not chained or not _NUMBER.fullmatch(core):
+                runs.append([])
+            if _NUMBER.fullmatch(core):
+                runs[-1].append(i)
+            if core != token:
+                # A sentence or a part of one ends here.
+                runs.append([])
             document.append(d)
             spans.append((start, end))
             shapes.append(features(token))
             fixed.append(min((c[2] for c in open_), default=-1))
             before, reach = i, end
+        groups = [([(max(spans[i][0], c[0]), min(spans[i][1], c[1])) for i in own], own) for c, own in joined.items() if c[2] > 1]
+        groups += [([spans[i] for i in run], run) for run in runs if len(run) > 1]
+        for places, own in groups:
+            for name, tied in _joined_names(text, places, own):
+                here = seen.setdefault(name, {})
+                occurrence = next((here[i] for i in tied if i in here), tied[0])
+                for i in tied:
+                    here.setdefault(i, occurrence)
         for like in seen.values():
-            held = Counter(fixed[i] for i in like if fixed[i] >= 0)
+            held: dict[int, set[int]] = {}
+            for i, occurrence in like.items():
+                if fixed[i] >= 0:
+                    held.setdefault(fixed[i], set()).add(occurrence)
+            n_like = len(set(like.values()))
             if held:
-                # A token's own label is no vote for it.
-                votes += [(i, label) for i in like for label in sorted(held) if held[label] > (label == fixed[i])]
-            elif len(like) == 2:
-                ties.append((like[0], like[1]))
-            elif len(like) > 2:
+                # An occurrence's own label is no vote for it.
+                votes += [(i, label) for i, o in like.items() for label in sorted(held) if len(held[label]) > (o in held[label])]
+            elif n_like == 2 and len(like) == 2:
+                ties.append((min(like), max(like)))
+            elif n_like > 1:
                 hubs += [(n_hubs, i) for i in like]
                 n_hubs += 1
     as_pairs = lambda pairs: np.array(pairs, np.int64).reshape(-1, 2)

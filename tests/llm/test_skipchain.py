@@ -169,3 +169,26 @@ def test_a_hub_is_exact():
         for i, k in enumerate(labels):
             total[i, k] += weight
     assert np.allclose(skipchain.beliefs(field, g), total / total.sum(axis=1, keepdims=True), atol=2e-3)
+
+
+@pytest.mark.parametrize(
+    "base, other",
+    [("+33 1 23 45 67 89", "0123456789"), ("+33 1 23 45 67 89", "01 23 45 67 89"), ("4111 1111 1111 1111", "4111.1111.1111.1111"), ("+33123456789", "01 23 45 67 89")],
+)
+def test_spans_of_short_tokens_are_tied(base, other):
+    """Another form of a spaced number hears the label, token by token; a number beside it does not, nor does the span itself."""
+    text = f"call {base} or in 2020 {other}, 1999 again"
+    spans = skipchain.base_spans(text)
+    g = skipchain.graph([text], [spans])
+    label = spans[0][0] + 1
+    heard = {text[slice(*g.spans[i])] for i, k in g.votes.tolist() if k == label}
+    assert heard == {t for t in f"{other},".split()}
+
+
+def test_a_spaced_number_takes_the_label_of_its_like(spark):
+    rows = [(i, f"call +33 1 23 45 {i % 90 + 10} {i % 70 + 20} now, or 0123 at {i % 24}") for i in range(2000)]
+    field = skipchain.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    text = "call +33 1 23 45 67 89 now, that is 01 23 45 67 89 again and 2020 not"
+    found = skipchain.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), field).first()
+    start = text.index("01 23")
+    assert found["n_phone"] == 1 and f"phone:{start}:{start + 14}" in found["spans"].split(",") and found["n_added"] == 1
