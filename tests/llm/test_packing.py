@@ -1,0 +1,165 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from panelweave.llm import packing, queries
+from tests.llm.cases import ODD, documents, odd_documents, rows_of
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = [
+    "It's WE'RE <|ENDOFTEXT|> <|endoftext|>x a<|startoftext|>b",
+    "Ünḯ é ́x ΣΑΣ Σ. İstanbul ǅ 漢字 \U0001f600 ª º µ ß ßß### 1234 a1b2 ¼ x\x85y x\xa0y x y \x1c\x00 ' '' 'sabc don'tcan't",
+    None,
+    "",
+    "  \n",
+    "a<b 'LL ÀÉÎÕÜ÷× ÿŸ </w> x</w>",
+    "x" * 3000 + " " + "é" * 3000,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(texts):
+    raw, places = packing.WordEncoder(PATH).texts(pa.array(texts, pa.string()))
+    return [np.frombuffer(raw[a:b], "<u4").tolist() for a, b in zip(places[:-1], places[1:])]
+
+
+@pytest.mark.parametrize("texts", [TEXTS, [t for _, t in ODD], [""], [None], []])
+def test_ids_are_the_library_s(library, texts):
+    assert ids_of(texts) == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=6))
+def test_ids_of_any_text(library, texts):
+    assert ids_of(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_without_room_to_remember(library, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    texts = ["one two one.", "three, two four", "one"]
+    assert ids_of(texts + texts) == [library.encode(t, add_special_tokens=False).ids for t in texts + texts]
+
+
+def lengths_used(patterns):
+    used = Counter()
+    for lengths, copies in patterns:
+        assert copies > 0
+        for a in lengths:
+            used[a] += copies
+    return used
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 60), max_size=80))
+def test_a_plan_places_every_piece_once(lengths):
+    counts = np.bincount(lengths, minlength=61)
+    patterns = packing.plan(counts)
+    assert lengths_used(patterns) == Counter(lengths)
+    assert all(sum(p) <= 60 for p, _ in patterns)
+    n = sum(c for _, c in patterns)
+    assert n >= -(-sum(lengths) // 60)
+    # No two sequences fit into one.
+    fills = sorted([sum(p) for p, c in patterns for _ in range(c)])
+    assert len(fills) < 2 or fills[0] + fills[1] > 60
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=31, max_size=31), st.lists(st.integers(1, 30), max_size=20))
+def test_indexes_hold_all_sums(counts, gone):
+    index = packing.SumIndex(np.array([0, *counts[1:]]))
+    for a in gone:
+        if index.counts[a]:
+            index.take(a, 1)
+    left = [a for a in range(31) if index.counts[a]]
+    for total in range(31):
+        assert index.one[total] == (total in left)
+        assert index.two[total] == sum(a + b == total for a in left for b in left)
+        assert index.three[total] == sum(a + b + c == total for a in left for b in left for c in left)
+    for gap in range(1, 31):
+        found = index.exact(gap, Counter())
+        n = index.counts
+        singles = n[gap] > 0
+        pairs = any(n[a] and n[gap - a] > (2 * a == gap) for a in range(1, gap))
+        triples = any(
+            all(n[x] >= k for x, k in Counter([a, b, gap - a - b]).items()) for a in range(1, gap) for b in range(1, gap - a)
+        )
+        assert bool(found) == bool(singles or pairs or triples)
+        assert not found or (sum(found) == gap and all(n[x] >= k for x, k in Counter(found).items()))
+
+
+def test_known_plan():
+    # 60 = 30 + 20 + 10 twice, then 25 + 25 + 10 exactly.
+    counts = np.zeros(61, int)
+    counts[[30, 20, 10, 25]] = [2, 2, 3, 2]
+    assert sum(c for _, c in packing.plan(counts)) == 3
+
+
+def check(library, docs, capacity=packing.CAPACITY):
+    want = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        ids = [*library.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for k, at in enumerate(range(0, len(ids), capacity)):
+            part = ids[at : at + capacity]
+            want[r["doc_id"], k, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    got = rows_of(packing.pack(docs, PATH, capacity))
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    by_sequence = defaultdict(list)
+    for r in got:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return got, by_sequence
+
+
+def test_odd_rows(spark, library):
+    check(library, odd_documents(spark))
+    check(library, odd_documents(spark), 64)
+
+
+def test_documents(spark, library):
+    docs = documents(spark).repartition(5)
+    got, by_sequence = check(library, docs)
+    # As few as the tokens need, or one for each piece of more than half.
+    least = max(-(-sum(r["length"] for r in got) // 4096), sum(r["length"] > 2048 for r in got))
+    assert len(by_sequence) == least
+
+
+def test_a_third_of_one_length(spark, library):
+    docs = spark.createDataFrame([(i, "the same text" if i % 3 else "a longer text number %d" % i) for i in range(600)], "doc_id long, text string")
+    _, by_sequence = check(library, docs, 32)
+    assert len(by_sequence) == -(-sum(p[1] for parts in by_sequence.values() for p in parts) // 32)
+
+
+def test_sequences_hold_the_ids(spark, library):
+    docs = documents(spark)
+    ends = 0
+    for r in packing.sequences(docs, PATH).collect():
+        assert r["starts"][0] == 0 and len(r["ids"]) <= 4096
+        ends += sum(i == 1 for i in r["ids"])
+    tokens = [library.encode(t or "", add_special_tokens=False).ids for (t,) in docs.select("text").collect()]
+    assert ends == len(tokens) + sum(i.count(1) for i in tokens)
+
+
+def test_empty_table(spark):
+    assert packing.pack(documents(spark).limit(0), PATH).count() == 0
+
+
+def test_query(spark, library):
+    got = queries.op11_complement(spark, "/root/testdata/sf0.001")
+    assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "int", "bigint", "bigint", "bigint", "bigint", "bigint"]
+    assert got.select("doc_id").distinct().count() == documents(spark).count()
