@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import archive, differencing, hmm, phrases, prefixjoin, raking, ranks, repetition, skipchain, urlrules
+from panelweave.llm import archive, differencing, hmm, merkle, packing, phrases, prefixjoin, raking, ranks, repetition, simplex, skipchain, urlrules
 from panelweave.workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,10 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -108,6 +108,21 @@ def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", rounded, "kept")
 
 
+@query
+def op11_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
+@query
+def op12_simplex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex.cluster(table(spark, sf_dir, "embeddings")).drop("n_compared")
+
+
+@query
+def op13_timeforward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered=merkle.seventh(F.col("doc_id")))
+
+
 ORACLE["op7_archive"] = """
 WITH p AS (
   SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,
@@ -184,3 +199,91 @@ FROM t JOIN p ON t.source IS NOT DISTINCT FROM p.source AND t.lang IS NOT DISTIN
 
 
 ORACLE["op10_raking"] = _raking_sql()
+
+
+def _clustering_sql(n_centroids: int = 16, rounds: int = 3) -> str:
+    """The rounds of op12 written out one after the other."""
+    parts = [
+        f"""v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY h, q) - 1 AS INTEGER) AS cluster, q FROM (
+    SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM v ORDER BY h, q LIMIT {n_centroids})
+)"""
+    ]
+    off = "list_sum(list_transform(list_zip(v.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS (
+  SELECT vec_id, q, best.cluster AS cluster, best.d AS distance FROM (
+    SELECT vec_id, v.q AS q, min({{'d': CAST({off} AS BIGINT), 'cluster': c.cluster}}) AS best FROM (SELECT *, row_number() OVER () AS r FROM v) v, c{i} c
+    GROUP BY r, vec_id, v.q)
+)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""m{i} AS (
+  SELECT cluster, list(m ORDER BY i) AS q FROM (
+    SELECT cluster, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS m FROM (
+      SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(q) AS x, unnest(range(64)) AS i FROM a{i}) GROUP BY ALL))
+  GROUP BY cluster
+), c{i + 1} AS (SELECT c.cluster, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN m{i} m USING (cluster))"""
+            )
+    return (
+        "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, a.cluster, distance, CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (cluster)
+"""
+    )
+
+
+ORACLE["op12_simplex"] = _clustering_sql()
+
+
+def _leaf_sql(columns: dict[str, str]) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END" for c in columns.values()]
+    return f"sha256({' || '.join(parts)})"
+
+
+_LEAF = {c: c for c in merkle.FIELDS}
+# One bit after the other, from each byte of the decimal id.
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(s) + 1), lambda i: CAST(ord(s[i]) AS BIGINT))), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+_NEXT = "list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))"
+
+ORACLE["op13_timeforward"] = f"""
+WITH RECURSIVE d AS (
+  SELECT *, {_leaf_sql(_LEAF)} AS leaf, {_leaf_sql(_LEAF | {"n_chars": "(n_chars + 1)"})} AS changed, CAST(doc_id AS VARCHAR) AS s FROM documents
+), f AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, leaf, CASE WHEN {_CRC} % 7 = 0 THEN changed ELSE leaf END AS start,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS size
+  FROM d
+), t(tree, level, nodes) AS (
+  SELECT tree, 0, list(leaf ORDER BY place) FROM f GROUP BY tree
+  UNION ALL SELECT tree, level + 1, {_NEXT} FROM t WHERE len(nodes) > 1
+), subroots AS (
+  SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS top_place, count(*) OVER () AS top_size FROM t WHERE len(nodes) = 1
+), u(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY top_place) FROM subroots
+  UNION ALL SELECT level + 1, {_NEXT} FROM u WHERE len(nodes) > 1
+), root AS (SELECT nodes[1] AS root FROM u WHERE len(nodes) = 1),
+steps AS (
+  SELECT row_number() OVER () AS r, f.*, subroot, top_place, top_size FROM f JOIN subroots USING (tree)
+), beside AS (
+  SELECT r, 0 AS top, level, (place >> level) % 2 AS side, nodes[xor(place >> level, 1) + 1] AS sibling FROM steps JOIN t USING (tree) WHERE len(nodes) > 1
+  UNION ALL
+  SELECT r, 1, level, (top_place >> level) % 2, nodes[xor(top_place >> level, 1) + 1] FROM steps, u WHERE len(nodes) > 1
+), paths AS (
+  SELECT r, sha256(string_agg(coalesce(sibling, ''), '' ORDER BY top, level)) AS proof_sha256,
+    list({{'side': side, 'sibling': sibling}} ORDER BY top, level) AS hops FROM beside GROUP BY r
+), folds(r, k, digest, hops) AS (
+  SELECT r, 1, start, coalesce(hops, []) FROM steps LEFT JOIN paths USING (r)
+  UNION ALL
+  SELECT r, k + 1, sha256(CASE WHEN hops[k].sibling IS NULL THEN digest WHEN hops[k].side = 1 THEN hops[k].sibling || digest
+    ELSE digest || hops[k].sibling END), hops FROM folds WHERE k <= len(hops)
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, digest AS folded_root, digest = root AS verified
+FROM steps JOIN root ON true LEFT JOIN paths USING (r) JOIN folds USING (r) WHERE k > len(folds.hops)
+"""
