@@ -82,9 +82,9 @@ def op6_prefixjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "archive")
     archive.write(table(spark, sf_dir, "pages"), path)
-    read = archive.summary(spark, path)
-    ids = F.col("id").cast("long").alias("page_id"), F.col("refers_to").cast("long").alias("refers_to")
-    return read.select(ids[0], "payload_bytes", "payload_digest", "record_type", ids[1])
+    read = archive.read(spark, path)
+    size, digest = F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest")
+    return read.select(F.col("id").cast("long").alias("page_id"), size, digest, "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
 @query
