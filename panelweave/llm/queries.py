@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import archive, differencing, hmm, merkle, packing, phrases, prefixjoin, raking, ranks, repetition, simplex, skipchain, urlrules
-from panelweave.workspace import fresh_path
+from panelweave.llm import archive, differencing, hmm, merkle, packing, pagelinks, phrases, prefixjoin, raking, ranks, repetition, simplex, skipchain, urlrules
+from panelweave.workspace import fresh_path, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,8 +90,8 @@ def op7_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_urlrules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    labelled = pages.select("page_id", "url").join(labels, "page_id").select("url", "bad")
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    labelled = materialise(pagelinks.labelled_urls(pages, table(spark, sf_dir, "documents"), labels), "page-labels")
     judged = urlrules.judge(pages, labelled, URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 

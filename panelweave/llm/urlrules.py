@@ -1,17 +1,22 @@
 """URL filters: given rules first, then rules mined from labelled pages.
 
-FP-growth finds combinations of URL tokens that come with a bad label; those with enough support and confidence are
-kept, a rule that holds a shorter rule of no less confidence is pruned, and each is filed under its rarest token. A URL looks up its own
-tokens in that index and is blocked if all tokens of a rule are its own. The verdict depends on the URL alone, so it is
-worked out once for each distinct URL with a known token.
-
-The number of rules is bounded by the relative support, not by the number of pages; it is counted, and above
-``SENT_RULES`` the index is not broadcast. A null URL, or one without ``://``, has an empty host and path and no tokens.
-Repeated pages are judged alike. Pages without a label teach nothing; an empty label table gives no mined rules.
+FP-growth finds combinations of URL tokens that come with a bad label; a rule is kept if at least ``least`` bad URLs follow it, whatever
+the size of the table, if it is right often enough, and if so many would hardly follow it by chance: Chernoff's bound on that, times the
+number of rules tried, is at most ``chance``. A rule that holds a shorter rule of no less confidence is pruned, and each is filed under
+its rarest token. A URL looks up its own tokens in that index and is blocked if all tokens of a rule are its own. The verdict depends on
+the URL alone, so it is worked out once for each distinct URL with a known token.
+
+Tokens that stand in exactly the same labelled URLs say the same, so the first of them by name stands for all; that and ``most_tokens``, the
+tokens of a URL that are tried together (those that depart most from the usual share of bad ones), bound the combinations of a URL.
+
+The number of rules depends on the tokens with ``least`` bad URLs; it is counted, and above ``SENT_RULES`` the index is not
+broadcast. A null URL, or one without ``://``, has an empty host and path and no tokens. Repeated pages are judged alike. Pages
+without a label teach nothing; a label table that is empty, or has one kind of label only, gives no mined rules.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,6 +24,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.workspace import materialise
+
 #: Mined rules that may be broadcast.
 SENT_RULES = 100_000
 _BAD = "label=bad"
@@ -69,13 +76,40 @@ def tokens_of(url: Column) -> Column:
     return F.when(host != "", F.filter(all_tokens, lambda t: ~t.isin("ending=", "query="))).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.8, min_lift: float = 2.0) -> DataFrame:
+def baskets_of(rows: DataFrame, bads: int, n: int, least: int, most_tokens: int) -> DataFrame:
+    """``items`` of each row of ``row``, ``bad`` and ``tokens``: its tokens that a rule may hold, and its label if bad."""
+    named = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    # Two digests of the set of rows in which a token stands.
+    sets = F.bit_xor(F.xxhash64("row")).alias("set"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("other_set")
+    stats = named.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bads"), *sets)
+    firsts = stats.where(F.col("bads") >= least).groupBy("n", "bads", "set", "other_set").agg(F.min("token").alias("token"))
+    usual = bads / n
+    departs = F.abs(F.col("bads") - F.col("n") * usual) / F.sqrt(F.col("n") * (usual * (1 - usual)))
+    known = named.join(firsts.select("token", (-departs).alias("rank")), "token")
+    kept = known.groupBy("row").agg(F.first("bad").alias("bad"), F.slice(F.array_sort(F.collect_list(F.struct("rank", "token"))), 1, most_tokens).alias("kept"))
+    return kept.select(F.when(F.col("bad"), F.array_append("kept.token", F.lit(_BAD))).otherwise(F.col("kept.token")).alias("items"))
+
+
+def mine(labelled: DataFrame, least: int = 5, min_confidence: float = 0.8, chance: float = 0.01, most_tokens: int = 16) -> DataFrame:
     """Rules (``antecedent``, ``confidence``) for bad URLs, from rows of ``url`` and ``bad``."""
-    basket = F.when(F.col("bad"), F.array_append(tokens_of(F.col("url")), F.lit(_BAD))).otherwise(tokens_of(F.col("url")))
-    baskets = labelled.where(F.col("bad").isNotNull()).select(basket.alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    found = model.associationRules.where((F.col("consequent") == F.array(F.lit(_BAD))) & (F.col("lift") >= min_lift))
-    return found.select("antecedent", "confidence")
+    rows = labelled.where(F.col("bad").isNotNull()).select(F.monotonically_increasing_id().alias("row"), "bad", tokens_of(F.col("url")).alias("tokens"))
+    rows = materialise(rows, "labelled-urls")
+    n, bads = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    none = labelled.sparkSession.createDataFrame([], "antecedent array<string>, confidence double")
+    if bads < least or bads == n:
+        return none
+    baskets = materialise(baskets_of(rows, bads, n, least, most_tokens), "baskets")
+    size = baskets.count()
+    if not size:
+        return none
+    # Half a row less, so that rounding does not ask for one more.
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / size, minConfidence=min_confidence).fit(baskets)
+    tried = model.freqItemsets.where(F.array_contains("items", _BAD) & (F.size("items") > 1)).count()
+    usual, sure = bads / n, F.col("confidence")
+    apart = sure * F.ln(sure / usual) + F.when(sure < 1, (1 - sure) * F.ln((1 - sure) / (1 - usual))).otherwise(0.0)
+    followers = F.col("support") * size / sure
+    found = model.associationRules.where((F.col("consequent") == F.array(F.lit(_BAD))) & (sure > usual))
+    return found.where(followers * apart >= math.log(max(tried, 1) / chance)).select("antecedent", "confidence")
 
 
 def prune(rules: DataFrame) -> DataFrame:
@@ -101,8 +135,6 @@ def blocked_urls(urls: DataFrame, rules: DataFrame, counts: DataFrame, n_rules:
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[Rule], key: str = "page_id", **limits: float) -> DataFrame:
     """``key``, ``host``, ``path``, ``rule``, ``verdict`` and the ``confidence`` of a mined rule that blocks."""
-    from panelweave.workspace import materialise
-
     mined = materialise(prune(mine(labelled, **limits)), "url-rules")
     n_rules = mined.count()
     name, verdict = given(rules)
