@@ -496,18 +496,29 @@ ORACLE["drift_counters"] = ctes(*REPORT, QUALITY) + (
 
 # ---- streaming
 
-STREAMED = KEPT
+ARRIVALS, HOUR_LATE = 3, 3600
+STREAMED = EVENT_FEATURES
 STREAM_SCORE = " + ".join(
     f"{w}::DOUBLE * {scaled(c, f'coalesce(f.{c}, m_{c}, 0)')}" for c, w in zip(STREAMED, WEIGHTS)
 )
+SCORED = f"1 / (1 + exp(-({BIAS}::DOUBLE + {STREAM_SCORE}))) AS score"
+ALARMED = f"SELECT id, event_id, round(score, 6) AS score, CASE WHEN score >= {ALARM} THEN 1 ELSE 0 END AS alarm, late FROM x"
+ORACLE["stream_alarms_unordered"] = ctes(
+    EVENTS_SQL, FILLED, fitted("p", STREAMED), f"x AS (SELECT id, event_id, {SCORED}, false AS late FROM f, s WHERE n - rn >= 5)",
+) + ALARMED
 ORACLE["stream_alarms"] = ctes(
-    EVENTS_SQL, FILLED, fitted("p", STREAMED),
-    f"x AS (SELECT id, event_id, 1 / (1 + exp(-({BIAS}::DOUBLE + {STREAM_SCORE}))) AS score "
-    "FROM f, s WHERE n - rn >= 5)",
-) + (
-    f"SELECT id, event_id, round(score, 6) AS score, CASE WHEN score >= {ALARM} THEN 1 ELSE 0 END AS alarm, "
-    "false AS late FROM x"
-)
+    EVENTS_SQL,
+    f"w AS (SELECT min(ts) AS first, date_sub('second', min(ts), max(ts)) // {ARRIVALS} + 1 AS step FROM p)",
+    f"e AS (SELECT p.*, least(date_sub('second', first, ts) // step, {ARRIVALS - 1}) "
+    "+ CASE WHEN event_id % 53 = 0 THEN 1 ELSE 0 END AS arrival FROM p, w)",
+    "tops AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top "
+    "FROM e GROUP BY arrival)",
+    f"l AS (SELECT e.*, coalesce(ts < top - to_seconds({HOUR_LATE}), false) AS late FROM e JOIN tops USING (arrival))",
+    FILLED.replace("FROM p)", "FROM l WHERE NOT late)"),
+    fitted("p", STREAMED),
+    f"x AS (SELECT id, event_id, {SCORED}, false AS late FROM f, s WHERE n - rn >= 5 "
+    f"UNION ALL SELECT id, event_id, {SCORED}, true FROM l AS f, s WHERE late)",
+) + ALARMED
 
 # ---- learners, where SQL can tell what they must find
 
