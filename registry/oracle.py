@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelweave.operators.evaluate import SWEEP_THRESHOLDS
+from panelweave.operators.evaluate import SWEEP_THRESHOLDS, poisson_steps
 from registry.panels import (
     ALARM, BIAS, CHANNELS, ENCODED, EVENT_FEATURES, EVENTS_SQL, HOURLY_OF, HOURLY_SEEN, HOURLY_SQL, ORDERS_SQL,
     SPLIT_SQL, TYPES_SQL, WEIGHTS,
@@ -315,6 +315,37 @@ ORACLE["threshold_sweep"] = ctes(
     f"c AS (SELECT split, threshold, {counts(threshold='threshold')} FROM sc, th GROUP BY split, threshold)",
 ) + f"SELECT split, threshold, tn, fp, fn, tp, {METRICS} FROM c"
 
+REPLICATES = 20
+_DRAW = "CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':' || b), 1, 13) AS BIGINT) / 4503599627370496.0"
+_TIMES = " + ".join(f"(u >= {x!r}::DOUBLE)::INT" for x in poisson_steps())
+_WEIGHED = ", ".join(
+    f"sum(w) FILTER ({hit} AND y = {y}) AS {name}"
+    for name, hit, y in (("tn", "score < threshold", 0), ("fp", "score >= threshold", 0), ("fn", "score < threshold", 1), ("tp", "score >= threshold", 1))
+)
+ORACLE["sweep_intervals"] = ctes(
+    *STEPPED,
+    f"th AS (SELECT col0 AS threshold FROM (VALUES {TRIED}) x(col0))",
+    f"dr AS (SELECT id, b, {_TIMES} AS w FROM (SELECT id, b, {_DRAW} AS u FROM (SELECT DISTINCT id FROM sc), range({REPLICATES}) r(b)) "
+    "UNION ALL SELECT DISTINCT id, -1, 1 FROM sc)",
+    f"c0 AS (SELECT split, threshold, b, {_WEIGHED} FROM sc JOIN dr USING (id), th GROUP BY ALL)",
+    "c AS (SELECT split, threshold, b, coalesce(tn, 0) AS tn, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn, coalesce(tp, 0) AS tp FROM c0)",
+    "m AS (SELECT split, threshold, b, coalesce(tp / nullif(tp + fn, 0), 0) AS se, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f FROM c)",
+) + (
+    "SELECT split, threshold, round(max(se) FILTER (b < 0), 6) AS sensitivity, round(max(f) FILTER (b < 0), 6) AS f1, "
+    "round(quantile_cont(se, 0.05) FILTER (b >= 0), 6) AS sensitivity_low, round(quantile_cont(se, 0.95) FILTER (b >= 0), 6) AS sensitivity_high, "
+    "round(quantile_cont(f, 0.05) FILTER (b >= 0), 6) AS f1_low, round(quantile_cont(f, 0.95) FILTER (b >= 0), 6) AS f1_high FROM m GROUP BY ALL"
+)
+_GAPS = (
+    "g AS (SELECT id, split, CASE WHEN (id + step) % 7 = 0 OR id % 10 = 0 OR (id + step) % 11 = 0 THEN NULL ELSE score END AS score, "
+    "CASE WHEN (id + step) % 13 <> 0 THEN y END AS y FROM sc)"
+)
+_FOUR = f"{counts()}, count(*) FILTER (y IS NULL OR score IS NULL) AS unknown FROM g GROUP BY split"
+ORACLE["unknown_scores"] = ctes(*STEPPED, _GAPS) + (
+    f"SELECT 'counts' AS source, split, {_FOUR} UNION ALL SELECT 'sweep', split, {_FOUR} UNION ALL "
+    "SELECT 'alarms', 'all', count(*) FILTER (r = 0), 0, 0, count(*) FILTER (r = 1), count(*) FILTER (r IS NULL) "
+    f"FROM (SELECT max(CASE WHEN score >= {ALARM} THEN 1 WHEN score < {ALARM} THEN 0 END) AS r FROM g GROUP BY id)"
+)
+
 
 def causal(names, source: str) -> str:
     recent = f"OVER ({BY_TIME} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)"

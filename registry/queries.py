@@ -502,6 +502,34 @@ def threshold_sweep(spark, sf_dir):
     )
 
 
+@query
+def sweep_intervals(spark, sf_dir):
+    """The sweep with bootstrap intervals by entity."""
+    found = evaluate.sweep_intervals(scored_steps(spark, sf_dir), "id", replicates=20)
+    return found.select("split", "threshold", *r6("sensitivity", "sensitivity_low", "sensitivity_high", "f1", "f1_low", "f1_high"))
+
+
+def with_gaps(steps: DataFrame) -> DataFrame:
+    """Steps some of which have no label, or a score that is null or NaN; every tenth entity has no score at all."""
+    k = F.col("id") + F.col("step")
+    score = F.when((k % 7 == 0) | (F.col("id") % 10 == 0), None).when(k % 11 == 0, float("nan")).otherwise(F.col("score"))
+    return steps.withColumn("score", score).withColumn("y", F.when(k % 13 != 0, F.col("y")))
+
+
+@query
+def unknown_scores(spark, sf_dir):
+    """Counts, sweep and alarms over scores with gaps: one rule for all three."""
+    steps = materialise(with_gaps(scored_steps(spark, sf_dir)).select("id", "split", "step", "score", "y", "padded"), "gaps")
+    cells = ["split", "tn", "fp", "fn", "tp", "unknown"]
+    counted = evaluate.confusion(steps, ALARM, by=["split"]).select(F.lit("counts").alias("source"), *cells)
+    swept = evaluate.threshold_sweep(steps, (0.05, ALARM)).where(F.col("threshold") == ALARM).select(F.lit("sweep").alias("source"), *cells)
+    alarms = evaluate.entity_alarm(steps, "id", ALARM).agg(
+        F.count_if(F.col("result") == 0).alias("tn"), F.count_if(F.col("result") == 1).alias("tp"), F.count_if(F.col("result").isNull()).alias("unknown")
+    )
+    none = F.lit(0).cast("long")
+    return counted.unionByName(swept).unionByName(alarms.select(F.lit("alarms").alias("source"), F.lit("all").alias("split"), "tn", none.alias("fp"), none.alias("fn"), "tp", "unknown"))
+
+
 # ---- learning
 
 

@@ -125,3 +125,37 @@ def test_join_scores_by_key(spark):
 def test_confusion_shows_what_it_cannot_count(spark):
     df = scores(spark, [(0.9, 1, False), (None, 1, False), (0.9, None, False), (float("nan"), 0, False)])
     assert tuple(evaluate.confusion(df, 0.5).first()) == (0, 0, 0, 1, 3)
+
+
+GAPS = [(1, 0.9, 1), (1, float("nan"), 0), (2, None, 1), (3, 0.05, None), (3, 0.05, 0), (4, float("nan"), 1), (4, None, 0)]
+
+
+def test_null_and_nan_scores_are_no_hits(spark):
+    df = spark.createDataFrame([(*r, "all") for r in GAPS], "id long, score double, y int, split string")
+    names = ("tn", "fp", "fn", "tp", "unknown")
+    counted = evaluate.confusion(df, 0.1, by=["split"]).select(*names).first()
+    swept = evaluate.threshold_sweep(df, (0.1, 0.5)).where("threshold = 0.1").select(*names).first()
+    assert tuple(counted) == tuple(swept) == (1, 0, 0, 1, 5)
+    alarms = {r["id"]: r["result"] for r in evaluate.entity_alarm(df, "id", 0.1).collect()}
+    assert alarms == {1: 1, 2: None, 3: 0, 4: None}
+    written = {r["id"]: r["prediction"] for r in evaluate.predictions_json(evaluate.entity_alarm(df, "id", 0.1), "id").collect()}
+    assert written[4] == '{"id":4,"result":[null]}'
+
+
+def test_intervals_hold_the_value_and_do_not_depend_on_partitions(spark):
+    df = spark.range(4000).selectExpr(
+        "id % 200 as id", "'all' as split", "(id * 7919 % 1000) / 1000.0d as score", "cast((id * 7919 % 1000) / 1000.0 + (id * 31 % 100) / 200.0 > 0.9 as int) as y"
+    )
+    one = evaluate.sweep_intervals(df, "id", (0.3, 0.6), replicates=40).orderBy("threshold").collect()
+    two = evaluate.sweep_intervals(df.repartition(7), "id", (0.3, 0.6), replicates=40).orderBy("threshold").collect()
+    assert one == two
+    point = evaluate.threshold_sweep(df, (0.3, 0.6)).orderBy("threshold").collect()
+    for r, p in zip(one, point):
+        assert r["sensitivity"] == p["sensitivity"] and r["f1"] == p["f1"]
+        assert r["f1_low"] < r["f1"] < r["f1_high"] and r["f1_high"] - r["f1_low"] < 0.2
+
+
+def test_poisson_weights(spark):
+    drawn = spark.range(20000).select(evaluate.poisson_weight(F.col("id"), 3).alias("w"))
+    mean, spread = drawn.agg(F.avg("w"), F.var_samp("w")).first()
+    assert abs(mean - 1) < 0.05 and abs(spread - 1) < 0.08
