@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,22 +15,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelweave.operators.skew import cut_hot_groups, rows_per_group, running_totals
+from panelweave.sources import folders
 from panelweave.spec import PanelSpec
 from panelweave.workspace import materialise
 
 
+def _training_rows(rows: DataFrame, name: str) -> DataFrame:
+    """The rows to learn from, written once, as fitting passes over its input several times."""
+    written = materialise(rows, name)
+    if written.isEmpty():
+        raise ValueError("there is no row to learn from")
+    return written
+
+
 def feature_importance(
     train: DataFrame, spec: PanelSpec, trees: int = 100, depth: int = 5, seed: int = 42
 ) -> DataFrame:
     """(feature, importance) of a random forest fitted on the training rows, most important first."""
-    rows = materialise(
+    rows = _training_rows(
         train.select(*spec.features, F.col(spec.label).cast("double").alias("__y")), "forest-rows"
     )
     assembled = VectorAssembler(inputCols=list(spec.features), outputCol="__x").transform(rows)
     forest = RandomForestClassifier(
         featuresCol="__x", labelCol="__y", numTrees=trees, maxDepth=depth, seed=seed
     )
-    # Fitting passes over its input several times; the rows are prepared once and written.
     importances = forest.fit(assembled).featureImportances
     rows = [(c, float(importances[i])) for i, c in enumerate(spec.features)]
     schema = "feature string, importance double"
@@ -115,8 +125,7 @@ def train_step_classifier(
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
         F.col(label).cast("double").alias("__y"),
     )
-    # Fitting passes over its input several times; the rows are prepared once and written.
-    return Pipeline(stages=[assembler, model]).fit(materialise(rows, "training-rows"))
+    return Pipeline(stages=[assembler, model]).fit(_training_rows(rows, "training-rows"))
 
 
 def score(panel: DataFrame, model: PipelineModel, output: str = "score") -> DataFrame:
@@ -154,29 +163,71 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).parquet(path)
 
 
-def _folder(spark: SparkSession, path: str):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+# Fixed value: the name of a version's folder, by which models saved earlier are found.
+VERSION, STAMP = "version_", "%Y%m%d%H%M%S"
+_MANIFEST = "_manifest.json"
+
+
+def _lengths(spark: SparkSession, path: str) -> dict[str, int]:
+    return {name: n for name, n in folders.files(spark, path) if not name.rpartition("/")[2].startswith(("_", "."))}
+
+
+def _contents(spark: SparkSession, path: str) -> dict[str, list]:
+    """Length and SHA-256 of each data file of a model; the files are read by Spark, a few rows come to the driver."""
+    lengths = _lengths(spark, path)
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    found = read.select(F.col("path"), F.sha2("content", 256).alias("digest")).collect()
+    at, fs = folders.place(spark, path)
+    top = fs.makeQualified(at).toUri().getPath().rstrip("/") + "/"
+    digests = {r["path"].partition(top)[2]: r["digest"] for r in found}
+    return {name: [n, digests.get(name)] for name, n in lengths.items()}
 
 
 def save_model_version(spark: SparkSession, model, base: str, at: datetime | None = None) -> str:
-    """Save a fitted model as ``<base>/version_<yyyymmddHHMMSS>`` and return that path."""
-    stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d%H%M%S")
-    path = f"{base.rstrip('/')}/version_{stamp}"
-    model.write().save(path)
-    return path
+    """Publish a fitted model as ``<base>/version_<yyyymmddHHMMSS>`` and return that path.
+
+    The model is written under a hidden name, with a manifest of its files, and renamed when it is whole, so a version is there
+    or not. Of two writers in one second the later one's version gets a number behind its name, and sorts after the other's.
+    """
+    base = base.rstrip("/")
+    stamp = VERSION + (at or datetime.now(timezone.utc)).strftime(STAMP)
+    hidden = f"{base}/.{stamp}-{uuid.uuid4().hex}"
+    model.write().save(hidden)
+    folders.write_text(spark, f"{hidden}/{_MANIFEST}", json.dumps(_contents(spark, hidden)))
+    for i in range(1000):
+        name = stamp if not i else f"{stamp}_{i:03d}"
+        # Only one writer can make the mark of a name.
+        if not folders.exists(spark, f"{base}/{name}") and folders.claim(spark, f"{base}/.{name}.taken"):
+            if folders.rename(spark, hidden, f"{base}/{name}"):
+                return f"{base}/{name}"
+    raise OSError(f"cannot publish {hidden}")
+
+
+def is_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a version has all files of its manifest, unchanged.
+
+    A version from before there were manifests is whole if its own writer finished: the metadata, and those of each stage of a pipeline.
+    """
+    if folders.exists(spark, f"{path}/{_MANIFEST}"):
+        told = json.loads(folders.read_text(spark, f"{path}/{_MANIFEST}"))
+        return _lengths(spark, path) == {name: n for name, (n, _) in told.items()} and _contents(spark, path) == told
+    if not folders.exists(spark, f"{path}/metadata/_SUCCESS"):
+        return False
+    told = json.loads("".join(r["value"] for r in spark.read.text(f"{path}/metadata").collect()))
+    stages = told.get("paramMap", {}).get("stageUids", [])
+    finished = {name.partition("_")[2] for name in folders.names(spark, f"{path}/stages") if folders.exists(spark, f"{path}/stages/{name}/metadata/_SUCCESS")}
+    return set(stages) <= finished
 
 
 def latest_model_version(spark: SparkSession, base: str) -> str:
-    """The version folder with the greatest name; an error if the folder or a version is missing."""
-    at, fs = _folder(spark, base)
-    if not fs.exists(at):
+    """The whole version with the greatest name; unfinished and damaged ones are passed over. An error if there is none."""
+    base = base.rstrip("/")
+    if not folders.exists(spark, base):
         raise FileNotFoundError(f"no model folder {base}")
-    names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
-    versions = sorted(n for n in names if n.startswith("version_"))
-    if not versions:
-        raise FileNotFoundError(f"no model versions in {base}")
-    return f"{base.rstrip('/')}/{versions[-1]}"
+    for name in reversed([n for n in folders.names(spark, base) if n.startswith(VERSION)]):
+        if is_whole(spark, f"{base}/{name}"):
+            return f"{base}/{name}"
+    raise FileNotFoundError(f"no model versions in {base}")
 
 
 def load_latest_model(spark: SparkSession, base: str) -> PipelineModel:

@@ -555,6 +555,7 @@ ORACLE["stream_alarms"] = ctes(
 
 ORACLE["select_features"] = "SELECT 'p_total' AS feature"
 ORACLE["step_classifier_auc"] = ctes(ORDERS_SQL) + "SELECT DISTINCT split, true AS ranked FROM o"
+ORACLE["recurrent_classifier"] = ctes(ORDERS_SQL) + "SELECT DISTINCT split, true AS network_ranks, true AS windows_do_not FROM o"
 ORACLE["logistic_coefficients"] = """WITH r AS (
   SELECT o_totalprice > 150000 AS x, o_custkey % 3 = 0 OR (o_totalprice > 150000 AND o_orderkey % 2 = 0) AS y FROM orders
 ), o AS (SELECT x, ln(count(*) FILTER (y) / count(*) FILTER (NOT y)) AS odds FROM r GROUP BY x)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 import numpy as np
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelweave.operators import drift, encode, evaluate, history, sequences, split, stats
-from panelweave.plans import batch, learn, prepare, score
+from panelweave.plans import batch, learn, prepare, recurrent, score
 from panelweave.sources import files, folders
 from panelweave.sources.schema import HOUR
 from panelweave.spec import PanelSpec
@@ -591,6 +593,38 @@ def step_classifier_auc(spark, sf_dir):
     return spark.createDataFrame(found, "split string, ranked boolean")
 
 
+@query
+def recurrent_classifier(spark, sf_dir):
+    """Held-out ranking of a planted signal, seven rows old or older: the network sees it, windows of six rows do not."""
+    mark = (F.col("event_id") % 41 == 0).cast("double")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), "ts", "event_id", mark.alias("mark"), (F.col("value") / 100).alias("noise"))
+    spec = PanelSpec("id", ("ts", "event_id"), ("mark", "noise"), "label")
+    packed = sequences.to_sequences(rows.withColumn("label", F.lit(0)), spec)
+
+    def marked(first, n) -> Column:
+        return F.exists(F.slice("x", F.greatest(first, F.lit(1)), F.greatest(n, F.lit(0))), lambda v: v[0] == 1)
+
+    at = F.sequence(F.lit(1), F.col("n_steps"))
+    packed = packed.withColumn("y", F.transform(at, lambda t: marked(F.lit(1), t - 7).cast("int")))
+    packed = packed.withColumn("recent", F.transform(at, lambda t: marked(t - 5, F.least(t, F.lit(6))).cast("double")))
+    packed = materialise(split.hash_split(packed, "id", SHARES), "packed")
+    model = recurrent.fit(packed.where(is_train()), 2, hidden=16, epochs=60)
+    steps = recurrent.score(packed, model).select("id", "split", F.explode(F.arrays_zip("x", "y", "recent", "scores")).alias("s"))
+    steps = materialise(steps.select("split", "s.x", F.col("s.y").cast("double").alias("y"), "s.recent", F.col("s.scores").alias("score")), "steps")
+    seen = steps.withColumns({"mark": F.col("x")[0], "noise": F.col("x")[1]})
+    windows = learn.score(seen, learn.train_step_classifier(seen.where(is_train()), ["mark", "noise", "recent"], "y", "logreg", maxIter=20), "window")
+    windows = materialise(windows.select("split", "y", "score", "window"), "both-scores")
+
+    def area(of: DataFrame, column: str) -> float:
+        return BinaryClassificationEvaluator(rawPredictionCol=column, labelCol="y").evaluate(of)
+
+    found = []
+    for name in SHARES:
+        own = windows.where(F.col("split") == name)
+        found.append((name, area(own, "score") > 0.9, area(own, "window") < 0.7))
+    return spark.createDataFrame(found, "split string, network_ranks boolean, windows_do_not boolean")
+
+
 @query
 def logistic_coefficients(spark, sf_dir):
     """A logistic fit on one binary feature, whose coefficients are logarithms of counted odds."""
@@ -616,7 +650,12 @@ def model_versions(spark, sf_dir):
     panel, spec = prepared(spark, sf_dir)
     model = learn.train_step_classifier(panel.where(is_train()), list(spec.features), "label", "logreg")
     base = fresh_path(spark, "models")
-    learn.save_model_version(spark, model, base)
+    # Another model in the same second; then a writer that ends in the middle of a later version.
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    other = learn.train_step_classifier(panel.where(is_train()), list(spec.features[:1]), "label", "logreg", maxIter=1)
+    paths = [learn.save_model_version(spark, m, base, at) for m in (other, model)]
+    unfinished = f"{base}/{learn.VERSION}20250101000000"
+    spark.read.text(f"{paths[1]}/metadata").write.text(f"{unfinished}/metadata")
     fresh = learn.score(panel, model).select("id", "event_id", "score")
     loaded = learn.score(panel, learn.load_latest_model(spark, base)).select("id", "event_id", "score")
     both = evaluate.join_scores(fresh.withColumnRenamed("score", "fresh"), loaded, ["id", "event_id"])

@@ -93,3 +93,27 @@ def test_scoring_keeps_nulls(spark):
     scored = learn.score(df, model)
     assert scored.columns == [*df.columns, "score"]
     assert scored.drop("score").exceptAll(df).count() == 0 and scored.where("score is null").count() == 0
+
+
+def test_versions_appear_whole(spark, panel, tmp_path):
+    base = str(tmp_path / "models")
+    at = datetime(2024, 5, 1)
+    model = learn.train_step_classifier(panel, ["a"], "y", "logreg", maxIter=1)
+    first, second = (learn.save_model_version(spark, model, base, at) for _ in range(2))
+    assert first != second and learn.latest_model_version(spark, base) == second
+    # A writer that ended early, in the old way and in the new one, and a file that is not what was written.
+    spark.read.text(f"{first}/metadata").write.text(f"{base}/version_20250101000000/metadata")
+    damaged = learn.save_model_version(spark, model, base, datetime(2026, 1, 1))
+    part = next((tmp_path / "models" / damaged.rpartition("/")[2] / "metadata").glob("part-*"))
+    part.write_text(part.read_text() + " ")
+    assert learn.latest_model_version(spark, base) == second
+    # As versions were saved before.
+    model.write().save(f"{base}/version_20270101000000")
+    assert learn.latest_model_version(spark, base).endswith("version_20270101000000")
+
+
+def test_no_rows_to_learn_from(panel):
+    none = panel.limit(0)
+    for fit in (lambda: learn.feature_importance(none, SPEC), lambda: learn.train_step_classifier(none, ["a"], "y")):
+        with pytest.raises(ValueError, match="no row to learn from"):
+            fit()
