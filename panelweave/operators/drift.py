@@ -92,17 +92,26 @@ def numeric_drift(
         value = F.col(c).cast("double")
         moments += [F.stddev_pop(value).alias(f"spread_{i}"), F.avg(value).alias(f"mean_{i}")]
     one = ref.agg(F.count(F.lit(1)).alias("__n"), *moments).first()
+    known = {c: (one[f"mean_{i}"], one[f"spread_{i}"]) for i, c in enumerate(columns)}
+    ref_counts, cur_counts = _counted(ref, cur, columns, by, "double")
+    return numeric_drift_of_counts(ref_counts, cur_counts, known, by, group_rows, one["__n"] + cur.count())
+
+
+def numeric_drift_of_counts(
+    ref_counts: DataFrame, cur_counts: DataFrame, known: dict[str, tuple], by: str, group_rows: int | None, at_most: int
+) -> DataFrame:
+    """``numeric_drift`` from counts: ``r`` by (column, value), ``c`` by (batch, column, value), which are read several times.
+
+    ``known`` has mean and spread of each column of the reference; ``at_most`` bounds the rows of both tables."""
     # One number per compared column.
-    spans = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, max(one[f"spread_{i}"] or 0.0, STD_FLOOR))])
-    centres = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, one[f"mean_{i}"] or 0.0)])
-    at_most = one["__n"] + cur.count()
-    large = at_most > rows_per_group(ref, at_most, group_rows)
+    spans = F.create_map(*[F.lit(x) for c, (_, spread) in known.items() for x in (c, max(spread or 0.0, STD_FLOOR))])
+    centres = F.create_map(*[F.lit(x) for c, (mean, _) in known.items() for x in (c, mean or 0.0)])
+    large = at_most > rows_per_group(ref_counts, at_most, group_rows)
 
     def settled(df: DataFrame, name: str) -> DataFrame:
         """Written where groups may be cut, as the cut reads its input several times."""
         return materialise(df, name) if large else df
 
-    ref_counts, cur_counts = _counted(ref, cur, columns, by, "double")
     # Values are taken from the reference's mean, so that running sums of them stay small.
     from_centre = F.col("value") - centres[F.col("column")]
     walked = running_totals(
@@ -198,7 +207,11 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], by
     column has two values. Values that a batch lacks enter through the reference rows that it does not meet, so only
     values that occur are joined.
     """
-    ref_counts, cur_counts = _counted(ref, cur, columns, by, "string")
+    return categorical_drift_of_counts(*_counted(ref, cur, columns, by, "string"), by)
+
+
+def categorical_drift_of_counts(ref_counts: DataFrame, cur_counts: DataFrame, by: str = "batch") -> DataFrame:
+    """``categorical_drift`` from counts: ``r`` by (column, value), ``c`` by (batch, column, value)."""
     # One row per compared column.
     whole = ref_counts.groupBy("column").agg(
         F.sum("r").alias("n_ref"), F.count(F.lit(1)).alias("ref_values"),

@@ -499,6 +499,15 @@ REPORT = (*BATCHED, *MEASURES)
 ORACLE["drift_by_batch"] = ctes(*REPORT) + (
     'SELECT batch, "column", stattest, round(score, 6) AS score, score >= 0.1 AS drifted FROM rep'
 )
+ORACLE["incremental_drift"] = ORACLE["drift_by_batch"]
+ORACLE["sketch_drift"] = ctes(*REPORT) + (
+    'SELECT batch, "column", CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, true AS wasserstein_within, true AS ks_within FROM nd'
+)
+ORACLE["merged_stats"] = ctes(EVENTS_SQL) + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS nulls, round(avg({c}), 6) AS mean, """
+    f"round(min({c})::DOUBLE, 6) AS low, round(max({c})::DOUBLE, 6) AS high, round(stddev_pop({c}), 6) AS spread FROM p WHERE split = 'train'"
+    for c in EVENT_FEATURES
+)
 ORACLE["drift_many_batches"] = ctes(
     *BATCHED[:2], "cur AS (SELECT *, (row_number() OVER (ORDER BY ts, event_id) - 1) // 100 AS batch FROM p)", *MEASURES
 ) + 'SELECT batch, "column", stattest, round(score, 6) AS score, score >= 0.1 AS drifted FROM rep'

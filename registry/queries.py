@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelweave.operators import drift, encode, evaluate, history, sequences, split, stats
+from panelweave.operators import drift, encode, evaluate, history, monitor, sequences, split, stats, summaries
 from panelweave.plans import batch, learn, prepare, recurrent, score
 from panelweave.sources import files, folders
 from panelweave.sources.schema import HOUR
@@ -771,6 +771,43 @@ def drift_by_batch_small(spark, sf_dir):
     return found.select("batch", "column", "stattest", *r6("score"), "drifted")
 
 
+@query
+def incremental_drift(spark, sf_dir):
+    """Drift from stored counts, to which batches were added one by one, and one of them twice."""
+    ref, cur = batched(spark, sf_dir)
+    path = fresh_path(spark, "monitor")
+    known, store = (monitor.CountStore(spark, f"{path}/{n}", KINDS) for n in ("reference", "batches"))
+    known.add(ref, 0)
+    for i in [*range(BATCHES), 1]:
+        store.add(cur.where(F.col("batch") == i), i)
+    return store.drift(known).select("batch", "column", "stattest", *r6("score"), "drifted")
+
+
+SKETCH = 1600
+
+
+@query
+def sketch_drift(spark, sf_dir):
+    """Whether distances from merged quantile sketches are within their error of the exact ones."""
+    ref, cur = batched(spark, sf_dir)
+    # Sketches of parts of each side, merged.
+    parts = summaries.summarise(ref, NUMERIC, ["id"], SKETCH), summaries.summarise(cur.withColumn("part", F.col("event_id") % 4), NUMERIC, ["batch", "part"], SKETCH)
+    near = summaries.sketch_drift(summaries.merge(parts[0]), summaries.merge(parts[1], ["batch"]), SKETCH)
+    exact = drift.numeric_drift(ref, cur, NUMERIC).select("batch", "column", F.col("wasserstein").alias("w"), F.col("ks").alias("d"))
+    both = near.join(exact, ["batch", "column"])
+    within = [(F.abs(F.col(a) - F.col(b)) <= F.col(f"{a}_error")).alias(f"{a}_within") for a, b in (("wasserstein", "w"), ("ks", "d"))]
+    return both.select("batch", "column", "n_ref", "n_cur", *within)
+
+
+@query
+def merged_stats(spark, sf_dir):
+    """Statistics for scaling, merged from summaries of the training entities' days."""
+    panel = events_panel(spark, sf_dir).where(is_train()).withColumn("day", F.to_date("ts"))
+    merged = summaries.merge(summaries.summarise(panel, EVENT_FEATURES, ["day"]))
+    spread = F.sqrt(F.try_divide("m2", "n")).alias("spread")
+    return merged.select("column", "n", "nulls", *r6("mean", "low", "high"), spread).select("column", "n", "nulls", "mean", "low", "high", *r6("spread"))
+
+
 @query
 def drift_many_batches(spark, sf_dir):
     """All events, in batches of 100 rows, against the reference."""
