@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.skew import rows_per_group, running_totals, same_keys
+from panelweave.operators.skew import SEGMENT, cut_hot_groups, rows_per_group, running_totals, same_keys
 from panelweave.workspace import materialise
 
 # Defaults of the drift report.
@@ -58,19 +58,20 @@ def _with_size(df: DataFrame, counts: DataFrame, by: str) -> DataFrame:
 
 
 def _as_of(
-    rows: DataFrame, known: DataFrame, at: str, carried: Sequence[str], group_rows: int | None, at_most: int
+    rows: DataFrame, known: DataFrame, at: str, carried: Sequence[str], group_rows: int | None, at_most: int, cut: bool = False
 ) -> DataFrame:
     """Give each row the ``carried`` columns of the last known row of its column whose ``at`` is not greater (null if none).
 
-    Known rows go into the sort once, whatever the number of batches.
+    Known rows go into the sort once, whatever the number of batches. With ``cut`` both sides have the segments of one sort by ``at``.
     """
+    segment = [SEGMENT] if cut else []
     both = rows.withColumn("__side", F.lit(1)).unionByName(
-        known.select("column", at, *carried, F.lit(0).alias("__side")), allowMissingColumns=True
+        known.select("column", at, *carried, *segment, F.lit(0).alias("__side")), allowMissingColumns=True
     )
-    ties = [c for c in rows.columns if c not in ("column", at)]
+    ties = [c for c in rows.columns if c not in ("column", at, SEGMENT)]
     found = running_totals(
         both, ["column"], [at, "__side", *ties], {}, latest={f"at_{c}": c for c in carried},
-        group_rows=group_rows, at_most=at_most,
+        group_rows=group_rows, at_most=at_most, cut=both if cut else None,
     )
     return found.where("__side = 1").select(*rows.columns, *[f"at_{c}" for c in carried])
 
@@ -112,11 +113,20 @@ def numeric_drift_of_counts(
         """Written where groups may be cut, as the cut reads its input several times."""
         return materialise(df, name) if large else df
 
+    # One sort by value gives reference and batches the same segments, for the first three walks.
+    both = ref_counts.select("column", "value", "r").unionByName(cur_counts.select(by, "column", "value", "c"), allowMissingColumns=True)
+    cut = cut_hot_groups(both, ["column"], ["value"], group_rows, at_most) if large else None
+    segment = [] if cut is None else [SEGMENT]
+    walked_counts, placed_counts = ref_counts, cur_counts
+    if cut is not None:
+        walked_counts = cut.where(F.col("r").isNotNull()).select("column", "value", "r", SEGMENT)
+        placed_counts = cut.where(F.col("c").isNotNull()).select(by, "column", "value", "c", SEGMENT)
     # Values are taken from the reference's mean, so that running sums of them stay small.
     from_centre = F.col("value") - centres[F.col("column")]
+    moments = walked_counts.withColumn("moment", F.col("r") * from_centre)
     walked = running_totals(
-        ref_counts.withColumn("moment", F.col("r") * from_centre), ["column"], ["value"],
-        {"upto": "r", "moment_upto": "moment"}, group_rows=group_rows, at_most=at_most,
+        moments, ["column"], ["value"], {"upto": "r", "moment_upto": "moment"},
+        group_rows=group_rows, at_most=at_most, cut=moments if segment else None,
     ).withColumn("here", F.col("value"))
     walked = settled(walked.withColumn("below", F.col("upto") - F.col("r")), "reference-sums")
 
@@ -124,17 +134,18 @@ def numeric_drift_of_counts(
     def area(value: Column, upto: Column, moment: Column) -> Column:
         return (value - centres[F.col("column")]) * upto - moment
 
-    placed = _as_of(cur_counts, walked, "value", ["here", "upto", "below", "moment_upto"], group_rows, at_most)
+    placed = _as_of(placed_counts, walked, "value", ["here", "upto", "below", "moment_upto"], group_rows, at_most, bool(segment))
     upto = F.coalesce("at_upto", F.lit(0))
     placed = settled(placed.select(
         by, "column", "value", "c", upto.alias("upto"),
         F.when(F.col("at_here") == F.col("value"), F.col("at_below")).otherwise(upto).alias("below"),
-        area(F.col("value"), upto, F.coalesce("at_moment_upto", F.lit(0.0))).alias("area"),
+        area(F.col("value"), upto, F.coalesce("at_moment_upto", F.lit(0.0))).alias("area"), *segment,
     ), "batch-values")
     steps = running_totals(
         placed, [by, "column"], ["value"], {"c_upto": "c"},
         {"next": "value", "next_area": "area", "next_below": "below"}, group_rows=group_rows, at_most=at_most,
-    )
+        cut=placed if segment else None,
+    ).drop(*segment)
     # One row per compared column.
     whole = ref_counts.groupBy("column").agg(
         F.sum("r").alias("n_ref"), F.max("value").alias("top"), F.sum(F.col("r") * from_centre).alias("top_moment")

@@ -151,7 +151,9 @@ def fit(
     x: str = "x", y: str = "y",
 ) -> StepModel:
     """Fit on sequences as ``operators.sequences.to_sequences`` packs them; each epoch is one pass over them."""
-    rows = materialise(packed.select(x, y), "training-sequences")
+    # Every epoch is one pass, so all cores share it, however few files the sequences came in.
+    parts = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialise(packed.select(x, y).repartition(parts), "training-sequences")
     model = start(inputs, hidden, seed)
     loss, slope = _totals(rows, model, truncate)
     losses, first, second, steps = [loss], 0.0, 0.0, 0
