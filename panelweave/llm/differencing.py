@@ -1,11 +1,15 @@
 """Shards of nearly equal bytes by Karmarkar-Karp differencing.
 
 The partial partition with the largest spread is combined with the one next to it, the largest sum of one joined to the
-smallest of the other, until one is left. This runs in three steps of one rule: over the groups of a chunk, over the
-chunks of a task, and over the tasks on the driver, which gets ``shards`` numbers a task and nothing of the groups.
+smallest of the other, until one is left. This runs in three steps of one rule: over the groups of a chunk, over ``FAN``
+chunks, and over these on the driver, which gets ``shards`` numbers for each ``FAN`` chunks and nothing of the groups.
 
-A group is all rows of one text and stays whole, however large; its rows are counted by each task before the shuffle.
-Nulls are a group of their own, of size 1 a row. Rows that are alike in all columns are told apart by number only.
+A group is all rows of one text and stays whole, however large; its rows are counted by each task before the shuffle. Its chunk
+follows from its digest and the number of groups, and in a chunk groups are taken by size and digest, so shards depend on the rows
+alone, not on how they are partitioned or in which order they come. Groups of equal size are taken in the order of their digests.
+
+Nulls are a group of their own, of size 1 a row, apart from that of empty texts. Rows that are alike in all columns are told apart by
+slot only. A text of any length is hashed where it is read; an empty table gives no rows. Columns other than the two are not read.
 """
 
 from __future__ import annotations
@@ -14,14 +18,16 @@ import heapq
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelweave.workspace import materialise
 
-#: Groups that one differencing run holds at a time.
+#: Groups that one differencing run holds at a time, about; chunks are dealt by digest.
 CHUNK = 1 << 16
+#: Chunks that are combined by one task.
+FAN = 1 << 10
 
 
 def difference(vectors: Sequence[Sequence[int]], shards: int) -> tuple[list[int], list[list[int]]]:
@@ -63,30 +69,41 @@ def difference(vectors: Sequence[Sequence[int]], shards: int) -> tuple[list[int]
     return sums[-1], went
 
 
+def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each chunk, from frames sorted by chunk."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        for chunk, part in frame.groupby("chunk", sort=False):
+            if held and held[0]["chunk"].iloc[0] != chunk:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _spread(shards: int):
-    """Give each group of a partition a part of its chunk; after them, where the parts of each chunk went."""
+    """Give each group a part of its chunk; after them, the size of each part (``group`` null)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task = TaskContext.get().partitionId()
-        chunk_sums = []
-
-        def parts(groups: pd.DataFrame) -> pd.DataFrame:
+        for groups in _chunks(frames):
             sums, went = difference([[size] + [0] * (shards - 1) for size in groups["size"].tolist()], shards)
-            chunk_sums.append(sums)
-            return groups.assign(task=task, chunk=len(chunk_sums) - 1, part=[w[0] for w in went], at=-1)
-
-        held: list[pd.DataFrame] = []
-        for frame in frames:
-            held.append(frame)
-            while sum(map(len, held)) >= CHUNK:
-                rows = pd.concat(held, ignore_index=True)
-                yield parts(rows[:CHUNK])
-                held = [rows[CHUNK:]]
-        if held and sum(map(len, held)):
-            yield parts(pd.concat(held, ignore_index=True))
-        _, went = difference(chunk_sums, shards)
-        rows = [(None, s, task, c, p, went[c][p]) for c, sums in enumerate(chunk_sums) for p, s in enumerate(sums)]
-        yield pd.DataFrame(rows, columns=["group", "size", "task", "chunk", "part", "at"])
+            yield groups.assign(part=[w[0] for w in went])
+            rows = [(None, size, groups["chunk"].iloc[0], part) for part, size in enumerate(sums)]
+            yield pd.DataFrame(rows, columns=["group", "size", "chunk", "part"])
+
+    return run
+
+
+def _combine(shards: int):
+    """For each part of the chunks of one fan, where it went and the size of what it is in there."""
+
+    def run(chunks: pd.DataFrame) -> pd.DataFrame:
+        wide = chunks.sort_values(["chunk", "part"])
+        names = wide["chunk"].unique().tolist()
+        sums, went = difference(wide["size"].to_numpy().reshape(-1, shards).tolist(), shards)
+        rows = [(int(chunks["fan"].iloc[0]), c, p, to, sums[to]) for c, w in zip(names, went) for p, to in enumerate(w)]
+        return pd.DataFrame(rows, columns=["fan", "chunk", "part", "at", "size"])
 
     return run
 
@@ -102,20 +119,26 @@ def shard_by_bytes(docs: DataFrame, shards: int, key: str = "doc_id", text: str
         F.crc32(F.encode(plain, "UTF-8")).alias("text_crc32"),
         group.alias("group"),
     )
-    groups = rows.groupBy("group").agg(F.sum("size").alias("size"))
-    schema = "group binary, size long, task int, chunk int, part int, at int"
-    spread = materialise(groups.mapInPandas(_spread(shards), schema), "shard-groups")
-
-    # One sum for each task and part, whatever the number of groups.
-    tasks: dict[int, list[int]] = {}
-    for r in spread.where("at >= 0").groupBy("task", "at").agg(F.sum("size").alias("size")).collect():
-        tasks.setdefault(r["task"], [0] * shards)[r["at"]] = r["size"]
-    names = sorted(tasks)
-    _, went = difference([tasks[t] for t in names], shards)
-    last = [(t, p, went[i][p]) for i, t in enumerate(names) for p in range(shards)]
-    to_shard = spark.createDataFrame(last, "task int, at int, shard int")
-    parts = spread.where("at >= 0").select("task", "chunk", "part", "at").join(F.broadcast(to_shard), ["task", "at"])
-    placed = spread.where("at < 0").select("group", "task", "chunk", "part").join(parts, ["task", "chunk", "part"])
+    groups = materialise(rows.groupBy("group").agg(F.sum("size").alias("size")), "shard-groups")
+    n_chunks = -(-groups.count() // CHUNK)
+    if not n_chunks:
+        return docs.sparkSession.createDataFrame([], T.StructType([docs.schema[key], *T.StructType.fromDDL("size long, text_crc32 long, shard int, slot long")]))
+    # Digests are even, so chunks are; a bit string of 13 hexadecimal digits is a long.
+    chunk = F.pmod(F.conv(F.substring(F.hex("group"), 1, 13), 16, 10).cast("long"), F.lit(n_chunks)).cast("int")
+    dealt = groups.withColumn("chunk", chunk).repartition("chunk").sortWithinPartitions("chunk", F.desc("size"), "group")
+    spread = materialise(dealt.mapInPandas(_spread(shards), "group binary, size long, chunk int, part int"), "shard-parts")
+
+    fans = spread.where("group is null").select((F.floor(F.col("chunk") / FAN)).cast("int").alias("fan"), "chunk", "part", "size")
+    combined = materialise(fans.groupBy("fan").applyInPandas(_combine(shards), "fan int, chunk int, part int, at int, size long"), "shard-fans")
+    # One sum for each fan and part: as many numbers as shards for some 64 million groups.
+    sums: dict[int, list[int]] = {}
+    for r in combined.select("fan", "at", "size").distinct().collect():
+        sums.setdefault(r["fan"], [0] * shards)[r["at"]] = r["size"]
+    names = sorted(sums)
+    _, went = difference([sums[f] for f in names], shards)
+    to_shard = spark.createDataFrame([(f, p, went[i][p]) for i, f in enumerate(names) for p in range(shards)], "fan int, at int, shard int")
+    parts = combined.select("fan", "chunk", "part", "at").join(F.broadcast(to_shard), ["fan", "at"]).select("chunk", "part", "shard")
+    placed = spread.where("group is not null").join(parts, ["chunk", "part"])
     dealt = materialise(rows.join(placed.select("group", "shard"), "group").drop("group"), "shard-rows")
 
     # Numbers within a shard: within buckets of it, after the rows of the buckets before.

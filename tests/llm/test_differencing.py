@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -68,5 +69,34 @@ def test_a_group_with_a_third_of_all_rows(spark):
     assert len(own) == 1
 
 
+@pytest.mark.parametrize("chunk, fan", [(1 << 16, 1 << 10), (50, 3)])
+def test_shards_do_not_depend_on_partitions(spark, monkeypatch, chunk, fan):
+    monkeypatch.setattr(differencing, "CHUNK", chunk)
+    monkeypatch.setattr(differencing, "FAN", fan)
+    docs = documents(spark)
+    found = [sorted((r["doc_id"], r["shard"]) for r in rows_of(differencing.shard_by_bytes(d, 8))) for d in (docs, docs.repartition(5), docs.orderBy("n_chars").coalesce(2))]
+    assert found[0] == found[1] == found[2]
+
+
+def test_shards_of_a_plain_version(spark):
+    """One chunk: the groups by size and digest, differenced at once."""
+    docs = odd_documents(spark)
+    groups = {}
+    for r in docs.select("text").collect():
+        raw = None if r["text"] is None else r["text"].encode()
+        groups.setdefault(b"\x00" if raw is None else hashlib.sha256(raw).digest(), []).append(len(raw or b"") + 1)
+    order = sorted(groups, key=lambda g: (-sum(groups[g]), g))
+    _, went = differencing.difference([[sum(groups[g])] + [0] * 3 for g in order], 4)
+    want = {g: w[0] for g, w in zip(order, went)}
+    sizes = Counter()
+    for g, shard in want.items():
+        sizes[shard] += sum(groups[g])
+    got = Counter()
+    for r in rows_of(differencing.shard_by_bytes(docs, 4)):
+        got[r["shard"]] += r["size"]
+    # The chunks' parts go through two more differencings, which only name the shards anew.
+    assert sorted(sizes.values()) == sorted(got.values())
+
+
 def test_empty_table(spark):
     assert differencing.shard_by_bytes(documents(spark).limit(0), 4).count() == 0
