@@ -24,20 +24,31 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _ROLL = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+# The published limits for long web pages.
+LONG_TOP = ((2, 0.20), (3, 0.18), (4, 0.16))
+LONG_REPEATED = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.10))
+
+
 @dataclass(frozen=True)
 class Rules:
     """Largest shares that a kept text may have.
 
     ``top``: characters in the occurrences of the most frequent n-gram, by n. ``repeated``: characters covered by
     n-grams that occurred before, by n. Lines: those equal to an earlier line, and their characters. ``symbols``: symbol
-    characters a word. ``min_words`` and ``max_repeat_percent`` are the base rule.
+    characters a word. ``min_words`` and ``max_repeat_percent`` are the base rule. Texts of ``long_words`` words and more
+    are held to the limits named ``long_``; shorter ones, which one line that stands twice would carry past these, to the others.
+    Both have the same lengths of n-grams.
     """
 
-    # The published limits for long web pages would reject a short text for one line that stands twice.
     top: tuple[tuple[int, float], ...] = ((2, 0.25), (3, 0.25), (4, 0.25))
     repeated: tuple[tuple[int, float], ...] = ((5, 0.25), (6, 0.25), (7, 0.25), (8, 0.25), (9, 0.25), (10, 0.25))
     lines: float = 0.40
     line_chars: float = 0.30
+    long_words: int = 1000
+    long_top: tuple[tuple[int, float], ...] = LONG_TOP
+    long_repeated: tuple[tuple[int, float], ...] = LONG_REPEATED
+    long_lines: float = 0.30
+    long_line_chars: float = 0.20
     symbols: float = 0.10
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -92,7 +103,9 @@ def _measure_block(block: W.Block, rules: Rules) -> dict[str, np.ndarray]:
     ends = np.cumsum(count)[found.text] if len(hashed) else np.zeros(0, np.int64)
     upto = np.append(0, np.cumsum(size))
     place, rolled = np.arange(len(hashed)), hashed
-    tops, shares = dict(rules.top), dict(rules.repeated)
+    long = count >= rules.long_words
+    tops = {k: np.where(long, dict(rules.long_top)[k], v) for k, v in rules.top}
+    shares = {k: np.where(long, dict(rules.long_repeated)[k], v) for k, v in rules.repeated}
     worst_top = np.zeros(n)
     out["n_repeat_words"] = np.zeros(n, np.int64)
 
@@ -101,7 +114,8 @@ def _measure_block(block: W.Block, rules: Rules) -> dict[str, np.ndarray]:
         return np.flatnonzero(np.cumsum(step)[:-1] > 0)
 
     passes = out["n_symbols"] <= rules.symbols * count
-    passes &= (out["dup_line_share"] <= rules.lines) & (out["dup_line_char_share"] <= rules.line_chars)
+    passes &= out["dup_line_share"] <= np.where(long, rules.long_lines, rules.lines)
+    passes &= out["dup_line_char_share"] <= np.where(long, rules.long_line_chars, rules.line_chars)
     for length in range(2, max([3, *tops, *shares]) + 1):
         inside = place + length <= ends[place]
         place, rolled = place[inside], rolled[inside]

@@ -14,7 +14,9 @@ def plain(text):
     out["n_dup_lines"] = len(again)
     line_share = len(again) / max(len(lines), 1)
     char_share = sum(map(len, again)) / max(len(text or ""), 1)
-    passes = line_share <= rules.lines and char_share <= rules.line_chars and out["n_symbols"] <= rules.symbols * len(found)
+    long = len(found) >= rules.long_words
+    passes = line_share <= (rules.long_lines if long else rules.lines) and char_share <= (rules.long_line_chars if long else rules.line_chars)
+    passes = passes and out["n_symbols"] <= rules.symbols * len(found)
 
     def grams(n):
         return [tuple(found[i : i + n]) for i in range(len(found) - n + 1)]
@@ -22,10 +24,10 @@ def plain(text):
     triples = grams(3)
     count = Counter(triples)
     out["n_repeat_words"] = len({i + k for i, g in enumerate(triples) if count[g] > 1 for k in range(3)})
-    for n, limit in rules.top:
+    for n, limit in rules.long_top if long else rules.top:
         count = Counter(grams(n))
         passes &= max((c * sum(map(len, g)) for g, c in count.items() if c > 1), default=0) / total <= limit
-    for n, limit in rules.repeated:
+    for n, limit in rules.long_repeated if long else rules.repeated:
         seen, inside = set(), set()
         for i, g in enumerate(grams(n)):
             if g in seen:
@@ -57,6 +59,17 @@ def test_documents(spark):
     agree(documents(spark))
 
 
+def test_limits_are_looser_for_short_texts_only(spark):
+    """A sixth of the words in repeated runs: a long page goes, a short one stays."""
+    long = " ".join([*(f"a{i}" for i in range(400)), *(f"b{i}" for i in range(4000)), *(f"a{i}" for i in range(400)), *(f"a{i}" for i in range(400))])
+    short = " ".join([*(f"a{i}" for i in range(20)), *(f"b{i}" for i in range(100)), *(f"a{i}" for i in range(20))])
+    docs = spark.createDataFrame([(4, long), (5, short), (3, " ".join(f"w{i}" for i in range(5000)))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows_of(repetition.measure(docs))}
+    assert 0.1 < got[4]["repeated_10_share"] < 0.25 and 0.1 < got[5]["repeated_10_share"] < 0.25
+    assert [got[i]["kept"] for i in (3, 4, 5)] == [True, False, True]
+    agree(docs)
+
+
 def test_keep_returns_whole_rows(spark):
     docs = documents(spark).unionByName(odd_documents(spark), allowMissingColumns=True)
     measured = repetition.measure(docs).where("kept").select("doc_id")
