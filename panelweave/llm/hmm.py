@@ -9,9 +9,9 @@ rare to crowd a task. The likelihood of a text is exact: the scaled forward recu
 Training cuts texts into sequences of ``SEQUENCE`` tokens, so a sweep over many of them at once stays in numpy; scoring
 never cuts. Words are told apart by 64-bit hashes.
 
-A null or empty text is its end alone. A null id is taken as the empty text when training rows are picked. Repeated rows
+A null or empty text is its end alone. Ids are numbers; a null id is taken as the empty text when training rows are picked. Repeated rows
 count as often as they stand there and are scored alike. Without training rows every word is unknown and states are uniform.
-Columns other than id and text are not read.
+An empty table gives no rows, and a very long text is scored whole. Columns other than id and text are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Likeness is the share of bins that agree among those that either text has: an es
 the phrase sets. Equal texts have equal fingerprints, and two empty texts a likeness of 1.
 
 Null text: empty. A lone document is its own next one. Null ids come last in descending order, rows of one id in the
-order of their texts. Rows repeated wholly have equal results. Columns other than id and text are not read.
+order of their texts. Rows repeated wholly have equal results. Ids are numbers. Texts of any length are parsed whole. An empty table
+gives no rows. Columns other than id and text are not read.
 """
 
 from __future__ import annotations

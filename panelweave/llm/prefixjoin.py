@@ -19,7 +19,7 @@ one group is.
 
 Set digests and gram hashes have 64 bits: n texts give about n * n / 2**65 false equal sets (0.03 at 10**9).
 
-A null or empty text has no set and links with nothing. Documents without an id are in no group (``component_id`` null).
+A null or empty text has no set and links with nothing. Ids are numbers. Documents without an id are in no group (``component_id`` null).
 Rows repeated under one id are alike in group. Columns other than id and text are not read. Empty tables give empty results.
 """
 

@@ -16,6 +16,7 @@ them is the one pass over the documents, summed in each task before the shuffle.
 
 A null category is a category of its own. A category without a target keeps no document; targets without documents are left out and
 the others scaled to 1. A null or empty text has no tokens and goes with its cell; a cell without tokens keeps its documents.
+An empty table gives no rows.
 Documents without an id are drawn by the empty text. Rows repeated under one id are drawn alike. ``draw`` keeps all
 columns as they came.
 """

@@ -13,8 +13,9 @@ The field is trained on the base of the whole table: labelled tokens are counted
 labels, and the pseudo-likelihood of the ``PATTERNS`` most frequent of these is maximised on the driver. Part of each
 pattern's weight is trained with its exact shape hidden, so that neighbours and ties count where a shape is new.
 
-Patterns are searched in time linear in the text. Null text: empty, no spans. Repeated rows are searched alike. Columns
-other than id and text are read by ``mask`` only, which returns all columns as they came.
+Patterns are searched in time linear in the text. Of a token of more than 200 characters, the exact shape (one of its features) is that
+of its first 200; its coarse kind, its ties and its spans are of all of it. Null text: empty, no spans. Repeated rows are searched alike. An
+empty table gives no rows. Columns other than id and text are read by ``mask`` only, which returns all columns as they came.
 """
 
 from __future__ import annotations

@@ -125,7 +125,6 @@ def test_empty_table(spark):
     assert merkle.manifest(documents(spark).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
-def test_query(spark, sf_dir):
+def test_query(spark, sf_dir="/root/testdata/sf0.001"):
     got = queries.op13_timeforward(spark, sf_dir)
     assert difference(got, connect(sf_dir), queries.ORACLE["op13_timeforward"]) is None

@@ -74,7 +74,14 @@ def test_query(spark, name):
     if name in queries.ORACLE:
         assert difference(df, connect(SF_DIR), queries.ORACLE[name]) is None
     else:
-        assert df.count() == spark.read.parquet(f"{SF_DIR}/{'pages' if name.startswith('op8') else 'documents'}.parquet").count()
+        rows, key = ("pages", "page_id") if name.startswith("op8") else ("documents", "doc_id")
+        # A long document is several pieces where sequences are packed.
+        assert df.select(key).distinct().count() == spark.read.parquet(f"{SF_DIR}/{rows}.parquet").count()
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    documents(spark).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
 def test_entry_points():

@@ -103,6 +103,5 @@ def test_bounds_leave_few_to_compare(spark):
     assert sum(r["n_compared"] for r in got) < 2 * len(got)
 
 
-@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
-def test_query(spark, sf_dir):
+def test_query(spark, sf_dir="/root/testdata/sf0.001"):
     assert difference(queries.op12_simplex(spark, sf_dir), connect(sf_dir), queries.ORACLE["op12_simplex"]) is None
