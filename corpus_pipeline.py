@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents in, tokens of the documents kept out."""
+"""The corpus pipeline: documents in, tokens of the documents kept out.
+
+Each stage treats odd rows as its operator states: a document with a null or empty text has too few words for the quality rules and goes there;
+rows repeated under one id stay or go together in the near-duplicate stage; documents of any length are worked on whole. Columns besides those
+the stages name pass through to the last one. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
