@@ -150,6 +150,13 @@ ORACLE["min_history"] = """SELECT o_custkey AS id, o_orderkey FROM orders
 QUALIFY count(*) OVER (PARTITION BY o_custkey) >= 15"""
 ORACLE["split_id_range"] = """SELECT user_id AS id, event_id,
 CASE WHEN user_id <= (SELECT max(user_id) // 2 FROM events) THEN 'train' ELSE 'test' END AS split FROM events"""
+ORACLE["stratified_split"] = ctes(
+    ORDERS_SQL, "e AS (SELECT id, max(label) AS stratum, CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 13) AS BIGINT) AS draw FROM o GROUP BY id)",
+    "r AS (SELECT id, row_number() OVER (PARTITION BY stratum ORDER BY draw, id) AS place, count(*) OVER (PARTITION BY stratum) AS n FROM e)",
+) + (
+    "SELECT id, o_orderkey, label, CASE WHEN place <= floor(n * 0.60 + 0.5) THEN 'train' WHEN place <= floor(n * 0.85 + 0.5) THEN 'test' "
+    "ELSE 'valid' END AS split FROM o JOIN r USING (id)"
+)
 ORACLE["hash_split"] = """SELECT o_custkey, o_orderkey,
 CASE WHEN e < 60 THEN 'train' WHEN e < 80 THEN 'test' ELSE 'valid' END AS entity_split,
 CASE WHEN r < 67 THEN 'train' ELSE 'test' END AS row_split

@@ -228,6 +228,16 @@ def hash_split(spark, sf_dir):
     return by_row.withColumnRenamed("split", "row_split")
 
 
+PARTS = {"train": 60, "test": 25, "valid": 15}
+
+
+@query
+def stratified_split(spark, sf_dir):
+    """Every order with the part of its customer; parts have exact shares of customers with and without an order of the label."""
+    orders = orders_panel(spark, sf_dir).drop("split")
+    return split.stratified_split(orders.select("id", "o_orderkey", "label"), "id", "label", PARTS)
+
+
 # ---- aggregates
 
 

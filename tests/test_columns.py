@@ -139,3 +139,27 @@ def test_segments_do_not_change_the_preparation(spark, variant):
     plain, cut = made
     assert plain.count() == cut.count() > 0
     assert plain.exceptAll(cut).count() == 0
+
+
+@pytest.mark.parametrize("cells", [1, 8, 4096])
+def test_stratified_parts_have_exact_shares(spark, monkeypatch, cells):
+    monkeypatch.setattr(split, "_CELLS", cells)
+    rows = [(i if i else None, i % 5 == 0 if i % 11 else None) for i in range(533)]
+    entities = spark.createDataFrame(rows, "id long, stratum boolean")
+    weights = {"train": 60, "test": 25, "valid": 15}
+    found = [split.stratified_parts(e, "id", "stratum", weights) for e in (entities, entities.repartition(7))]
+    assert found[0].exceptAll(found[1]).count() == 0 and found[0].count() == 533
+    sizes = {(r["stratum"], r["split"]): r["count"] for r in found[0].groupBy("stratum", "split").count().collect()}
+    for stratum in (True, False, None):
+        n = sum(s == stratum for _, s in rows)
+        for name, weight in weights.items():
+            assert abs(sizes[stratum, name] - n * weight / 100) <= 1
+
+
+def test_stratified_split_keeps_entities_together(spark):
+    df = spark.createDataFrame([(i % 40 if i % 40 else None, i, 1 if i % 40 < 10 and i > 100 else 0 if i % 3 else None) for i in range(400)], "id long, k long, y int")
+    got = split.stratified_split(df, "id", "y", {"a": 1, "b": 1})
+    assert got.drop("split").exceptAll(df).count() == 0 and got.count() == df.count()
+    parts = got.select("id", "split").distinct().collect()
+    assert len(parts) == 40 and sum(r["split"] == "a" for r in parts) == 20
+    assert split.stratified_split(df.limit(0), "id", "y", {"a": 1}).count() == 0
