@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -136,6 +138,50 @@ def score(panel: DataFrame, model: PipelineModel, output: str = "score") -> Data
     return scored.select("__row.*", F.get(vector_to_array("probability"), F.lit(1)).alias(output))
 
 
+def exchanged(df: DataFrame, keys: Sequence[str], columns: Sequence[str], by: str, cell_rows: int = 1000) -> DataFrame:
+    """``df`` with ``<column>__other``: the value of another row of the same part, for each column.
+
+    Rows are dealt into cells of about ``cell_rows`` by a hash of their key, and in a cell each row takes the value of the next one in
+    an order by another hash, the last one that of the first. No sort goes beyond a cell, and the same rows are exchanged under
+    any partitioning as long as keys are unique.
+    """
+    cells = max(1, df.count() // cell_rows)
+    dealt = df.withColumn("__cell", F.pmod(F.xxhash64(*keys), F.lit(cells)))
+    made = []
+    for i, c in enumerate(columns):
+        order = Window.partitionBy(by, "__cell").orderBy(F.xxhash64(*keys, F.lit(i)), *keys)
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # In a struct, so that a null value is not taken for the end of the cell.
+        following = F.coalesce(F.lead(F.struct(c)).over(order), F.first(F.struct(c)).over(whole))
+        made.append(following[c].alias(f"{c}__other"))
+    return dealt.select(*df.columns, *made)
+
+
+def permutation_importance(
+    panel: DataFrame, model: PipelineModel, keys: Sequence[str], label: str, by: str = "split", cell_rows: int = 1000
+) -> DataFrame:
+    """(by, feature, loss, importance): the mean negative log-likelihood of the labels, and how much it rises when the values of one
+    feature are exchanged between rows of the same part. A constant feature has exactly 0. Rows without a label are left out."""
+    features = list(model.stages[0].getInputCols())
+    known = panel.where(F.col(label).isNotNull()).select(by, *keys, F.col(label).cast("double").alias("__y"), *features)
+    wide = materialise(exchanged(known, keys, features, by, cell_rows), "exchanged")
+
+    def loss(of: DataFrame, feature: str | None) -> DataFrame:
+        chance = F.least(F.greatest(F.col("__score"), F.lit(1e-15)), F.lit(1 - 1e-15))
+        value = -(F.col("__y") * F.ln(chance) + (1 - F.col("__y")) * F.ln(1 - chance))
+        # Rounded, so that sums of the same numbers in another order are the same.
+        mean = F.round(F.avg(value), 12).alias("loss")
+        return score(of, model, "__score").groupBy(by).agg(mean).withColumn("feature", F.lit(feature).cast("string"))
+
+    parts = [loss(wide, None)]
+    for c in features:
+        parts.append(loss(wide.drop(c).withColumnRenamed(f"{c}__other", c), c))
+    losses = materialise(reduce(DataFrame.unionByName, parts), "losses")
+    own = losses.where("feature is null").select(F.col(by).alias("__by"), F.col("loss").alias("__own"))
+    both = losses.where("feature is not null").join(own, F.col(by).eqNullSafe(F.col("__by")))
+    return both.select(by, "feature", F.col("__own").alias("loss"), (F.col("loss") - F.col("__own")).alias("importance"))
+
+
 RUN_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),

@@ -570,6 +570,10 @@ ORACLE["stream_alarms"] = ctes(
 # ---- learners, where SQL can tell what they must find
 
 ORACLE["select_features"] = "SELECT 'p_total' AS feature"
+ORACLE["permutation_importance"] = ctes(ORDERS_SQL) + (
+    "SELECT DISTINCT split, feature, feature = 'p_total' AS matters, feature <> 'p_total' AS \"none\" "
+    "FROM o, (VALUES ('p_total'), ('p_const'), ('p_zero')) x(feature)"
+)
 ORACLE["step_classifier_auc"] = ctes(ORDERS_SQL) + "SELECT DISTINCT split, true AS ranked FROM o"
 ORACLE["recurrent_classifier"] = ctes(ORDERS_SQL) + "SELECT DISTINCT split, true AS network_ranks, true AS windows_do_not FROM o"
 ORACLE["logistic_coefficients"] = """WITH r AS (

@@ -591,6 +591,15 @@ def select_features(spark, sf_dir):
     return spark.createDataFrame([(c,) for c in kept.features], "feature string")
 
 
+@query
+def permutation_importance(spark, sf_dir):
+    """Of a planted feature and two constant ones, the planted one matters and the others are exactly 0."""
+    rows = _planted(spark, sf_dir)
+    model = learn.train_step_classifier(rows.where(is_train()), ["p_total", "p_const", "p_zero"], "label", "logreg", maxIter=20)
+    found = learn.permutation_importance(rows, model, ["o_orderkey"], "label")
+    return found.select("split", "feature", (F.col("importance") > 0.1).alias("matters"), (F.col("importance") == 0).alias("none"))
+
+
 @query
 def step_classifier_auc(spark, sf_dir):
     """Whether the step classifier ranks held-out rows by a planted label."""

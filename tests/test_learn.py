@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -101,6 +102,8 @@ def test_versions_appear_whole(spark, panel, tmp_path):
     model = learn.train_step_classifier(panel, ["a"], "y", "logreg", maxIter=1)
     first, second = (learn.save_model_version(spark, model, base, at) for _ in range(2))
     assert first != second and learn.latest_model_version(spark, base) == second
+    told = json.loads((tmp_path / "models" / second.rpartition("/")[2] / "_manifest.json").read_text())
+    assert told and all(n > 0 and len(digest) == 64 for n, digest in told.values())
     # A writer that ended early, in the old way and in the new one, and a file that is not what was written.
     spark.read.text(f"{first}/metadata").write.text(f"{base}/version_20250101000000/metadata")
     damaged = learn.save_model_version(spark, model, base, datetime(2026, 1, 1))
@@ -117,3 +120,27 @@ def test_no_rows_to_learn_from(panel):
     for fit in (lambda: learn.feature_importance(none, SPEC), lambda: learn.train_step_classifier(none, ["a"], "y")):
         with pytest.raises(ValueError, match="no row to learn from"):
             fit()
+
+
+def test_values_are_exchanged_within_parts(spark):
+    df = spark.range(900).selectExpr("id", "if(id % 3 = 0, 'a', 'b') as split", "if(id % 7 = 0, null, id) as v", "1 as w")
+    for cell_rows in (20, 10_000):
+        got = learn.exchanged(df, ["id"], ["v", "w"], "split", cell_rows).cache()
+        for part in ("a", "b"):
+            own = got.where(F.col("split") == part)
+            assert own.select("v").exceptAll(own.select(F.col("v__other"))).count() == 0
+        assert got.where("w <> w__other").count() == 0
+        assert got.where("v <=> v__other").count() < 60
+        again = learn.exchanged(df.repartition(5), ["id"], ["v", "w"], "split", cell_rows)
+        assert got.exceptAll(again).count() == 0
+
+
+def test_permutation_importance(panel):
+    rows = panel.withColumn("split", F.when(F.col("id") % 2 == 0, "even")).withColumn("c", F.lit(2.0))
+    model = learn.train_step_classifier(rows, ["a", "b", "c"], "y", "logreg", maxIter=10)
+    found = [sorted(map(tuple, learn.permutation_importance(r, model, ["id", "t"], "y", cell_rows=100).collect()), key=str) for r in (rows, rows.repartition(9))]
+    assert [r[:2] for r in found[0]] == [r[:2] for r in found[1]]
+    assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(*found))
+    for part in (None, "even"):
+        by = {r[1]: r[3] for r in found[0] if r[0] == part}
+        assert by["c"] == 0 and by["a"] > 0.02 > abs(by["b"])
