@@ -225,6 +225,7 @@ ORACLE["minmax_scale"] = ctes(*RAW_FIT) + "SELECT id, event_id, " + ", ".join(
     f"round({scaled(c, c)}, 6) AS {c}" for c in EVENT_FEATURES
 ) + " FROM p, s"
 ORACLE["prepare_v1"] = ctes(*V1) + f"SELECT id, event_id, {r6(ENCODED)}, label, split FROM v"
+ORACLE["entity_layout"] = ORACLE["prepare_v1"]
 ORACLE["prepare_v2"] = ctes(
     EVENTS_SQL,
     f"e AS (SELECT *, {ENCODE}, count(*) OVER (PARTITION BY id) - row_number() OVER ({BY_TIME}) AS after FROM p)",

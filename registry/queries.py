@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from panelweave.operators import drift, encode, evaluate, history, monitor, sequences, split, stats, summaries
 from panelweave.plans import batch, learn, prepare, recurrent, score
-from panelweave.sources import files, folders
+from panelweave.sources import files, folders, layout
 from panelweave.sources.schema import HOUR
 from panelweave.spec import PanelSpec
 from panelweave.streaming.alarms import held_back, score_rows, stream_alarms
@@ -374,6 +375,17 @@ def prepare_v1(spark, sf_dir):
     return panel.select("id", "event_id", *r6(*spec.features), "label", "split")
 
 
+@query
+def entity_layout(spark, sf_dir):
+    """The first preparation over a table laid out by entity, where it needs no shuffle."""
+    panel, spec = encoded(spark, sf_dir)
+    path = fresh_path(spark, "by-entity")
+    layout.write_by_entity(panel, spec, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    laid = layout.attach(spark, path, f"by_entity_{uuid.uuid4().hex}")
+    out = prepare.prepare_v1(laid, spec, is_train())
+    return out.select("id", "event_id", *r6(*spec.features), "label", "split")
+
+
 @query
 def prepare_v2(spark, sf_dir):
     panel, spec = encoded(spark, sf_dir)
