@@ -29,8 +29,8 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
-def ids_of(texts):
-    raw, places = packing.WordEncoder(PATH).texts(pa.array(texts, pa.string()))
+def ids_of(texts, encoder=None):
+    raw, places = (encoder or packing.encoder(PATH)).texts(pa.array(texts, pa.string()))
     return [np.frombuffer(raw[a:b], "<u4").tolist() for a, b in zip(places[:-1], places[1:])]
 
 
@@ -48,7 +48,7 @@ def test_ids_of_any_text(library, texts):
 def test_ids_without_room_to_remember(library, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     texts = ["one two one.", "three, two four", "one"]
-    assert ids_of(texts + texts) == [library.encode(t, add_special_tokens=False).ids for t in texts + texts]
+    assert ids_of(texts + texts, packing.WordEncoder(PATH)) == [library.encode(t, add_special_tokens=False).ids for t in texts + texts]
 
 
 def lengths_used(patterns):
