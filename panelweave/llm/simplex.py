@@ -79,7 +79,7 @@ class Simplex:
             error[:, i] = (error[:, i] + _BASE_ROUNDING * reach * np.abs(flat[:, : i + 1]).sum(axis=1)) / pivot
         height = np.sqrt(np.maximum(squared[:, 0] - (flat**2).sum(axis=1), 0))
         off = _ROUNDING * squared[:, 0] + ((2 * np.abs(flat) + error) * error).sum(axis=1)
-        off_height = np.minimum(np.sqrt(off), off / np.maximum(height, 1e-300))
+        off_height = off / np.maximum(np.maximum(height, np.sqrt(off)), 1e-300)
         return np.column_stack([flat, height, np.sqrt((error**2).sum(axis=1) + off_height**2)])
 
 
