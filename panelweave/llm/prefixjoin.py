@@ -7,15 +7,17 @@ one group is.
 
 1. One pass counts 5-grams in a table of ``COUNTERS`` counters (a fixed size), which orders them rare first.
 2. The first ``n - ceil(n * t) + 1`` grams of each set in that order, its prefix, are dealt by gram, and grams that one
-   node alone has fall away. Sets that link share one that is left. Grams whose counter is high are dealt
-   by node as well.
+   node alone has fall away. The smaller of two sets that link has the first gram they share among its first
+   ``n - ceil(2 * n * t / (1 + t)) + 1``, where it is called early; so grams that are early in no set fall away too, such as those of a
+   passage that stands in many texts. Sets that link share one that is left. Grams whose counter is high are dealt by node as well.
 3. Every node joins the cell of the node that it shares most prefix grams with, among the least nodes of its grams.
    A cell is cut into blocks of bounded size. In a block a search from node to node compares each node once with
    those not yet reached: by shared prefix grams and places left (positional bound), by gram counts in sixteenths of the
    hash range (suffix bound), and then in full.
 4. Pairs that share a prefix gram but neither group nor block remain: first each node with its best partner outside,
-   which ties the parts of a large group together, then all that are left, joined by gram under the length and
-   positional filters and verified once. No pair is left out and no partner is capped.
+   which ties the parts of a large group together, then all that are left and were not tried, joined by gram and band of sizes,
+   early rows of the smaller set with all of the larger, under the length and positional filters, and verified once.
+   No pair is left out and no partner is capped.
 
 Set digests and gram hashes have 64 bits: n texts give about n * n / 2**65 false equal sets (0.03 at 10**9).
 
@@ -25,12 +27,13 @@ Rows repeated under one id are alike in group. Columns other than id and text ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.llm import words as W
@@ -133,6 +136,19 @@ def _least_common(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def _early(size, place, percent: int):
+    """Whether a set has enough grams from a place on to link with one that is not smaller; numbers, arrays or columns."""
+    return (size - place) * (100 + percent) >= size * (2 * percent)
+
+
+def _size() -> Column:
+    return F.shiftright("at", 32)
+
+
+def _place() -> Column:
+    return F.col("at").bitwiseAND(0xFFFFFFFF)
+
+
 def _prefixes(text_of: np.ndarray, grams: np.ndarray, texts: int, frequency: np.ndarray, percent: int):
     """Rare-first prefixes, text by text: text numbers, grams, places, and how often each gram is counted."""
     often = frequency[(grams % np.uint64(COUNTERS)).astype(np.int64)]
@@ -162,26 +178,36 @@ def _deal(sent, percent: int, size: int, high: int):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by gram and node: each node once, without grams of one node. Holds one row between batches."""
-    held, held_follows = None, False
-    for batch in batches:
-        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        if held is not None:
-            rows = [np.append(h, r) for h, r in zip(held, rows)]
-        gram, node = rows[0], rows[1]
-        if not len(gram):
-            continue
-        new = np.append(True, (gram[1:] != gram[:-1]) | (node[1:] != node[:-1]))
-        rows = [r[new] for r in rows]
-        gram = rows[0]
-        like = gram[1:] == gram[:-1]
-        follows = np.append(held_follows, like)
-        keep = follows[:-1] | like | rows[3][:-1]
-        yield pa.RecordBatch.from_arrays([pa.array(r[:-1][keep]) for r in rows[:3]], ["gram", "node", "at"])
-        held, held_follows = [r[-1:] for r in rows], bool(follows[-1])
-    if held is not None and (held_follows or held[3][0]):
-        yield pa.RecordBatch.from_arrays([pa.array(r) for r in held[:3]], ["gram", "node", "at"])
+def _shared(percent: int):
+    """From rows sorted by gram, early ones first, and node: each node once, without grams of one node or with late rows
+    only. Rows of grams dealt by node stay. Holds one row between batches."""
+    names = ["gram", "node", "at"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_follows, held_late = None, False, False
+        for batch in batches:
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            if held is not None:
+                rows = [np.append(h, r) for h, r in zip(held, rows)]
+            gram, node = rows[0], rows[1]
+            if not len(gram):
+                continue
+            new = np.append(True, (gram[1:] != gram[:-1]) | (node[1:] != node[:-1]))
+            rows = [r[new] for r in rows]
+            gram, at = rows[0], rows[2]
+            like = gram[1:] == gram[:-1]
+            follows = np.append(held_follows, like)
+            # The first row of a gram tells whether any is early; that of the first gram may have passed before.
+            late = ~_early(at >> 32, at & 0xFFFFFFFF, percent)
+            late[0] = held_late if held_follows else late[0]
+            late = late[np.maximum.accumulate(np.where(follows, 0, np.arange(len(gram))))]
+            keep = (follows[:-1] | like) & ~late[:-1] | rows[3][:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(r[:-1][keep]) for r in rows[:3]], names)
+            held, held_follows, held_late = [r[-1:] for r in rows], bool(follows[-1]), bool(late[-1])
+        if held is not None and (held_follows and not held_late or held[3][0]):
+            yield pa.RecordBatch.from_arrays([pa.array(r) for r in held[:3]], names)
+
+    return run
 
 
 class _Members:
@@ -195,21 +221,36 @@ class _Members:
         last = np.lexsort((np.array([p[0][-1] for p in prefixes], np.uint64), np.array([p[1][-1] for p in prefixes])))
         self.last = np.empty(len(sets), np.int64)
         self.last[last] = np.arange(len(sets))
+        self.early = self.size - _least_common(self.size, self.size, percent) + 1
         gram = np.concatenate(self.prefix)
-        who = np.repeat(np.arange(len(sets)), [len(p) for p in self.prefix])
+        runs = np.array([len(p) for p in self.prefix])
+        who = np.repeat(np.arange(len(sets)), runs)
+        early = np.arange(len(gram)) - (np.cumsum(runs) - runs)[who] < self.early[who]
         order = np.argsort(gram)
-        self.gram, self.who = gram[order], who[order]
+        self.all = gram[order], who[order]
+        order = order[early[order]]
+        self.starts = gram[order], who[order]
         self.parts = np.stack([np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=16) for s in sets])
 
+    @staticmethod
+    def _with(index: tuple[np.ndarray, np.ndarray], grams: np.ndarray) -> np.ndarray:
+        """Members that an index has under any of the grams, once for each."""
+        low = np.searchsorted(index[0], grams, "left")
+        runs = np.searchsorted(index[0], grams, "right") - low
+        return index[1][np.repeat(low - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())]
+
     def linked(self, x: int, open_: np.ndarray) -> np.ndarray:
         """Members marked in ``open_`` that link with ``x``."""
-        low = np.searchsorted(self.gram, self.prefix[x], "left")
-        runs = np.searchsorted(self.gram, self.prefix[x], "right") - low
-        at = np.repeat(low - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
-        shared = np.bincount(self.who[at], minlength=len(self.sets))
-        other = np.flatnonzero((shared > 0) & open_)
+        near = np.zeros(len(self.sets), bool)
+        # Of two that link, the first shared gram is early in the smaller one.
+        near[self._with(self.all, self.prefix[x][: self.early[x]])] = True
+        near[self._with(self.starts, self.prefix[x][self.early[x] :])] = True
+        other = np.flatnonzero(near & open_)
         n, m = self.size[x], self.size[other]
         other = other[100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)]
+        if not len(other):
+            return other
+        shared = np.bincount(self._with(self.all, self.prefix[x]), minlength=len(self.sets))
         need = _least_common(n, self.size[other], self.percent)
         rest = np.where(self.last[x] < self.last[other], self.left[x], self.left[other])
         fits = shared[other] + rest >= need
@@ -317,8 +358,9 @@ def _regroup(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _undecided(rows: DataFrame) -> DataFrame:
-    """Rows whose gram still stands in more than one group."""
-    grams = rows.groupBy("gram").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high")
+    """Rows whose gram still stands in more than one group and block."""
+    ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("group", "block")]
+    grams = rows.groupBy("gram").agg(*ends).where("min_group != max_group and min_block != max_block")
     return rows.join(grams.select("gram"), "gram")
 
 
@@ -329,10 +371,11 @@ def _roots(spark: SparkSession, docs: DataFrame, sets: DataFrame, percent: int,
     sent = spark.sparkContext.broadcast(frequency)
     dealt = docs.select("id", "text").mapInArrow(_deal(sent, percent, size, high), "gram long, node long, at long, often boolean")
     spread = F.when(F.col("often"), F.pmod("node", F.lit(1024))).otherwise(0)
-    dealt = dealt.repartition("gram", spread).sortWithinPartitions("gram", "node")
-    rows = materialise(dealt.mapInArrow(_shared, "gram long, node long, at long"), "prefixes").dropDuplicates(["gram", "node"])
+    early = _early(_size(), _place(), percent)
+    dealt = dealt.repartition("gram", spread).sortWithinPartitions("gram", ~early, "node")
+    rows = materialise(dealt.mapInArrow(_shared(percent), "gram long, node long, at long"), "prefixes").dropDuplicates(["gram", "node"])
 
-    centres = rows.groupBy("gram").agg(F.min("node").alias("cell"))
+    centres = rows.groupBy("gram").agg(F.min("node").alias("cell"), F.max(early).alias("early")).where("early").drop("early")
     votes = rows.join(centres, "gram").groupBy("node", "cell").agg(F.count("*").alias("votes"), F.max(F.shiftright("at", 32)).alias("n"))
     best = votes.groupBy("node").agg(F.max_by("cell", F.struct("votes", -F.col("cell"))).alias("cell"), F.max("n").alias("n"))
     cells = materialise(best, "cells")
@@ -350,15 +393,19 @@ def _roots(spark: SparkSession, docs: DataFrame, sets: DataFrame, percent: int,
     moves = []
     if not left.isEmpty():
         # Each node with the partner outside its group and block that it shares most grams with.
-        first = left.groupBy("gram").agg(F.min(F.struct("node", "group", "block")).alias("c"))
-        apart = (F.col("group") != F.col("c.group")) & (F.col("block") != F.col("c.block"))
-        votes = left.join(first, "gram").where(apart).groupBy("node", "group", "c").agg(F.count("*").alias("votes"))
+        sized = left.select("gram", "node", "group", "block", _size().alias("n"), _place().alias("place"))
+        first = sized.groupBy("gram").agg(F.min(F.struct("node", "group", "block", "n", "place")).alias("c"))
+        apart = (F.col("group") != F.col("c.group")) & (F.col("block") != F.col("c.block")) & _fits(F.col, lambda c: F.col(f"c.{c}"), percent)
+        partner = F.struct("c.node", "c.group").alias("c")
+        votes = sized.join(first, "gram").where(apart).groupBy("node", "group", partner).agg(F.count("*").alias("votes"))
         best = votes.groupBy("node", "group").agg(F.max_by("c", F.struct("votes", "c.node")).alias("c"))
         pairs = best.select(F.col("node").alias("x"), F.col("c.node").alias("y"), F.col("group").alias("from"), F.col("c.group").alias("to"))
-        left, moved = _regroup(left, _confirmed(pairs, members, sent, percent, size))
+        tried = materialise(pairs, "tried")
+        left, moved = _regroup(left, _confirmed(tried, members, sent, percent, size))
         moves.append(moved)
         left = materialise(_undecided(left), "undecided")
-        pairs = materialise(_pairs(left, percent), "pairs")
+        known_pairs = tried.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        pairs = materialise(_pairs(left, percent).join(known_pairs, ["x", "y"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             moves.append(materialise(components(_confirmed(pairs, members, sent, percent, size)), "moved"))
     roots = known.select("node", F.col("group").alias("root"))
@@ -368,17 +415,32 @@ def _roots(spark: SparkSession, docs: DataFrame, sets: DataFrame, percent: int,
     return roots
 
 
+def _fits(a, b, percent: int) -> Column:
+    """Length and positional filter for a gram that two sets share; ``a`` and ``b`` give their columns ``n`` and ``place``."""
+    small, large = F.least(a("n"), b("n")), F.greatest(a("n"), b("n"))
+    remaining = F.least(a("n") - a("place"), b("n") - b("place"))
+    return (small * 100 >= large * percent) & (remaining * (100 + percent) >= (a("n") + b("n")) * percent)
+
+
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes in different groups and blocks that share a prefix gram and pass the length and positional filters."""
-    rows = rows.select("gram", "node", "block", "group", F.shiftright("at", 32).alias("n"), F.col("at").bitwiseAND(0xFFFFFFFF).alias("place"))
-    a, b = rows.alias("a"), rows.alias("b")
-    small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    remaining = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-    fits = (small * 100 >= large * percent) & (remaining * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent)
-    on = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.node") < F.col("b.node"))
+    """Pairs of nodes in different groups and blocks that share a prefix gram and pass the length and positional filters.
+
+    Rows of a gram meet by band of sizes, the smaller set's only where it is early."""
+    rows = rows.select("gram", "node", "block", "group", _size().alias("n"), _place().alias("place"))
+    width = math.log(max(100 / percent, 1.01))
+    band = lambda n: F.floor(F.log(n) / width)
+    largest = F.floor(F.col("n") * 100 / percent)
+    a = rows.where(_early(F.col("n"), F.col("place"), percent)).withColumn("band", F.explode(F.sequence(band(F.col("n")), band(largest)))).alias("a")
+    b = rows.withColumn("band", band(F.col("n"))).alias("b")
+    on = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.band") == F.col("b.band"))
+    # Of equal sizes that fit, both are early.
+    ahead = F.struct("a.n", "a.node") < F.struct("b.n", "b.node")
     apart = (F.col("a.group") != F.col("b.group")) & (F.col("a.block") != F.col("b.block"))
-    names = [F.col("a.node").alias("x"), F.col("b.node").alias("y"), F.col("a.group").alias("from"), F.col("b.group").alias("to")]
-    return a.join(b, on & apart & fits).select(*names).distinct()
+    fits = _fits(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"), percent)
+    swapped = F.col("a.node") > F.col("b.node")
+    names = [F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y")]
+    names += [F.when(swapped, F.col(f"{p}.group")).otherwise(F.col(f"{q}.group")).alias(n) for p, q, n in (("b", "a", "from"), ("a", "b", "to"))]
+    return a.join(b, on & ahead & apart & fits).select(*names).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:

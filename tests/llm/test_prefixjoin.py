@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 from panelweave.llm import prefixjoin
@@ -74,6 +75,73 @@ def test_large_near_group(spark, monkeypatch):
     assert found(docs) == plain(rows(docs))
 
 
+def passage_texts(rng, many):
+    """Texts with one passage of 100 words and 20 words of their own: every pair shares 96 of 136 distinct grams, and none links."""
+    passage = " ".join(f"common{k}" for k in range(100))
+    return [" ".join(f"own{rng.randrange(10**9)}" for _ in range(20)) + " " + passage for _ in range(many)]
+
+
+def test_common_passage_makes_no_pairs(spark, monkeypatch):
+    """Grams that are late in every prefix fall away before any two texts meet."""
+    tried = []
+    confirmed = prefixjoin._confirmed
+    monkeypatch.setattr(prefixjoin, "_confirmed", lambda pairs, *rest: tried.append(pairs.count()) or confirmed(pairs, *rest))
+    monkeypatch.setattr(prefixjoin, "BLOCK_GRAMS", 2000)
+    texts = passage_texts(random.Random(9), 300)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert found(docs) == sorted((repr(i), 116, i) for i in range(300))
+    assert sum(tried) == 0
+
+
+def test_pairs_by_bands_are_those_of_the_filters(spark):
+    """The join by bands and early rows gives what the filters give over all pairs that can be the first shared gram."""
+    rng = random.Random(3)
+    rows = []
+    for node in range(120):
+        n = rng.randrange(1, 60)
+        prefix = n - -(-80 * n // 100) + 1
+        rows += [(gram, node, n << 32 | rng.randrange(prefix), rng.randrange(3), node % 17) for gram in range(4)]
+    got = prefixjoin._pairs(spark.createDataFrame(rows, "gram long, node long, at long, block long, group long"), 80)
+    want = set()
+    for g, a, at, block, group in rows:
+        for h, b, bt, other, to in rows:
+            n, m, left = at >> 32, bt >> 32, min((at >> 32) - (at & 0xFFFFFFFF), (bt >> 32) - (bt & 0xFFFFFFFF))
+            if g == h and a < b and group != to and block != other and 100 * min(n, m) >= 80 * max(n, m) and left * 180 >= (n + m) * 80:
+                want.add((a, b, group, to))
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 100
+
+
+@pytest.mark.parametrize("rows_in_batch", [1, 2, 7, 1000])
+def test_shared_rows_whatever_the_batches(rows_in_batch):
+    rng = random.Random(4)
+    rows = set()
+    for gram in range(60):
+        for node in rng.sample(range(30), rng.randrange(1, 6)):
+            rows.add((gram, node, 40 << 32 | rng.choice([0, 3, 6, 7, 8] if gram % 2 else [6, 7, 8]), gram % 10 == 0))
+    early = {g: [(at & 0xFFFFFFFF) * 180 <= 40 * 20 for h, _, at, _ in rows if h == g] for g in range(60)}
+    want = sorted(r[:3] for r in rows if r[3] or len(early[r[0]]) > 1 and any(early[r[0]]))
+    repeated = sorted([*rows, *rng.sample(sorted(rows), 40)], key=lambda r: (r[0], (r[2] & 0xFFFFFFFF) * 180 > 40 * 20, r[1]))
+    table = pa.table({n: [r[i] for r in repeated] for i, n in enumerate(["gram", "node", "at", "often"])})
+    got = prefixjoin._shared(80)(table.to_batches(rows_in_batch))
+    assert sorted(tuple(r.values()) for b in got for r in b.to_pylist()) == want and 0 < len(want) < len(rows)
+
+
+def test_no_pair_is_verified_twice(spark, monkeypatch):
+    """Across blocks, texts that nearly link are tried once."""
+    seen = []
+    confirmed = prefixjoin._confirmed
+    monkeypatch.setattr(
+        prefixjoin, "_confirmed", lambda pairs, *rest: seen.extend((min(p), max(p)) for p in pairs.select("x", "y").collect()) or confirmed(pairs, *rest)
+    )
+    monkeypatch.setattr(prefixjoin, "BLOCK_GRAMS", 300)
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(100)]
+    texts = [edited(rng, base, 0.03) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert found(docs) == plain(rows(docs))
+    assert seen and len(seen) == len({*seen})
+
+
 def test_every_gram_is_high(spark, monkeypatch):
     """Grams dealt by node as well lose nothing."""
     monkeypatch.setattr(prefixjoin, "HIGH", 0)
