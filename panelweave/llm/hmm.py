@@ -1,8 +1,10 @@
 """A hidden Markov language model.
 
-A word is emitted in two parts: the hidden state emits a class of words (``CLASSES`` classes by word hash, so the table of
-states is of fixed size), and the class emits the word in proportion to its training count. Baum-Welch runs over all
-training texts: each task adds up expected counts of its texts, and only their sums, of fixed size, meet. Word counts grow with the
+A hidden state emits a symbol: one of the ``OWN`` words with the highest training counts, or a class of all other words (``CLASSES``
+classes by word hash), which emits the word in proportion to its training count. So the table of states is of fixed size, and
+frequent words have emissions of their own in every state. Baum-Welch runs over all
+training texts: each task adds up expected counts of its texts, and only their sums, of fixed size, meet. It ends when a round gains
+less than ``TOLERANCE`` a token, or after ``rounds``. Word counts grow with the
 corpus and stay a distributed table: the ``FREQUENT`` words at its head are sent to all tasks, all others are joined, as they are too
 rare to crowd a task. The likelihood of a text is exact: the scaled forward recursion over all its words and its end.
 
@@ -30,6 +32,10 @@ from panelweave.llm import words as W
 from panelweave.workspace import materialise
 
 CLASSES = 1 << 14
+#: Words with emissions of their own.
+OWN = 1 << 14
+#: log10 a token that another round must have gained.
+TOLERANCE = 0.01
 #: Words whose counts go to every task.
 FREQUENT = 200_000
 SEQUENCE = 128
@@ -65,27 +71,36 @@ def class_of(hashed: np.ndarray, classes: int) -> np.ndarray:
     return (hashed % np.uint64(classes)).astype(np.int64)
 
 
+def symbols(hashed: np.ndarray, own: np.ndarray, classes: int) -> np.ndarray:
+    """The class of each word, or ``classes`` and its place among the sorted ``own`` words."""
+    found = class_of(hashed, classes)
+    if len(own):
+        at = np.minimum(np.searchsorted(own, hashed), len(own) - 1)
+        found = np.where(own[at] == hashed, classes + at, found)
+    return found
+
+
 @dataclass
 class Chain:
-    """Start, transition and class emission probabilities (states by row)."""
+    """Start, transition and symbol emission probabilities (states by row)."""
 
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray
 
     @classmethod
-    def first(cls, class_counts: np.ndarray, states: int) -> Chain:
-        """The counted classes, disturbed for each state by a fixed rule; states tend to stay."""
-        noise = W.mix(np.arange(1, states * len(class_counts) + 1, dtype=np.uint64) * np.uint64(_SEED))
+    def first(cls, symbol_counts: np.ndarray, states: int) -> Chain:
+        """The counted symbols, disturbed for each state by a fixed rule; states tend to stay."""
+        noise = W.mix(np.arange(1, states * len(symbol_counts) + 1, dtype=np.uint64) * np.uint64(_SEED))
         spread = 0.25 + (noise >> np.uint64(11)).astype(float) / 2**53 * 1.5
-        emit = (class_counts + _SMOOTH) * spread.reshape(states, -1)
+        emit = (symbol_counts + _SMOOTH) * spread.reshape(states, -1)
         stay = 0.9 * np.eye(states) + 0.1 / states
         return cls(np.full(states, 1 / states), stay, emit / emit.sum(axis=1, keepdims=True))
 
     @classmethod
-    def of_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray, class_counts: np.ndarray) -> Chain:
-        """From expected counts; a state's classes are smoothed by the counted classes."""
-        back = (class_counts + _SMOOTH) / (class_counts + _SMOOTH).sum()
+    def of_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray, symbol_counts: np.ndarray) -> Chain:
+        """From expected counts; a state's symbols are smoothed by the counted symbols."""
+        back = (symbol_counts + _SMOOTH) / (symbol_counts + _SMOOTH).sum()
         emit = emit + back * (0.01 * emit.sum(axis=1, keepdims=True) + 1)
         start, move = start + 1, move + 1
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
@@ -100,7 +115,7 @@ def _layout(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_likelihoods(chain: Chain, classes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """log10 probability of the classes of each sequence: the scaled forward recursion, side by side."""
+    """log10 probability of the classes (or symbols) of each sequence: the scaled forward recursion, side by side."""
     lengths = np.diff(cuts)
     order, running = _layout(lengths)
     starts, emit = cuts[:-1][order], np.ascontiguousarray(chain.emit.T)
@@ -196,11 +211,11 @@ def _pack(parts: list[np.ndarray]) -> np.ndarray:
 
 def _expect(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain: Chain = sent.value
-        total = None
+        chain, own = sent.value
+        classes, total = chain.emit.shape[1] - len(own), None
         for batch in batches:
             for hashed, cuts in _training(batch):
-                begin, moves, emissions, likelihood = expected_counts(chain, class_of(hashed, chain.emit.shape[1]), _sequences(cuts))
+                begin, moves, emissions, likelihood = expected_counts(chain, symbols(hashed, own, classes), _sequences(cuts))
                 packed = _pack([begin, moves, emissions, np.array([likelihood])])
                 total = packed if total is None else total + packed
         if total is not None:
@@ -222,11 +237,17 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["slice", "sums"])
 
 
-def baum_welch(docs: DataFrame, class_counts: np.ndarray, states: int, rounds: int) -> tuple[Chain, list[float]]:
-    """The chain after ``rounds`` passes over all training rows, and the log10 likelihood before each."""
-    chain, likelihoods = Chain.first(class_counts, states), []
+_NONE = np.zeros(0, np.uint64)
+
+
+def baum_welch(
+    docs: DataFrame, symbol_counts: np.ndarray, states: int, rounds: int, own: np.ndarray = _NONE, tolerance: float = 0.0
+) -> tuple[Chain, list[float]]:
+    """The chain after passes over all training rows, and the log10 likelihood before each: ``rounds`` passes, or fewer where the
+    last one but one gained less than ``tolerance`` a token. ``symbol_counts``: of the classes, then of the sorted ``own`` words."""
+    chain, likelihoods = Chain.first(symbol_counts, states), []
     for _ in range(rounds):
-        sent = docs.sparkSession.sparkContext.broadcast(chain)
+        sent = docs.sparkSession.sparkContext.broadcast((chain, own))
         sums = docs.mapInArrow(_expect(sent), "slice int, sums binary").repartition("slice").mapInArrow(_add, "slice int, sums binary")
         # Sums of fixed size, whatever the number of texts.
         parts = {r["slice"]: np.frombuffer(r["sums"], "<f8") for r in sums.collect()}
@@ -234,26 +255,36 @@ def baum_welch(docs: DataFrame, class_counts: np.ndarray, states: int, rounds: i
         if not parts:
             break
         total = np.concatenate([parts[i] for i in range(_SLICES)])
-        begin, moves, emissions, likelihood = np.split(total, np.cumsum([states, states**2, states * len(class_counts)]))
-        chain = Chain.of_counts(begin, moves.reshape(states, states), emissions.reshape(states, -1), class_counts)
+        begin, moves, emissions, likelihood = np.split(total, np.cumsum([states, states**2, states * len(symbol_counts)]))
+        chain = Chain.of_counts(begin, moves.reshape(states, states), emissions.reshape(states, -1), symbol_counts)
         likelihoods.append(float(likelihood[0]))
+        if len(likelihoods) > 1 and likelihoods[-1] - likelihoods[-2] < tolerance * symbol_counts.sum():
+            break
     return chain, likelihoods
 
 
 @dataclass
 class Model:
-    """What scoring sends to all tasks: of fixed size but for ``words``, which has ``FREQUENT`` at most."""
+    """What scoring sends to all tasks: of fixed size but for ``words``, which has ``FREQUENT`` at most, and ``own``, ``OWN`` of these."""
 
     chain: Chain
     words: np.ndarray
     counts: np.ndarray
-    #: log10 of what the counts of a class are divided by.
-    class_base: np.ndarray
+    own: np.ndarray
+    #: log10 of what the counts of a symbol's words are divided by.
+    symbol_base: np.ndarray
     train_tokens: int
     vocabulary: int
+    #: log10 likelihood of the training rows before each round.
+    likelihoods: list[float]
+
+    def symbols(self, hashed: np.ndarray) -> np.ndarray:
+        return symbols(hashed, self.own, len(self.symbol_base) - len(self.own))
 
 
-def train(docs: DataFrame, states: int = 6, rounds: int = 3, classes: int = CLASSES, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
+def train(
+    docs: DataFrame, states: int = 6, rounds: int = 5, classes: int = CLASSES, frequent: int = FREQUENT, *, own: int = OWN, tolerance: float = TOLERANCE
+) -> tuple[Model, DataFrame]:
     """The model, and the table of the words that it does not hold, from rows of ``id``, ``text``."""
     counted = materialise(count_words(docs), "words")
     by_count = counted.groupBy("count").agg(F.count("*").alias("n")).orderBy(F.col("count").desc())
@@ -271,14 +302,20 @@ def train(docs: DataFrame, states: int = 6, rounds: int = 3, classes: int = CLAS
     head = counted.where(F.col("count") >= least).toArrow() if least else pa.table({"word": pa.array([], pa.int64()), "count": pa.array([], pa.int64())})
     words = head.column("word").to_numpy().view(np.uint64)
     order = np.argsort(words)
-    chain, _ = baum_welch(docs, class_counts, states, rounds)
-    base = np.log10(class_counts + _SMOOTH * (class_words + 1))
-    model = Model(chain, words[order], head.column("count").to_numpy()[order], base, int(class_counts.sum()), int(class_words.sum()))
+    words, counts = words[order], head.column("count").to_numpy()[order]
+    train_tokens, vocabulary = int(class_counts.sum()), int(class_words.sum())
+    # The most frequent words leave their classes; of equal counts, the least hashes.
+    alone = np.sort(np.argsort(-counts, kind="stable")[:own])
+    np.subtract.at(class_counts, class_of(words[alone], classes), counts[alone])
+    np.subtract.at(class_words, class_of(words[alone], classes), 1)
+    chain, likelihoods = baum_welch(docs, np.append(class_counts, counts[alone]), states, rounds, words[alone], tolerance)
+    base = np.log10(np.append(class_counts + _SMOOTH * (class_words + 1), counts[alone] + _SMOOTH))
+    model = Model(chain, words, counts, words[alone], base, train_tokens, vocabulary, likelihoods)
     return model, counted.where(F.col("count") < (least or 1 << 62))
 
 
 _SCORED = pa.schema(
-    [("uid", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("counted", pa.float64()), ("classes", pa.float64()), ("rare", pa.list_(pa.int64()))]
+    [("uid", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("counted", pa.float64()), ("within", pa.float64()), ("rare", pa.list_(pa.int64()))]
 )
 
 
@@ -291,14 +328,14 @@ def _score(sent):
             for block in W.blocks(batch.column(1), SCORED_BYTES):
                 n = block.last - block.first
                 hashed, cuts = tokens(block)
-                classes = class_of(hashed, len(model.class_base))
-                chained = log_likelihoods(model.chain, classes, cuts)
+                emitted = model.symbols(hashed)
+                chained = log_likelihoods(model.chain, emitted, cuts)
                 at = np.minimum(np.searchsorted(model.words, hashed), max(len(model.words) - 1, 0))
                 known = model.words[at] == hashed if len(model.words) else np.zeros(len(hashed), bool)
                 counted = np.where(known, known_log[at] if len(known_log) else 0.0, 0.0)
                 many = np.add.reduceat(known, cuts[:-1], dtype=np.int64)
                 sums = np.add.reduceat(counted, cuts[:-1])
-                emitted = chained - np.add.reduceat(model.class_base[classes], cuts[:-1])
+                within = chained - np.add.reduceat(model.symbol_base[emitted], cuts[:-1])
                 rare = hashed[~known].view(np.int64)
                 offsets = np.append(0, np.cumsum(np.diff(cuts) - many)).astype(np.int32)
                 ids = batch.column(0).slice(block.first, n)
@@ -309,7 +346,7 @@ def _score(sent):
                     pa.array(np.diff(cuts), pa.int64()),
                     pa.array(many),
                     pa.array(sums),
-                    pa.array(emitted),
+                    pa.array(within),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(rare)),
                 ]
                 uid += n
@@ -318,13 +355,13 @@ def _score(sent):
     return run
 
 
-def score(docs: DataFrame, states: int = 6, rounds: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, states: int = 6, rounds: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (smoothed word counts) and ``score``
     (the model's log10 probability of the text and its end)."""
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     model, others = train(docs, states, rounds)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "uid long, id long, held_out boolean, n_tokens long, n_known long, counted double, classes double, rare array<long>"
+    schema = "uid long, id long, held_out boolean, n_tokens long, n_known long, counted double, within double, rare array<long>"
     rows = materialise(docs.mapInArrow(_score(sent), schema), "scored")
     rare = rows.select("uid", F.explode("rare").alias("word")).groupBy("uid", "word").agg(F.count("*").alias("times"))
     found = rare.join(others, "word", "left")
@@ -340,5 +377,5 @@ def score(docs: DataFrame, states: int = 6, rounds: int = 3, key: str = "doc_id"
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
         (counted - F.col("n_tokens") * float(base)).alias("base_score"),
-        (counted + F.col("classes")).alias("score"),
+        (counted + F.col("within")).alias("score"),
     )

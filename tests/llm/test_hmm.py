@@ -90,13 +90,16 @@ def test_base(spark, monkeypatch, which, frequent):
     assert sorted((repr(r["doc_id"]), *(r[c] for c in columns), round(r["base_score"], 5)) for r in got) == sorted(want)
 
 
-def test_score_is_the_model_s(spark):
+def test_score_is_the_model_s(spark, monkeypatch):
     """The score from the model's parts, text by text, summed over all steps in plain recursion."""
+    monkeypatch.setitem(hmm.train.__kwdefaults__, "own", 300)
     docs = documents(spark)
     renamed = docs.selectExpr("doc_id as id", "text")
     model, others = hmm.train(renamed)
     counts = dict(zip(model.words.tolist(), model.counts.tolist())) | {r["word"] % 2**64: r["count"] for r in others.collect()}
     got = {r["doc_id"]: r["score"] for r in rows_of(hmm.score(docs))}
+    own = {h: k for k, h in enumerate(model.own.tolist())}
+    assert 0 < len(own) < len(counts)
     from panelweave.llm import words as W
     import pyarrow as pa
 
@@ -104,21 +107,26 @@ def test_score_is_the_model_s(spark):
         hashed, _ = hmm.tokens(next(W.blocks(pa.array([row["text"]]))))
         state, total = None, 0.0
         for t, h in enumerate(hashed.tolist()):
-            c = h % hmm.CLASSES
+            c = hmm.CLASSES + own[h] if h in own else h % hmm.CLASSES
             state = (state @ model.chain.move if t else model.chain.start) * model.chain.emit[:, c]
-            total += math.log10(state.sum()) + math.log10(counts.get(h, 0) + 0.1) - model.class_base[c]
+            total += math.log10(state.sum())
+            if h not in own:
+                total += math.log10(counts.get(h, 0) + 0.1) - model.symbol_base[c]
             state = state / state.sum()
         assert math.isclose(total, got[row["doc_id"]], rel_tol=1e-9)
 
 
-def test_the_model_is_a_distribution(spark):
-    """Over a class, known words and one unknown word share all of its mass."""
-    model, others = hmm.train(documents(spark).selectExpr("doc_id as id", "text"))
+@pytest.mark.parametrize("own", [0, 300, hmm.OWN])
+def test_the_model_is_a_distribution(spark, own):
+    """Over a class, known words and one unknown word share all of its mass; a word of its own has all of its symbol's."""
+    model, others = hmm.train(documents(spark).selectExpr("doc_id as id", "text"), own=own)
     counts = {**dict(zip(model.words.tolist(), model.counts.tolist())), **{r["word"] % 2**64: r["count"] for r in others.collect()}}
-    mass = np.full(hmm.CLASSES, 0.1)
-    for h, c in counts.items():
-        mass[h % hmm.CLASSES] += c + 0.1
-    assert np.allclose(np.log10(mass), model.class_base)
+    assert len(model.own) == min(own, len(model.words)) and len(counts) == model.vocabulary
+    assert not own or min(counts[h] for h in model.own.tolist()) >= max([c for h, c in counts.items() if h not in set(model.own.tolist())] or [0])
+    mass = np.append(np.full(hmm.CLASSES, 0.1), np.zeros(len(model.own)))
+    for h, s in zip(counts, model.symbols(np.array(list(counts), np.uint64)).tolist()):
+        mass[s] += counts[h] + 0.1
+    assert np.allclose(np.log10(mass), model.symbol_base)
     assert np.allclose(model.chain.emit.sum(axis=1), 1) and np.allclose(model.chain.move.sum(axis=1), 1)
 
 
@@ -133,6 +141,43 @@ def test_training_raises_the_likelihood_and_beats_counts_on_held_out_texts(spark
     assert held["sum(score)"] > held["sum(base_score)"]
 
 
+def test_own_emissions_beat_classes_on_held_out_texts(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    scores = {}
+    for own in (0, hmm.OWN):
+        model, _ = hmm.train(docs.selectExpr("doc_id as id", "text"), own=own)
+        tokens = [(hmm.tokens(block), r) for r, block in held_blocks(docs)]
+        scores[own] = sum(
+            float(hmm.log_likelihoods(model.chain, model.symbols(h), cuts).sum() - model.symbol_base[model.symbols(h)].sum() + logs(model, h)) for (h, cuts), _ in tokens
+        )
+    assert scores[hmm.OWN] > scores[0]
+
+
+def held_blocks(docs):
+    import pyarrow as pa
+
+    from panelweave.llm import words as W
+
+    for r in docs.orderBy("doc_id").collect():
+        if out_of(r["doc_id"]):
+            yield r, next(W.blocks(pa.array([r["text"]])))
+
+
+def logs(model, hashed):
+    """log10 of the smoothed counts; the head of this table holds all words."""
+    counts = dict(zip(model.words.tolist(), model.counts.tolist()))
+    return sum(math.log10(counts.get(h, 0) + 0.1) for h in hashed.tolist())
+
+
+def test_training_stops_once_a_round_gains_little(spark):
+    docs = documents(spark).selectExpr("doc_id as id", "text")
+    every, _ = hmm.train(docs, rounds=5, tolerance=0.0)
+    gains = np.diff(every.likelihoods) / every.train_tokens
+    assert len(every.likelihoods) == 5 and (gains > 0).all()
+    few, _ = hmm.train(docs, rounds=5, tolerance=float(gains[1]) + 1e-9)
+    assert len(few.likelihoods) == (2 if gains[0] < gains[1] else 3)
+
+
 def test_empty_table(spark):
     assert hmm.score(documents(spark).limit(0)).count() == 0
 
