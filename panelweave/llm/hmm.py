@@ -1,6 +1,6 @@
 """A hidden Markov language model.
 
-A hidden state emits a symbol: one of the ``OWN`` words with the highest training counts, or a class of all other words (``CLASSES``
+A hidden state emits a symbol: one of about ``OWN`` words with the highest training counts, or a class of all other words (``CLASSES``
 classes by word hash), which emits the word in proportion to its training count. So the table of states is of fixed size, and
 frequent words have emissions of their own in every state. Baum-Welch runs over all
 training texts: each task adds up expected counts of its texts, and only their sums, of fixed size, meet. It ends when a round gains
@@ -32,8 +32,9 @@ from panelweave.llm import words as W
 from panelweave.workspace import materialise
 
 CLASSES = 1 << 14
-#: Words with emissions of their own.
+#: Words that may have emissions of their own; of two that share one of ``SLOTS`` slots by hash, the more frequent one has.
 OWN = 1 << 14
+SLOTS = 1 << 18
 #: log10 a token that another round must have gained.
 TOLERANCE = 0.01
 #: Words whose counts go to every task.
@@ -75,7 +76,9 @@ def symbols(hashed: np.ndarray, own: np.ndarray, classes: int) -> np.ndarray:
     """The class of each word, or ``classes`` and its place among the sorted ``own`` words."""
     found = class_of(hashed, classes)
     if len(own):
-        at = np.minimum(np.searchsorted(own, hashed), len(own) - 1)
+        place = np.zeros(SLOTS, np.int32)
+        place[class_of(own, SLOTS)] = np.arange(len(own))
+        at = place[class_of(hashed, SLOTS)]
         found = np.where(own[at] == hashed, classes + at, found)
     return found
 
@@ -304,8 +307,9 @@ def train(
     order = np.argsort(words)
     words, counts = words[order], head.column("count").to_numpy()[order]
     train_tokens, vocabulary = int(class_counts.sum()), int(class_words.sum())
-    # The most frequent words leave their classes; of equal counts, the least hashes.
-    alone = np.sort(np.argsort(-counts, kind="stable")[:own])
+    # The most frequent words leave their classes, one a slot; of equal counts, the least hashes.
+    alone = np.argsort(-counts, kind="stable")[:own]
+    alone = np.sort(alone[np.unique(class_of(words[alone], SLOTS), return_index=True)[1]])
     np.subtract.at(class_counts, class_of(words[alone], classes), counts[alone])
     np.subtract.at(class_words, class_of(words[alone], classes), 1)
     chain, likelihoods = baum_welch(docs, np.append(class_counts, counts[alone]), states, rounds, words[alone], tolerance)

@@ -121,8 +121,9 @@ def test_the_model_is_a_distribution(spark, own):
     """Over a class, known words and one unknown word share all of its mass; a word of its own has all of its symbol's."""
     model, others = hmm.train(documents(spark).selectExpr("doc_id as id", "text"), own=own)
     counts = {**dict(zip(model.words.tolist(), model.counts.tolist())), **{r["word"] % 2**64: r["count"] for r in others.collect()}}
-    assert len(model.own) == min(own, len(model.words)) and len(counts) == model.vocabulary
-    assert not own or min(counts[h] for h in model.own.tolist()) >= max([c for h, c in counts.items() if h not in set(model.own.tolist())] or [0])
+    assert len(counts) == model.vocabulary
+    best = sorted(counts, key=lambda h: (-counts[h], h))[:own]
+    assert set(model.own.tolist()) == {h for k, h in enumerate(best) if all(h % hmm.SLOTS != b % hmm.SLOTS for b in best[:k])}
     mass = np.append(np.full(hmm.CLASSES, 0.1), np.zeros(len(model.own)))
     for h, s in zip(counts, model.symbols(np.array(list(counts), np.uint64)).tolist()):
         mass[s] += counts[h] + 0.1
@@ -141,6 +142,13 @@ def test_training_raises_the_likelihood_and_beats_counts_on_held_out_texts(spark
     assert held["sum(score)"] > held["sum(base_score)"]
 
 
+def test_symbols():
+    own = np.sort(np.array([5, 5 + hmm.CLASSES, 2**63 + 77], np.uint64))
+    seen = np.array([5, 6, 5 + hmm.CLASSES, 5 + hmm.SLOTS, 2**63 + 77, 2**63 + 77 + hmm.SLOTS, 0], np.uint64)
+    want = [hmm.CLASSES + own.tolist().index(h) if h in own.tolist() else h % hmm.CLASSES for h in seen.tolist()]
+    assert hmm.symbols(seen, own, hmm.CLASSES).tolist() == want
+
+
 def test_own_emissions_beat_classes_on_held_out_texts(spark):
     docs = documents(spark, "/root/testdata/sf0.01")
     scores = {}
