@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import groupby
 from operator import itemgetter
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,11 @@ from panelweave.spec import PanelSpec
 # An entity file is one letter, the entity number and this suffix; NaN marks a missing value.
 ENTITY_FILE = r"/[^/](\d+)\.psv$"
 ENTITY_FOLDER = r"/file=[^/](\d+)/[^/]*\.psv$"
+IN_FOLDER = r"/file=[^/]*/[^/]*$"
 MISSING = "NaN"
+# How Spark names the folder of a null, and the characters it escapes in the name of a folder.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+UNSAFE = r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]"""
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 # Settings worth having in a session that scans folders of tiny files: Spark then puts many into one task.
@@ -43,8 +49,10 @@ def read_panel_dir(
     """Scan folders of per-entity text files into one panel, entity column first.
 
     Hidden files, other suffixes and plain subfolders are skipped. A file whose header differs from ``schema`` fails the job,
-    where Spark's default would read its columns by position.
+    where Spark's default would read its columns by position. Folders by entity (``ENTITY_FOLDER``) are looked up as plain files:
+    the driver's time for partitions grows with the square of their number, and the entity is in the path of the file.
     """
+    folders = id_pattern == ENTITY_FOLDER
     scan = (
         spark.read.schema(schema)
         .option("sep", sep)
@@ -53,8 +61,11 @@ def read_panel_dir(
         .option("nullValue", MISSING)
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", folders)
         .csv(path)
     )
+    if folders:
+        scan = scan.where(F.col("_metadata.file_path").rlike(IN_FOLDER))
     return scan.select(entity_from_file(id_pattern).alias(entity), *schema.fieldNames())
 
 
@@ -64,44 +75,63 @@ def write_panel_dir(
     """Write one folder ``file=p<entity>`` of text files per entity, readable with ``ENTITY_FOLDER``.
 
     Entities are spread over all shuffle partitions, as opening files is what takes the time; the segments of
-    an oversized entity go to different tasks and become several files in its folder.
+    an oversized entity go to different tasks and become several files in its folder. Tasks place their own files: neither
+    a rename by the driver nor a change of permissions, which Spark's writer has for each file. A file gets its name when it is
+    whole, so a task that runs again replaces it; ``_SUCCESS`` follows when all are there. All executors must reach the folder.
     """
+    spark = df.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(place):
+        raise FileExistsError(path)
+    place = system.makeQualified(place)
+    uri = place.toUri()
+    names = [c for c in df.columns if c != spec.entity]
+    options = {"sep": sep, "nullValue": MISSING, "timestampNTZFormat": ISO_MICROS, "timestampFormat": ISO_MICROS}
+    header = spark.range(1).select(F.to_csv(F.struct(*[F.lit(n).alias(n) for n in names]), options)).first()[0]
     named = df.withColumn("file", F.concat(F.lit("p"), F.col(spec.entity).cast("string")))
     cut = cut_hot_groups(named, [spec.entity], spec.order, group_rows, spec.max_history)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = named.repartition(tasks, "file") if cut is None else cut.repartition(tasks, "file", SEGMENT)
-    (
-        spread.drop(spec.entity, SEGMENT)
-        .write.partitionBy("file")
-        .option("sep", sep)
-        .option("header", True)
-        .option("nullValue", MISSING)
-        .option("extension", "psv")
-        .option("timestampNTZFormat", ISO_MICROS)
-        .option("timestampFormat", ISO_MICROS)
-        .csv(path)
-    )
+    lines = spread.sortWithinPartitions("file").select("file", F.to_csv(F.struct(*names), options).alias("line"))
+    folder = uri.getPath() if uri.getScheme() == "file" else place.toString()
+    lines.mapInArrow(_write_groups(folder, header + "\n", _entity_folder), "files long").agg(F.sum("files")).collect()
+    system.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place, "_SUCCESS")).close()
+
+
+def _entity_folder(name: str | None) -> tuple[str, str]:
+    """The folder of an entity, named as Spark names a partition, and the file of the task at hand in it."""
+    value = NO_VALUE if name is None else re.sub(UNSAFE, lambda found: f"%{ord(found[0]):02X}", name)
+    return f"/file={value}", f"part-{TaskContext.get().partitionId():05d}.psv"
+
+
+def _entity_file(name: str) -> tuple[str, str]:
+    return "", f"p{name}.psv"
 
 
-def _file_per_entity(path: str, header: str):
-    """Rows (entity, line) sorted by entity: each entity's lines go into its file, batch by batch."""
+def _write_groups(path: str, header: str, place: Callable[[str | None], tuple[str, str]]):
+    """Rows (name, line) sorted by name: the lines of each name go into the file ``place`` gives, batch by batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = fs.FileSystem.from_uri(path)
         system.create_dir(folder, recursive=True)
-        entity, out, hidden, made = None, None, "", 0
+        current, out, hidden, whole, made = None, None, "", "", 0
 
         def finish() -> None:
             out.close()
-            system.move(hidden, f"{folder}/p{entity}.psv")
+            system.move(hidden, whole)
 
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for name, group in groupby(rows, key=itemgetter(0)):
-                if name != entity:
+                if out is None or name != current:
                     if out is not None:
                         finish()
-                    entity, hidden, made = name, f"{folder}/.p{name}.{uuid.uuid4().hex}", made + 1
+                    below, file = place(name)
+                    if below:
+                        system.create_dir(folder + below)
+                    current, made = name, made + 1
+                    hidden, whole = f"{folder}{below}/.{file}.{uuid.uuid4().hex}", f"{folder}{below}/{file}"
                     out = system.open_output_stream(hidden)
                     out.write(header.encode())
                 out.write("".join(f"{line}\n" for _, line in group).encode())
@@ -126,7 +156,7 @@ def write_entity_files(df: DataFrame, spec: PanelSpec, path: str, sep: str = "|"
     name = F.coalesce(F.col(spec.entity).cast("string"), F.raise_error(F.lit("an entity file needs an entity")))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lines = df.repartition(tasks, spec.entity).sortWithinPartitions(*spec.keys).select(name.alias("entity"), line.alias("line"))
-    made = lines.mapInArrow(_file_per_entity(path, sep.join(names) + "\n"), "files long")
+    made = lines.mapInArrow(_write_groups(path, sep.join(names) + "\n", _entity_file), "files long")
     return made.agg(F.sum("files")).first()[0] or 0
 
 

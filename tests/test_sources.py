@@ -62,6 +62,49 @@ def test_entity_folders_round_trip(spark, tmp_path, group_rows):
     assert (len(os.listdir(os.path.join(out, "file=p5"))) > 2) == (group_rows is not None)
 
 
+def test_entity_folders_are_placed_by_tasks_and_read_without_partitions(spark, tmp_path):
+    rows = [(i, 1.5 * t, None, t) for i in range(40) for t in range(3)]
+    df = spark.createDataFrame(rows, "id long, HR double, Gender int, y int")
+    out, spec = str(tmp_path / "out"), PanelSpec("id", ("y",), ("HR",))
+    files.write_panel_dir(df, spec, out)
+    # Spark's writer leaves checksums, made and given their permissions one by one, and its driver renames each folder.
+    found = [name for i in range(40) for name in os.listdir(os.path.join(out, f"file=p{i}"))]
+    assert len(found) == 40 and all(n.endswith(".psv") for n in found) and "_SUCCESS" in os.listdir(out)
+    # Folders that are no entity's are passed over.
+    os.makedirs(os.path.join(out, "older", "deep"))
+    write(os.path.join(out, "older"), "p4.psv", "HR|Gender|y\n1|1|1\n")
+    write(os.path.join(out, "older", "deep"), "p4.psv", "HR|Gender|y\n1|1|1\n")
+    write(out, "p5.psv", "HR|Gender|y\n1|1|1\n")
+    back = files.read_panel_dir(spark, out, SMALL, id_pattern=files.ENTITY_FOLDER)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    # The driver's work for partition columns grows with the square of the folders.
+    relation = back._jdf.queryExecution().analyzed().collectLeaves().head().relation()
+    assert relation.partitionSchema().isEmpty()
+    with pytest.raises(Exception):
+        files.write_panel_dir(df, spec, out)
+    none = str(tmp_path / "none")
+    files.write_panel_dir(df.where("false"), spec, none)
+    assert files.read_panel_dir(spark, none, SMALL, id_pattern=files.ENTITY_FOLDER).count() == 0
+
+
+def test_entity_folders_hold_what_sparks_writer_puts_there(spark, tmp_path):
+    texts = ["a|b", 'say "x"', "", None, " c ", "back\\slash"]
+    rows = [("1/2", t, datetime(2024, 1, 2, 3, 4, 5, n), n) for n, t in enumerate(texts)] + [(None, "z", None, 9)]
+    df = spark.createDataFrame(rows, "id string, `t|u` string, at timestamp, y int")
+    out, spec = tmp_path / "out put", PanelSpec("id", ("y",), ("t|u",))
+    files.write_panel_dir(df, spec, str(out))
+    named = df.selectExpr("concat('p', id) AS file", "`t|u`", "at", "y")
+    options = {"sep": "|", "header": True, "nullValue": "NaN", "timestampFormat": files.ISO_MICROS}
+    named.coalesce(1).write.partitionBy("file").options(**options).csv(str(tmp_path / "plain"))
+
+    def held(folder):
+        found = [(p.parent.name, p.read_text().splitlines()) for p in folder.glob("file=*/part-*")]
+        return sorted((name, lines[0], sorted(lines[1:])) for name, lines in found)
+
+    assert held(out) == held(tmp_path / "plain")
+    assert [name for name, _, _ in held(out)] == ["file=__HIVE_DEFAULT_PARTITION__", "file=p1%2F2"]
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_panel_round_trip(spark, tmp_path, fmt):
     df = spark.createDataFrame([(5, 1.5, None, 0), (6, None, 0, 0)], "id long, HR double, Gender int, y int")
